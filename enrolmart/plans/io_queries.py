@@ -1 +1,200 @@
-"""Source and sink queries (registered on import)."""
+"""Source and sink queries (registered on import).
+
+Each query writes the release derived from the driver's tables to a fresh
+folder under the shared checkpoint root, then returns a lazy read of what
+was written, so the oracle is the SQL of the relation that went in.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from enrolmart.operators import quality
+from enrolmart.plans.oracle import coerce_sql, with_chain  # noqa: F401
+from enrolmart.plans.registry import register
+from enrolmart.plans.relations import register_views, release
+from enrolmart.schemas import DIMENSIONS, MEASURES, NATIONAL, RAW, RAW_KEY, STG_MEASURES
+from enrolmart.session import scratch_dir
+from enrolmart.sources import readers, writers
+from enrolmart.streaming.landing import ingest_available
+
+LATEST = "2025-12"
+EARLIER = "2025-11"
+PAGE_SIZE = 5000
+
+
+def _table_name(label: str) -> str:
+    return f"enrolmart_{label}_{uuid.uuid4().hex[:10]}"
+
+
+@register("scan_release", with_chain("SELECT * FROM typed"))
+def q_scan_release(spark, sf_dir):
+    root = scratch_dir(spark, "enrollment")
+    writers.write_release(release(spark, sf_dir).raw, root, LATEST)
+    return readers.scan_release(spark, writers.release_path(root, LATEST))
+
+
+@register("latest_release", with_chain(f"SELECT *, '{LATEST}' AS release FROM typed"))
+def q_latest_release(spark, sf_dir):
+    root = scratch_dir(spark, "enrollment")
+    raw = release(spark, sf_dir).raw
+    # An earlier, smaller snapshot next to the full one.
+    writers.write_release(raw.where(F.col("bene_geo_lvl") != "County"), root, EARLIER)
+    writers.write_release(raw, root, LATEST)
+    return readers.latest_release(spark, root)
+
+
+@register("json_records", with_chain("SELECT * FROM typed"))
+def q_json_records(spark, sf_dir):
+    landing = scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, landing, PAGE_SIZE)
+    return readers.read_landing(spark, landing)
+
+
+@register("json_records_incremental", with_chain("SELECT * FROM typed"))
+def q_json_records_incremental(spark, sf_dir):
+    landing = scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, landing, PAGE_SIZE)
+    return ingest_available(spark, landing, scratch_dir(spark, "ingested"))
+
+
+_KEY = ", ".join(RAW_KEY)
+
+
+@register(
+    "page_gaps",
+    with_chain(
+        "SELECT page_offset, n_rows, lag(page_offset + n_rows) OVER (ORDER BY page_offset) AS expected_offset, "
+        "coalesce(page_offset <> lag(page_offset + n_rows) OVER (ORDER BY page_offset), false) AS gap "
+        "FROM (SELECT page_offset, count(*) AS n_rows FROM ("
+        f"SELECT CAST((row_number() OVER (ORDER BY {_KEY}) - 1) // {PAGE_SIZE} * {PAGE_SIZE} AS BIGINT) AS page_offset "
+        "FROM landed) GROUP BY page_offset)"
+    ),
+)
+def q_page_gaps(spark, sf_dir):
+    landing = scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, landing, PAGE_SIZE)
+    return readers.page_gaps(spark, landing)
+
+
+_UPPER = [c.upper() for c in DIMENSIONS + MEASURES]
+
+
+@register(
+    "dq_missing_columns",
+    with_chain(
+        " UNION ALL ".join(
+            f"SELECT 'landed.required_columns' AS check, '{c.upper()}' AS column_name, "
+            f"'{'error' if c in DIMENSIONS else 'warn'}' AS severity FROM landed HAVING count({c}) = 0"
+            for c in DIMENSIONS + MEASURES
+        )
+    ),
+)
+def q_dq_missing_columns(spark, sf_dir):
+    """Columns absent from every landed record: dimensions are errors, measures warnings."""
+    landing = scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, landing, PAGE_SIZE)
+    landed = readers.landed_json(spark, landing)
+    return quality.union_checks(
+        [
+            readers.empty_columns(landed, "landed", [c.upper() for c in DIMENSIONS], "error"),
+            readers.empty_columns(landed, "landed", [c.upper() for c in MEASURES], "warn"),
+        ]
+    )
+
+
+@register("csv_roundtrip", with_chain("SELECT * FROM national"))
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "export-national")
+    writers.export_csv(release(spark, sf_dir).national(), path, ["report_date"])
+    return readers.read_csv(spark, path, NATIONAL)
+
+
+@register("table_scan", with_chain("SELECT * FROM national"))
+def q_table_scan(spark, sf_dir):
+    prefix = f"q{uuid.uuid4().hex[:8]}_"
+    names = register_views(spark, release(spark, sf_dir), prefix)
+    return readers.table_scan(spark, f"SELECT * FROM {names['national']}")
+
+
+@register("parquet_roundtrip", with_chain(f"SELECT *, '{LATEST}' AS release FROM typed"))
+def q_parquet_roundtrip(spark, sf_dir):
+    lake = scratch_dir(spark, "lake")
+    writers.write_lake(release(spark, sf_dir).raw, lake, LATEST)
+    return spark.read.schema(T.StructType(RAW.fields + [T.StructField("release", T.StringType())])).parquet(lake)
+
+
+@register("skip_if_exists", with_chain("SELECT * FROM typed"))
+def q_skip_if_exists(spark, sf_dir):
+    root = scratch_dir(spark, "enrollment")
+    raw = release(spark, sf_dir).raw
+    assert writers.write_release(raw, root, LATEST)
+    # Same release again without force: kept as it was.
+    assert not writers.write_release(raw.where(F.col("bene_geo_lvl") == "National"), root, LATEST)
+    return readers.scan_release(spark, writers.release_path(root, LATEST))
+
+
+@register("full_reload", with_chain("SELECT * FROM typed"))
+def q_full_reload(spark, sf_dir):
+    raw = release(spark, sf_dir).raw
+    table = _table_name("raw")
+    location = scratch_dir(spark, "table")
+    # A first load of a partial snapshot, then the full one: replaced, not appended.
+    writers.full_reload(spark, raw.where(F.col("bene_geo_lvl") == "National"), table, location, RAW)
+    writers.full_reload(spark, raw, table, location, RAW)
+    return spark.table(table)
+
+
+@register("load_if_empty", with_chain("SELECT * FROM typed"))
+def q_load_if_empty(spark, sf_dir):
+    raw = release(spark, sf_dir).raw
+    table = _table_name("raw")
+    location = scratch_dir(spark, "table")
+    assert writers.load_if_empty(spark, raw, table, location, RAW)
+    assert not writers.load_if_empty(spark, raw.where(F.col("bene_geo_lvl") == "National"), table, location, RAW)
+    return spark.table(table)
+
+
+@register("clustered_write", with_chain("SELECT * FROM typed"))
+def q_clustered_write(spark, sf_dir):
+    path = scratch_dir(spark, "clustered")
+    writers.clustered_write(release(spark, sf_dir).raw, path)
+    return readers.scan_release(spark, path)
+
+
+def _legacy_sql() -> str:
+    cols = ["report_date"]
+    cols += [f"NULLIF({m}, 0) AS {m}" for m in STG_MEASURES]
+    cols += ["ma_penetration_rate", "ffs_penetration_rate", "year", "NULLIF(month, '') AS month"]
+    return "SELECT " + ", ".join(cols) + " FROM national"
+
+
+@register("export_legacy_nulls", with_chain(_legacy_sql()))
+def q_export_legacy_nulls(spark, sf_dir):
+    return writers.legacy_nulls(release(spark, sf_dir).national())
+
+
+@register(
+    "dq_row_parity",
+    with_chain(
+        "SELECT 'raw_load.row_parity' AS check, "
+        "CAST(abs((SELECT count(*) FROM typed) - (SELECT count(*) FROM typed)) AS BIGINT) AS failed_rows"
+    ),
+)
+def q_dq_row_parity(spark, sf_dir):
+    raw = release(spark, sf_dir).raw
+    table = _table_name("raw")
+    writers.full_reload(spark, raw, table, scratch_dir(spark, "table"), RAW)
+    return quality.row_parity(raw, spark.table(table), "raw_load")
+
+
+@register("mart_reload_national", with_chain("SELECT * FROM national"))
+def q_mart_reload(spark, sf_dir):
+    """Materialize the national mart as a table (model materialization), read it back."""
+    rel = release(spark, sf_dir)
+    table = _table_name("national")
+    writers.full_reload(spark, rel.national(), table, scratch_dir(spark, "table"), NATIONAL)
+    return spark.table(table)

@@ -407,19 +407,6 @@ def q_dq_lengths(spark, sf_dir):
     return quality.max_lengths(release(spark, sf_dir).raw, "raw", VARCHAR_LIMITS)
 
 
-@register("dq_missing_columns")
-def q_dq_missing_columns(spark, sf_dir):
-    """Required and expected columns of the landed release (metadata only)."""
-    landed = release(spark, sf_dir).landed
-    required = tuple(c.upper() for c in DIMENSIONS) + tuple(m.upper() for m in MEASURES[:3])
-    return quality.union_checks(
-        [
-            quality.missing_columns(landed, "landed", required, "error"),
-            quality.missing_columns(landed, "landed", tuple(m.upper() for m in MEASURES), "warn"),
-        ]
-    )
-
-
 @register("dq_contract")
 def q_dq_contract(spark, sf_dir):
     r = release(spark, sf_dir)
