@@ -25,6 +25,14 @@ def coerce_double(c: Column | str) -> Column:
     return F.when(c.rlike(NUMERIC_PATTERN), c.try_cast("double"))
 
 
+def coerce_double_sql(name: str) -> str:
+    """SQL text of ``coerce_double`` for column ``name`` (for wide projections)."""
+    return (
+        f"CASE WHEN `{name}` RLIKE '{NUMERIC_PATTERN.replace(chr(92), chr(92) * 2)}' "
+        f"THEN try_cast(`{name}` AS DOUBLE) END"
+    )
+
+
 def month_no(month: Column | str) -> Column:
     """Full English month name -> 1..12; anything else (incl. 'Year') -> NULL.
 

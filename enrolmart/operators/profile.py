@@ -30,9 +30,19 @@ def group_sizes(df: DataFrame, keys: list[str], name: str = "n_rows") -> DataFra
     return df.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def stack_sql(rows: list[tuple[str, ...]], names: list[str]) -> str:
+    """SQL ``stack`` (unpivot) of literal rows of expressions into ``names``."""
+    body = ", ".join(", ".join(r) for r in rows)
+    return f"stack({len(rows)}, {body}) AS ({', '.join(names)})"
+
+
+def sql_str(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def missing_cells(cols: list[str]) -> Column:
     """Number of NULL cells among ``cols`` in the current row."""
-    return sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    return F.expr(" + ".join(f"CAST(`{c}` IS NULL AS INT)" for c in cols))
 
 
 def distinct_counts(df: DataFrame, cols: dict[str, str]) -> DataFrame:
@@ -75,46 +85,30 @@ def duplicate_rows(df: DataFrame, key: list[str]) -> DataFrame:
 def null_counts(df: DataFrame) -> DataFrame:
     """Long form (column_name, position, n_null): one aggregate, then unpivot."""
     cols = df.columns
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(cols)])
-    return wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.lit(i + 1).alias("position"),
-                        F.col(f"_{i}").alias("n_null"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("s")
-    ).select("s.column_name", "s.position", "s.n_null")
+    wide = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS _{i}" for i, c in enumerate(cols)])
+    return wide.selectExpr(
+        stack_sql(
+            [(sql_str(c), str(i + 1), f"_{i}") for i, c in enumerate(cols)],
+            ["column_name", "position", "n_null"],
+        )
+    )
 
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Long form (column_name, position, data_type, n_non_null, n_rows)."""
     fields = df.schema.fields
-    wide = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(F.col(f.name)).alias(f"_{i}") for i, f in enumerate(fields)],
+    wide = df.selectExpr(
+        "count(1) AS _rows", *[f"count(`{f.name}`) AS _{i}" for i, f in enumerate(fields)]
+    )
+    return wide.selectExpr(
+        stack_sql(
+            [
+                (sql_str(f.name), str(i + 1), sql_str(f.dataType.simpleString()), f"_{i}", "_rows")
+                for i, f in enumerate(fields)
+            ],
+            ["column_name", "position", "data_type", "n_non_null", "n_rows"],
+        )
     )
-    return wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f.name).alias("column_name"),
-                        F.lit(i + 1).alias("position"),
-                        F.lit(f.dataType.simpleString()).alias("data_type"),
-                        F.col(f"_{i}").alias("n_non_null"),
-                        F.col("_rows").alias("n_rows"),
-                    )
-                    for i, f in enumerate(fields)
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
 
 
 def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
@@ -125,41 +119,27 @@ def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     std are rounded to ``digits`` places: their last binary digits depend on
     the summation order, which a distributed engine does not fix.
     """
-    moments = df.agg(
+    moments = df.selectExpr(
         *[
             agg
             for i, c in enumerate(cols)
             for agg in (
-                F.count(c).alias(f"n{i}"),
-                F.avg(c).alias(f"m{i}"),
-                F.stddev_samp(c).alias(f"s{i}"),
-                F.min(c).alias(f"lo{i}"),
-                F.max(c).alias(f"hi{i}"),
+                f"count(`{c}`) AS n{i}",
+                f"round(avg(`{c}`), {digits}) AS m{i}",
+                f"round(stddev_samp(`{c}`), {digits}) AS s{i}",
+                f"CAST(min(`{c}`) AS DOUBLE) AS lo{i}",
+                f"CAST(max(`{c}`) AS DOUBLE) AS hi{i}",
             )
         ]
+    ).selectExpr(
+        stack_sql(
+            [(sql_str(c), f"n{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}") for i, c in enumerate(cols)],
+            ["column_name", "count", "mean", "std", "min", "max"],
+        )
+    )
+    long = df.selectExpr(
+        stack_sql([(sql_str(c), f"CAST(`{c}` AS DOUBLE)") for c in cols], ["k", "v"])
     )
-    moments = moments.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"),
-                        F.col(f"n{i}").alias("count"),
-                        F.round(F.col(f"m{i}"), digits).alias("mean"),
-                        F.round(F.col(f"s{i}"), digits).alias("std"),
-                        F.col(f"lo{i}").cast("double").alias("min"),
-                        F.col(f"hi{i}").cast("double").alias("max"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])
-        ).alias("s")
-    ).select("s.k", "s.v")
     q = exact_quantiles(long, "k", "v", (0.25, 0.5, 0.75)).select(
         F.col("k").alias("column_name"),
         F.col("q_0").alias("p25"),

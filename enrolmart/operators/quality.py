@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from enrolmart.operators.profile import sql_str, stack_sql
+
 _OUT = T.StructType(
     [T.StructField("check", T.StringType(), False), T.StructField("failed_rows", T.LongType(), True)]
 )
@@ -28,20 +30,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 def not_null(df: DataFrame, relation: str, cols: list[str]) -> DataFrame:
     """One row per column: number of NULL values.  One aggregate pass."""
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(cols)])
-    return wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f"{relation}.{c}.not_null").alias("check"),
-                        F.col(f"_{i}").alias("failed_rows"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("s")
-    ).select("s.check", "s.failed_rows")
+    wide = df.selectExpr(*[f"count_if(`{c}` IS NULL) AS _{i}" for i, c in enumerate(cols)])
+    return wide.selectExpr(
+        stack_sql(
+            [(sql_str(f"{relation}.{c}.not_null"), f"_{i}") for i, c in enumerate(cols)],
+            ["check", "failed_rows"],
+        )
+    )
 
 
 def unique(df: DataFrame, relation: str, col: str) -> DataFrame:
@@ -78,22 +73,14 @@ def min_rows(df: DataFrame, relation: str, minimum: int) -> DataFrame:
 
 def max_lengths(df: DataFrame, relation: str, limits: dict[str, int]) -> DataFrame:
     """One row per column: values longer than the column's limit."""
-    wide = df.agg(
-        *[F.count_if(F.length(F.col(c)) > n).alias(f"_{i}") for i, (c, n) in enumerate(limits.items())]
+    items = list(limits.items())
+    wide = df.selectExpr(*[f"count_if(length(`{c}`) > {n}) AS _{i}" for i, (c, n) in enumerate(items)])
+    return wide.selectExpr(
+        stack_sql(
+            [(sql_str(f"{relation}.{c}.max_length_{n}"), f"_{i}") for i, (c, n) in enumerate(items)],
+            ["check", "failed_rows"],
+        )
     )
-    return wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f"{relation}.{c}.max_length_{n}").alias("check"),
-                        F.col(f"_{i}").alias("failed_rows"),
-                    )
-                    for i, (c, n) in enumerate(limits.items())
-                ]
-            )
-        ).alias("s")
-    ).select("s.check", "s.failed_rows")
 
 
 def row_parity(source: DataFrame, target: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrolmart.functions.expr import coerce_double, lower_columns
+from enrolmart.functions.expr import coerce_double_sql, lower_columns
 from enrolmart.schemas import DIMENSIONS, MEASURES, STG_RENAMES
 
 
@@ -17,8 +17,9 @@ def coerce_numeric(landed: DataFrame, measures=MEASURES) -> DataFrame:
     """
     df = lower_columns(landed)
     wanted = {m.lower() for m in measures}
-    return df.select(
-        *[coerce_double(F.col(c)).alias(c) if c in wanted else F.col(c) for c in df.columns]
+    # One projection, as SQL text: 53 guarded casts parse once on the JVM.
+    return df.selectExpr(
+        *[f"{coerce_double_sql(c)} AS `{c}`" if c in wanted else f"`{c}`" for c in df.columns]
     )
 
 

@@ -22,10 +22,9 @@ check passes and otherwise keeps a sort-merge join, whose hot keys it splits
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from enrolmart.functions.expr import month_name
-from enrolmart.schemas import DIMENSIONS, MEASURES, UNKNOWN_STATE
+from enrolmart.schemas import MEASURES, MONTHS, UNKNOWN_STATE
 
 # --- fixed values: measure conditions over ok (order key) and st (status) ---
 # Each entry is (measure, SQL predicate); the predicates are plain SQL that
@@ -95,78 +94,82 @@ assert tuple(m for m, _ in MEASURE_CONDITIONS) == MEASURES
 GROUPING_SETS = (("y", "m"), ("y",), ("y", "m", "k"), ("y", "k"), ("y", "m", "k", "g"), ("y", "k", "g"))
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Columns of the two star-schema tables the adapter reads (a pruned,
+# explicit read schema: no footer inference on the driver).
+ORDERS_COLUMNS = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+    ]
+)
+CUSTOMER_COLUMNS = T.StructType(
+    [
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_nationkey", T.IntegerType()),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]
+)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its calendar month, nation and segment."""
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment"
-    )
+    orders = read_table(spark, sf_dir, "orders", ORDERS_COLUMNS)
+    customer = read_table(spark, sf_dir, "customer", CUSTOMER_COLUMNS)
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-    return joined.select(
-        F.year("o_orderdate").alias("y"),
-        F.month("o_orderdate").alias("m"),
-        F.col("c_nationkey").alias("k"),
-        F.col("c_mktsegment").alias("g"),
-        F.col("o_orderkey").alias("ok"),
-        F.col("o_orderstatus").alias("st"),
+    return joined.selectExpr(
+        "year(o_orderdate) AS y",
+        "month(o_orderdate) AS m",
+        "c_nationkey AS k",
+        "c_mktsegment AS g",
+        "o_orderkey AS ok",
+        "o_orderstatus AS st",
     )
 
 
 def rolled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measure counts for every grouping set, plus grouping flags gm, gk, gg."""
-    fine = base(spark, sf_dir).groupBy("y", "m", "k", "g").agg(
-        *[F.count_if(F.expr(cond)).alias(name) for name, cond in MEASURE_CONDITIONS]
-    )
-    sets = [[F.col(c) for c in s] for s in GROUPING_SETS]
-    return fine.groupingSets(sets, "y", "m", "k", "g").agg(
-        F.grouping("m").alias("gm"),
-        F.grouping("k").alias("gk"),
-        F.grouping("g").alias("gg"),
-        *[F.sum(name).alias(name) for name in MEASURES],
+    """Measure counts for every grouping set, plus grouping flags gm, gk, gg.
+
+    Written as SQL text over the base DataFrame: 53 conditional counts are
+    parsed once on the JVM instead of being assembled call by call.
+    """
+    counts = ", ".join(f"count_if({cond}) AS {name}" for name, cond in MEASURE_CONDITIONS)
+    sums = ", ".join(f"sum({name}) AS {name}" for name in MEASURES)
+    sets = ", ".join("(" + ", ".join(s) + ")" for s in GROUPING_SETS)
+    return spark.sql(
+        f"SELECT y, m, k, g, grouping(m) AS gm, grouping(k) AS gk, grouping(g) AS gg, {sums} "
+        f"FROM (SELECT y, m, k, g, {counts} FROM {{base}} GROUP BY y, m, k, g) "
+        f"GROUP BY GROUPING SETS ({sets})",
+        base=base(spark, sf_dir),
     )
 
 
+_MONTH_ARRAY = "array(" + ", ".join(f"'{m}'" for m in MONTHS) + ")"
+
+
 def landed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw release as landed: 60 string columns, lower-case names."""
-    r = rolled_counts(spark, sf_dir)
-    national = F.col("gk") == 1
-    state_level = F.col("gg") == 1
-    county_level = F.col("gg") == 0
-    k = F.col("k")
     dims = [
-        F.col("y").cast("string").alias("year"),
-        F.when(F.col("gm") == 1, F.lit("Year")).otherwise(month_name(F.col("m"))).alias("month"),
-        F.when(national, F.lit("National"))
-        .when(state_level, F.lit("State"))
-        .otherwise(F.lit("County"))
-        .alias("bene_geo_lvl"),
-        F.when(national, F.lit("US"))
-        .when(k == UNKNOWN_NATION_KEY, F.lit(UNKNOWN_STATE))
-        .otherwise(F.concat(F.lit("A"), F.char(k + 65)))
-        .alias("bene_state_abrvtn"),
-        F.when(national, F.lit("National"))
-        .otherwise(F.concat(F.lit("STATE_"), k.cast("string")))
-        .alias("bene_state_desc"),
-        F.when(state_level, F.lit("Total")).otherwise(F.col("g")).alias("bene_county_desc"),
-        F.when(national, F.lit("00000"))
-        .otherwise(F.lpad(k.cast("string"), 5, "0"))
-        .alias("bene_fips_cd"),
+        "CAST(y AS STRING) AS year",
+        f"CASE WHEN gm = 1 THEN 'Year' ELSE element_at({_MONTH_ARRAY}, m) END AS month",
+        "CASE WHEN gk = 1 THEN 'National' WHEN gg = 1 THEN 'State' ELSE 'County' END AS bene_geo_lvl",
+        f"CASE WHEN gk = 1 THEN 'US' WHEN k = {UNKNOWN_NATION_KEY} THEN '{UNKNOWN_STATE}' "
+        "ELSE concat('A', char(k + 65)) END AS bene_state_abrvtn",
+        "CASE WHEN gk = 1 THEN 'National' ELSE concat('STATE_', CAST(k AS STRING)) END AS bene_state_desc",
+        "CASE WHEN gg = 1 THEN 'Total' ELSE g END AS bene_county_desc",
+        "CASE WHEN gk = 1 THEN '00000' ELSE lpad(CAST(k AS STRING), 5, '0') END AS bene_fips_cd",
     ]
     measures = [
-        F.when(county_level & (F.col(m) < SUPPRESS_BELOW), F.lit("*"))
-        .otherwise(F.col(m).cast("string"))
-        .alias(m)
+        f"CASE WHEN gg = 0 AND {m} < {SUPPRESS_BELOW} THEN '*' ELSE CAST({m} AS STRING) END AS {m}"
         for m in MEASURES
     ]
-    out = r.select(*dims, *measures)
-    assert tuple(out.columns) == DIMENSIONS + MEASURES
-    return out
+    return rolled_counts(spark, sf_dir).selectExpr(*dims, *measures)
 
 
 # ---------------------------------------------------------------------------

@@ -47,8 +47,15 @@ MIN_MART_ROWS = 100
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; its result is always a new DataFrame (own execution)."""
+
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(spark, sf_dir).select("*")
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

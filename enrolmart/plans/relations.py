@@ -4,11 +4,19 @@ landed (60 strings) -> typed raw (measures double) -> stg (14 columns)
 -> national / by_state marts.  Each layer is a DataFrame function of the
 one before it, so Catalyst sees one plan per query and prunes columns and
 pushes filters through every layer.
+
+DataFrames are immutable plans, so the layer objects of a release (landed,
+raw, stg) are built once per session and data folder, and every query
+derives a new DataFrame on top of them.  Nothing is cached: a new DataFrame
+gets its own query execution, so each action re-plans and re-runs every
+stage from the Parquet files (only running the *same* DataFrame object twice
+would reuse its shuffle output).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,16 +25,16 @@ from enrolmart.operators.staging import stg, typed_raw
 from enrolmart.plans.adapter import landed_raw
 
 
-@dataclass
 class Release:
-    landed: DataFrame | None = None
-    typed: DataFrame | None = None
+    def __init__(self, landed: DataFrame | None = None, typed: DataFrame | None = None):
+        self.landed = landed
+        self._typed = typed
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
-        return self.typed if self.typed is not None else typed_raw(self.landed)
+        return self._typed if self._typed is not None else typed_raw(self.landed)
 
-    @property
+    @cached_property
     def stg(self) -> DataFrame:
         return stg(self.raw)
 
@@ -37,8 +45,16 @@ class Release:
         return by_state(self.stg, ordered)
 
 
+_PLANS: dict[tuple, Release] = {}
+
+
 def release(spark: SparkSession, sf_dir: str) -> Release:
-    return Release(landed_raw(spark, sf_dir))
+    """The release derived from the star-schema tables in ``sf_dir`` (plans memoized)."""
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
+    rel = _PLANS.get(key)
+    if rel is None:
+        rel = _PLANS[key] = Release(landed_raw(spark, sf_dir))
+    return rel
 
 
 def from_raw(raw: DataFrame) -> Release:

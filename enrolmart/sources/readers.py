@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from enrolmart.operators.profile import sql_str, stack_sql
 from enrolmart.operators.staging import typed_raw
 from enrolmart.schemas import LANDED, RAW
 from enrolmart.session import list_dirs
@@ -62,17 +63,10 @@ def empty_columns(landed: DataFrame, relation: str, columns, severity: str) -> D
     Returns (check, column_name, severity), one row per absent column.
     """
     cols = list(columns)
-    wide = landed.agg(*[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(cols)])
-    long = wide.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("_n"))
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
+    wide = landed.selectExpr(*[f"count(`{c}`) AS _{i}" for i, c in enumerate(cols)])
+    long = wide.selectExpr(
+        stack_sql([(sql_str(c), f"_{i}") for i, c in enumerate(cols)], ["column_name", "_n"])
+    )
     return long.where(F.col("_n") == 0).select(
         F.lit(f"{relation}.required_columns").alias("check"),
         "column_name",
