@@ -65,10 +65,10 @@ def from_raw(raw: DataFrame) -> Release:
 def register_views(spark: SparkSession, rel: Release, prefix: str = "") -> dict[str, str]:
     """Register raw, stg and the marts as temp views (the model layer)."""
     names = {
-        "raw": f"{prefix}medicare_monthly_enrollment",
-        "stg": f"{prefix}stg_medicare_enrollment",
-        "national": f"{prefix}mart_enrollment_national",
-        "by_state": f"{prefix}mart_enrollment_by_state",
+        "raw": f"{prefix}enrollment_raw",
+        "stg": f"{prefix}enrollment_stg",
+        "national": f"{prefix}enrollment_national",
+        "by_state": f"{prefix}enrollment_by_state",
     }
     rel.raw.createOrReplaceTempView(names["raw"])
     rel.stg.createOrReplaceTempView(names["stg"])
