@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrolmart.functions.expr import pct1, report_date
 from enrolmart.schemas import ANNUAL_MONTH, STG_MEASURES, UNKNOWN_STATE
 
 
+def national_rows() -> Column:
+    """Row filter of the national mart (NULL counts as false, like WHERE)."""
+    return (F.col("bene_geo_lvl") == "National") & (F.col("month") != ANNUAL_MONTH)
+
+
+def by_state_rows() -> Column:
+    """Row filter of the by-state mart; a NULL state fails ``!=`` and is dropped."""
+    return (
+        (F.col("bene_geo_lvl") == "State")
+        & (F.col("month") == ANNUAL_MONTH)
+        & (F.col("state") != UNKNOWN_STATE)
+    )
+
+
 def _rates():
     return [
         pct1("medicare_advantage_benes", "total_beneficiaries").alias("ma_penetration_rate"),
@@ -23,7 +37,7 @@ def national(stg: DataFrame, ordered: bool = True) -> DataFrame:
     ``bene_geo_lvl = 'National' AND month <> 'Year'`` into the Parquet scan.
     ``month != 'Year'`` drops a NULL month (three-valued logic), as in SQL.
     """
-    df = stg.where((F.col("bene_geo_lvl") == "National") & (F.col("month") != ANNUAL_MONTH)).select(
+    df = stg.where(national_rows()).select(
         report_date("year", "month").alias("report_date"),
         *STG_MEASURES,
         *_rates(),
@@ -39,9 +53,5 @@ def by_state(stg: DataFrame, ordered: bool = True) -> DataFrame:
 
     ``state != 'UK'`` also drops a NULL state (three-valued logic).
     """
-    df = stg.where(
-        (F.col("bene_geo_lvl") == "State")
-        & (F.col("month") == ANNUAL_MONTH)
-        & (F.col("state") != UNKNOWN_STATE)
-    ).select("year", "state", "state_name", "fips_code", *STG_MEASURES, *_rates())
+    df = stg.where(by_state_rows()).select("year", "state", "state_name", "fips_code", *STG_MEASURES, *_rates())
     return df.orderBy(F.col("year").asc_nulls_last(), F.col("state").asc_nulls_last()) if ordered else df

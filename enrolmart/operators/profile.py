@@ -53,19 +53,17 @@ def distinct_counts(df: DataFrame, cols: dict[str, str]) -> DataFrame:
 def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long form (column_name, value, pos): distinct values per column, NULL listed.
 
-    ``pos`` orders values ascending with NULL last.  Each window partition
-    holds the distinct values of one column, so it is bounded by that
-    column's domain (years, months, levels, states).
+    One scan: the columns are unpivoted with ``stack`` and de-duplicated in
+    one aggregation (partial, map-side).  ``pos`` orders values ascending
+    with NULL last; each window partition holds the distinct values of one
+    column, so it is bounded by that column's domain (years, months,
+    levels, states).
     """
-    parts = [
-        df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")).distinct()
-        for c in cols
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    long = df.selectExpr(
+        stack_sql([(sql_str(c), f"CAST(`{c}` AS STRING)") for c in cols], ["column_name", "value"])
+    ).distinct()
     w = Window.partitionBy("column_name").orderBy(F.col("value").asc_nulls_last())
-    return out.withColumn("pos", F.row_number().over(w).cast("bigint"))
+    return long.withColumn("pos", F.row_number().over(w).cast("bigint"))
 
 
 def duplicate_rows(df: DataFrame, key: list[str]) -> DataFrame:

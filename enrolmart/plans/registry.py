@@ -17,6 +17,8 @@ from enrolmart.functions.expr import month_no, pct1, report_date
 from enrolmart.operators import profile, quality
 from enrolmart.plans import reports
 from enrolmart.plans.oracle import coerce_sql, month_case, pct1_sql, with_chain  # noqa: F401
+from enrolmart.operators.marts import by_state_rows, national_rows
+from enrolmart.operators.profile import sql_str, stack_sql
 from enrolmart.plans.relations import release
 from enrolmart.schemas import (
     CONTRACTS,
@@ -144,14 +146,20 @@ def q_mart_by_state(spark, sf_dir):
     ),
 )
 def q_row_counts(spark, sf_dir):
-    r = release(spark, sf_dir)
-    parts = [
-        profile.row_count(r.raw, "raw"),
-        profile.row_count(r.stg, "stg"),
-        profile.row_count(r.national(), "national"),
-        profile.row_count(r.by_state(), "by_state"),
-    ]
-    return quality.union_checks(parts)
+    """Rows of raw, stg and both marts in one pass over staging.
+
+    stg is a projection of raw (same rows) and the marts are filters of stg,
+    so one aggregate with the mart predicates counts all four.
+    """
+    s = release(spark, sf_dir).stg
+    wide = s.agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.count_if(national_rows()).alias("_nat"),
+        F.count_if(by_state_rows()).alias("_st"),
+    )
+    return wide.selectExpr(
+        "stack(4, 'raw', _all, 'stg', _all, 'national', _nat, 'by_state', _st) AS (relation, n_rows)"
+    )
 
 
 @register(
@@ -333,9 +341,27 @@ _NN = {
     ),
 )
 def q_dq_not_null(spark, sf_dir):
-    r = release(spark, sf_dir)
-    rels = {"stg": r.stg, "national": r.national(), "by_state": r.by_state()}
-    return quality.union_checks([quality.not_null(rels[k], k, list(v)) for k, v in _NN.items()])
+    """The 12 not-null checks of staging and both marts in one pass over staging.
+
+    Mart columns are the staging columns (report_date is derived from year
+    and month), and mart membership is the mart's own row filter.
+    """
+    s = release(spark, sf_dir).stg.select(
+        "*",
+        report_date("year", "month").alias("report_date"),
+        F.coalesce(national_rows(), F.lit(False)).alias("_in_national"),
+        F.coalesce(by_state_rows(), F.lit(False)).alias("_in_by_state"),
+    )
+    aggs = []
+    for rel, cols in _NN.items():
+        member = F.lit(True) if rel == "stg" else F.col(f"_in_{rel}")
+        for c in cols:
+            aggs.append(F.count_if(member & F.col(c).isNull()).alias(f"{rel}.{c}.not_null"))
+    wide = s.agg(*aggs)
+    names = wide.columns
+    return wide.selectExpr(
+        stack_sql([(sql_str(n), f"`{n}`") for n in names], ["check", "failed_rows"])
+    )
 
 
 @register(

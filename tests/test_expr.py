@@ -48,7 +48,7 @@ def test_coerce_cases(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet="0123456789.+-eEdfNa ,*x", max_size=8), min_size=1, max_size=30))
+@given(st.lists(st.text(alphabet="0123456789.+-eEdfNa ,*x\t\n", max_size=8), min_size=1, max_size=30))
 def test_coerce_matches_pattern_and_python(spark, values):
     """Coercion equals: pattern match, then Python float parsing."""
     df = spark.createDataFrame([(v,) for v in values], "x string")
