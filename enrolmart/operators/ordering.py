@@ -15,10 +15,25 @@ from pyspark.sql import functions as F
 from enrolmart.session import checkpoint_root
 
 
+# Target size of one range (bytes, Catalyst's estimate of the input).
+RANGE_BYTES = 256 * 1024 * 1024
+
+
 def _n_ranges(df: DataFrame, n: int | None) -> int:
+    """Number of ranges: explicit, else sized from the plan's size estimate.
+
+    At least ``spark.sql.shuffle.partitions``; more when the estimated input
+    exceeds that many ``RANGE_BYTES`` ranges, so a range stays task-sized at
+    any scale.
+    """
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the default
+        return base
+    return max(base, -(-size // RANGE_BYTES))
 
 
 def _fix_ranges(df: DataFrame) -> DataFrame:
@@ -41,14 +56,17 @@ def with_position(
 ) -> DataFrame:
     """Add a 1-based bigint position in the total order ``order``.
 
-    ``order`` should be a total order (ties get positions in arbitrary order).
-    Cost: one range shuffle plus a local sort, one checkpoint write, and a
-    broadcast of ``n_ranges`` offset rows.  No single-task window over rows.
+    Rows that tie on ``order`` get consecutive positions in arbitrary order;
+    a hash of the whole row is appended to the range key, so a hot run of
+    equal keys still spreads over several ranges.  Cost: one range shuffle
+    plus a local sort, one checkpoint write, and a broadcast of ``n_ranges``
+    offset rows.  No single-task window over rows.
     """
     n = _n_ranges(df, n_ranges)
+    key = [*order, F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = _fix_ranges(
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(n, *key)
+        .sortWithinPartitions(*key)
         .withColumn("_id", F.monotonically_increasing_id())
     )
     rng = F.shiftright("_id", _LOCAL_BITS)

@@ -119,11 +119,10 @@ def state_year_slice(by_state: DataFrame, year: int | None = None) -> DataFrame:
 def state_table(by_state: DataFrame, year: int | None = None) -> DataFrame:
     """Display table: seven relabelled, formatted columns, largest state first."""
     rows = state_year_slice(by_state, year)
-    ordered = with_position(
-        rows,
-        [F.col("total_beneficiaries").desc_nulls_last(), F.col("state").asc_nulls_last()],
-        n_ranges=1,
-    )
+    # One year's states: the by-state mart is unique on (year, state), so
+    # this window partition is bounded by the number of states.
+    w = Window.orderBy(F.col("total_beneficiaries").desc_nulls_last(), F.col("state").asc_nulls_last())
+    ordered = rows.withColumn("pos", F.row_number().over(w).cast("bigint"))
     return ordered.select(
         F.col("state_name").alias("State"),
         F.col("state").alias("Abbr"),
