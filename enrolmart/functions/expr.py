@@ -43,16 +43,37 @@ def coerce_double_sql(name: str) -> str:
     )
 
 
-def month_no(month: Column | str) -> Column:
-    """Full English month name -> 1..12; anything else (incl. 'Year') -> NULL.
+def month_no_sql(month: str) -> str:
+    """SQL text: full English month name -> 1..12; anything else (incl. 'Year') -> NULL.
 
     Exact, case-sensitive match, like a CASE over the twelve names.
     """
-    month = F.col(month) if isinstance(month, str) else month
-    expr = None
-    for i, name in enumerate(MONTHS, start=1):
-        expr = (F.when if expr is None else expr.when)(month == F.lit(name), F.lit(i))
-    return expr
+    whens = " ".join(f"WHEN '{name}' THEN {i}" for i, name in enumerate(MONTHS, start=1))
+    return f"(CASE {month} {whens} END)"
+
+
+def report_date_sql(year: str, month: str) -> str:
+    """SQL text: first day of the month; NULL when the month is not a month name."""
+    return f"make_date(CAST({year} AS INT), {month_no_sql(month)}, 1)"
+
+
+def pct1_sql(part: str, whole: str) -> str:
+    """SQL text: share in percent, one decimal, rounded on an exact numeric."""
+    return (
+        f"CAST(round(CAST({part} / nullif({whole}, 0D) * 100D AS {_RATE_WORK_TYPE}), 1) "
+        f"AS {RATE_TYPE.simpleString()})"
+    )
+
+
+def _name(c: Column | str) -> str:
+    if isinstance(c, str):
+        return f"`{c}`"
+    raise TypeError("pass a column name")
+
+
+def month_no(month: str) -> Column:
+    """Full English month name -> 1..12; anything else (incl. 'Year') -> NULL."""
+    return F.expr(month_no_sql(_name(month)))
 
 
 def month_name(month_number: Column) -> Column:
@@ -60,10 +81,9 @@ def month_name(month_number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), month_number)
 
 
-def report_date(year: Column | str, month: Column | str) -> Column:
+def report_date(year: str, month: str) -> Column:
     """First day of the month; NULL when the month is not a month name."""
-    year = F.col(year) if isinstance(year, str) else year
-    return F.make_date(year.cast("int"), month_no(month), F.lit(1))
+    return F.expr(report_date_sql(_name(year), _name(month)))
 
 
 def safe_pct(part: Column | str, whole: Column | str) -> Column:
@@ -73,9 +93,9 @@ def safe_pct(part: Column | str, whole: Column | str) -> Column:
     return part / F.nullif(whole, F.lit(0.0)) * F.lit(100.0)
 
 
-def pct1(part: Column | str, whole: Column | str) -> Column:
+def pct1(part: str, whole: str) -> Column:
     """Share in percent rounded to one decimal on an exact numeric."""
-    return F.round(safe_pct(part, whole).cast(_RATE_WORK_TYPE), 1).cast(RATE_TYPE)
+    return F.expr(pct1_sql(_name(part), _name(whole)))
 
 
 def format_count(c: Column | str) -> Column:

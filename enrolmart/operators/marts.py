@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from enrolmart.functions.expr import pct1, report_date
+from enrolmart.functions.expr import pct1_sql, report_date_sql
 from enrolmart.schemas import ANNUAL_MONTH, STG_MEASURES, UNKNOWN_STATE
 
 
+NATIONAL_ROWS = f"bene_geo_lvl = 'National' AND month != '{ANNUAL_MONTH}'"
+BY_STATE_ROWS = f"bene_geo_lvl = 'State' AND month = '{ANNUAL_MONTH}' AND state != '{UNKNOWN_STATE}'"
+
+
 def national_rows() -> Column:
     """Row filter of the national mart (NULL counts as false, like WHERE)."""
-    return (F.col("bene_geo_lvl") == "National") & (F.col("month") != ANNUAL_MONTH)
+    return F.expr(NATIONAL_ROWS)
 
 
 def by_state_rows() -> Column:
     """Row filter of the by-state mart; a NULL state fails ``!=`` and is dropped."""
-    return (
-        (F.col("bene_geo_lvl") == "State")
-        & (F.col("month") == ANNUAL_MONTH)
-        & (F.col("state") != UNKNOWN_STATE)
-    )
+    return F.expr(BY_STATE_ROWS)
 
 
-def _rates():
-    return [
-        pct1("medicare_advantage_benes", "total_beneficiaries").alias("ma_penetration_rate"),
-        pct1("original_medicare_benes", "total_beneficiaries").alias("ffs_penetration_rate"),
-    ]
+_RATES = (
+    f"{pct1_sql('medicare_advantage_benes', 'total_beneficiaries')} AS ma_penetration_rate",
+    f"{pct1_sql('original_medicare_benes', 'total_beneficiaries')} AS ffs_penetration_rate",
+)
 
 
 def national(stg: DataFrame, ordered: bool = True) -> DataFrame:
@@ -37,10 +36,10 @@ def national(stg: DataFrame, ordered: bool = True) -> DataFrame:
     ``bene_geo_lvl = 'National' AND month <> 'Year'`` into the Parquet scan.
     ``month != 'Year'`` drops a NULL month (three-valued logic), as in SQL.
     """
-    df = stg.where(national_rows()).select(
-        report_date("year", "month").alias("report_date"),
+    df = stg.where(NATIONAL_ROWS).selectExpr(
+        f"{report_date_sql('year', 'month')} AS report_date",
         *STG_MEASURES,
-        *_rates(),
+        *_RATES,
         "year",
         "month",
     )
@@ -53,5 +52,7 @@ def by_state(stg: DataFrame, ordered: bool = True) -> DataFrame:
 
     ``state != 'UK'`` also drops a NULL state (three-valued logic).
     """
-    df = stg.where(by_state_rows()).select("year", "state", "state_name", "fips_code", *STG_MEASURES, *_rates())
+    df = stg.where(BY_STATE_ROWS).selectExpr(
+        "year", "state", "state_name", "fips_code", *STG_MEASURES, *_RATES
+    )
     return df.orderBy(F.col("year").asc_nulls_last(), F.col("state").asc_nulls_last()) if ordered else df
