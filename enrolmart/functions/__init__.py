@@ -1,12 +1,18 @@
+"""Scalar column expressions."""
+
 from enrolmart.functions.expr import (  # noqa: F401
     NUMERIC_PATTERN,
     coerce_double,
+    coerce_double_sql,
     format_count,
     format_rate,
     lower_columns,
     month_name,
     month_no,
+    month_no_sql,
     pct1,
+    pct1_sql,
     report_date,
+    report_date_sql,
     safe_pct,
 )

@@ -22,13 +22,13 @@ RANGE_BYTES = 256 * 1024 * 1024
 def _n_ranges(df: DataFrame, n: int | None) -> int:
     """Number of ranges: explicit, else sized from the plan's size estimate.
 
-    At least ``spark.sql.shuffle.partitions``; more when the estimated input
-    exceeds that many ``RANGE_BYTES`` ranges, so a range stays task-sized at
-    any scale.
+    At least one range per core of the application (``defaultParallelism``);
+    more when the estimated input exceeds that many ``RANGE_BYTES`` ranges,
+    so a range stays task-sized at any scale.
     """
     if n:
         return n
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    base = max(1, df.sparkSession.sparkContext.defaultParallelism)
     try:
         size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:  # noqa: BLE001 - estimate unavailable: keep the default

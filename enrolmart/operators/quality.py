@@ -16,11 +16,6 @@ from pyspark.sql import types as T
 
 from enrolmart.operators.profile import sql_str, stack_sql
 
-_OUT = T.StructType(
-    [T.StructField("check", T.StringType(), False), T.StructField("failed_rows", T.LongType(), True)]
-)
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

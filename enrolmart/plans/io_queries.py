@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from enrolmart.operators import quality
-from enrolmart.plans.oracle import coerce_sql, with_chain  # noqa: F401
+from enrolmart.plans.oracle import with_chain
 from enrolmart.plans.registry import register
 from enrolmart.plans.relations import register_views, release
 from enrolmart.schemas import DIMENSIONS, MEASURES, NATIONAL, RAW, RAW_KEY, STG_MEASURES
@@ -80,9 +80,6 @@ def q_page_gaps(spark, sf_dir):
     return readers.page_gaps(spark, landing)
 
 
-_UPPER = [c.upper() for c in DIMENSIONS + MEASURES]
-
-
 @register(
     "dq_missing_columns",
     with_chain(

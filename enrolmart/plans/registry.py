@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from enrolmart.functions.expr import month_no, pct1, report_date
 from enrolmart.operators import profile, quality
 from enrolmart.plans import reports
-from enrolmart.plans.oracle import coerce_sql, month_case, pct1_sql, with_chain  # noqa: F401
+from enrolmart.plans.oracle import month_case, pct1_sql, with_chain
 from enrolmart.operators.marts import by_state_rows, national_rows
 from enrolmart.operators.profile import sql_str, stack_sql
 from enrolmart.plans.relations import release
@@ -25,6 +25,8 @@ from enrolmart.schemas import (
     DIMENSIONS,
     GEO_LEVELS,
     MEASURES,
+    PROGRAM_SERIES,
+    RACE_SERIES,
     RAW_KEY,
     VARCHAR_LIMITS,
 )
@@ -549,7 +551,9 @@ def q_annual_trend(spark, sf_dir):
     return reports.annual_trend(release(spark, sf_dir).national())
 
 
-def _stack_sql(source: str, series: list[tuple[str, str]], where: str, value_cast: str | None = None) -> str:
+def _stack_sql(
+    source: str, series: list[tuple[str, str]], where: str, value_cast: str | None = None
+) -> tuple[str, str]:
     parts = []
     for i, (c, label) in enumerate(series, start=1):
         v = f"CAST({c} AS {value_cast})" if value_cast else c
@@ -586,9 +590,6 @@ def q_stack_share(spark, sf_dir):
     return out.withColumn("stacked", F.col("stacked").cast("decimal(18,1)"))
 
 
-from enrolmart.schemas import PROGRAM_SERIES, RACE_SERIES  # noqa: E402
-
-
 @register("stack_program", with_chain(*_stack_sql(_DESC_SRC, list(PROGRAM_SERIES), _DESC_WHERE)))
 def q_stack_program(spark, sf_dir):
     return reports.stack_program(release(spark, sf_dir).raw)
