@@ -172,7 +172,7 @@ def q_rows_per_year(spark, sf_dir):
     return profile.group_sizes(release(spark, sf_dir).raw, ["year"])
 
 
-_MISSING_SQL = " + ".join(f"CAST({m} IS NULL AS INTEGER)" for m in MEASURES)
+_MISSING_SQL = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in DIMENSIONS + MEASURES)
 
 
 @register(
@@ -190,7 +190,7 @@ def q_rows_per_level(spark, sf_dir):
         .groupBy("bene_geo_lvl")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(profile.missing_cells(list(MEASURES))).cast("bigint").alias("n_missing_cells"),
+            F.sum(profile.missing_cells(list(DIMENSIONS + MEASURES))).cast("bigint").alias("n_missing_cells"),
         )
     )
 
