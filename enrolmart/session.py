@@ -22,7 +22,32 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
+    """Sizing for a cluster run: task-sized input splits and shuffle partitions.
+
+    * input splits of 256 MB keep a scan task's decoded batch well inside
+      executor memory;
+    * the initial shuffle partition count gives about 256 MB per reducer for
+      the largest possible shuffle (the input itself) and at least 3 waves of
+      tasks; AQE then coalesces small shuffles to 128 MB partitions and splits
+      skewed ones (a partition 5x the median and over 256 MB is skewed).
+    """
+    split = 256 * 1024 * 1024
+    partitions = max(3 * total_cores, -(-input_bytes // split))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(split),
+        # Broadcast only small sides; AQE re-checks the real size at run time.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def build_session(master: str | None = None, app: str = "enrolmart", **conf) -> SparkSession:
+    """Session with the package defaults; ``conf`` overrides (e.g. ``cluster_conf``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
