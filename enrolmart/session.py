@@ -27,13 +27,15 @@ def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
 
     * input splits of 256 MB keep a scan task's decoded batch well inside
       executor memory;
-    * the initial shuffle partition count gives about 256 MB per reducer for
-      the largest possible shuffle (the input itself) and at least 3 waves of
-      tasks; AQE then coalesces small shuffles to 128 MB partitions and splits
-      skewed ones (a partition 5x the median and over 256 MB is skewed).
+    * the initial shuffle partition count gives about 1 GB per reducer for
+      the largest possible shuffle (the input itself), at least 3 waves of
+      tasks and at most 100k partitions (map-status metadata grows with
+      maps x reducers); AQE then coalesces small shuffles to 128 MB
+      partitions and splits skewed ones (5x the median and over 256 MB).
+      The package's own shuffles follow partial aggregation and are small.
     """
     split = 256 * 1024 * 1024
-    partitions = max(3 * total_cores, -(-input_bytes // split))
+    partitions = min(100_000, max(3 * total_cores, -(-input_bytes // (4 * split))))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),
