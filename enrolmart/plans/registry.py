@@ -645,3 +645,16 @@ def q_monthly_change(spark, sf_dir):
 )
 def q_monthly_change_text(spark, sf_dir):
     return reports.monthly_change_text_order(release(spark, sf_dir).raw)
+
+
+@register(
+    "monthly_change_by_geo",
+    with_chain(
+        "SELECT bene_geo_lvl, bene_state_abrvtn, bene_county_desc, report_date, tot_benes, "
+        "coalesce(tot_benes - lag(tot_benes) OVER (PARTITION BY bene_geo_lvl, bene_state_abrvtn, "
+        "bene_county_desc ORDER BY report_date), tot_benes) AS monthly_new_benes "
+        f"FROM {_DESC_SRC} WHERE month != 'Year'"
+    ),
+)
+def q_monthly_change_by_geo(spark, sf_dir):
+    return reports.monthly_change_by_geo(release(spark, sf_dir).raw)

@@ -241,6 +241,30 @@ def monthly_change(national: DataFrame) -> DataFrame:
     )
 
 
+def monthly_change_by_geo(raw: DataFrame) -> DataFrame:
+    """First difference of tot_benes by date within each geography (all levels).
+
+    The window is partitioned by geography (level, state, county): each
+    partition holds one geography's months, so it is bounded by the number
+    of months, and the work spreads over all tasks.  A missing value yields
+    the row's own total, like a difference filled with the total.
+    """
+    rows = raw.where(F.col("month") != ANNUAL_MONTH).select(
+        "bene_geo_lvl",
+        "bene_state_abrvtn",
+        "bene_county_desc",
+        report_date("year", "month").alias("report_date"),
+        "tot_benes",
+    )
+    w = Window.partitionBy("bene_geo_lvl", "bene_state_abrvtn", "bene_county_desc").orderBy(
+        F.col("report_date").asc_nulls_last()
+    )
+    return rows.withColumn(
+        "monthly_new_benes",
+        F.coalesce(F.col("tot_benes") - F.lag("tot_benes").over(w), F.col("tot_benes")),
+    )
+
+
 def monthly_change_text_order(raw: DataFrame) -> DataFrame:
     """The literal form: National monthly rows in text order of (year, month).
 
