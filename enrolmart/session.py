@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A workload cycling through many wide plans (53 measures) keeps their
+    # generated code: compiling one wide stage costs 100-350 ms.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # Remove checkpoint files once the DataFrames that wrote them are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
