@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small shuffles of wide rows (53 measures) are CPU-heavy per row: let AQE
+    # keep parallelism down to 64 KB partitions instead of the 1 MB floor.
+    # Large shuffles are sized by the advisory partition size as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # A workload cycling through many wide plans (53 measures) keeps their
     # generated code: compiling one wide stage costs 100-350 ms.
     "spark.sql.codegen.cache.maxEntries": "2000",
