@@ -139,7 +139,9 @@ def rolled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Written as SQL text over the base DataFrame: 53 conditional counts are
     parsed once on the JVM instead of being assembled call by call.
     """
-    counts = ", ".join(f"count_if({cond}) AS {name}" for name, cond in MEASURE_CONDITIONS)
+    counts = ", ".join(
+        f"sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS {name}" for name, cond in MEASURE_CONDITIONS
+    )
     sums = ", ".join(f"sum({name}) AS {name}" for name in MEASURES)
     sets = ", ".join("(" + ", ".join(s) + ")" for s in GROUPING_SETS)
     return spark.sql(
