@@ -30,6 +30,23 @@ def write_release(df: DataFrame, root: str, release: str, force: bool = False) -
     return True
 
 
+LAKE_PREFIX = "enrollment"
+
+
+def mirror_key(local_path: str, prefix: str = LAKE_PREFIX) -> str:
+    """Lake object key for a local release file: the path from its ``prefix``
+    folder on, or ``prefix/<file name>`` when the path has no such folder."""
+    parts = [p for p in local_path.replace("\\", "/").split("/") if p]
+    if prefix in parts:
+        return "/".join(parts[parts.index(prefix):])
+    return f"{prefix}/{parts[-1]}"
+
+
+def lake_uri(root: str, key: str) -> str:
+    """Full URI of a lake object under ``root`` (any filesystem scheme)."""
+    return f"{root.rstrip('/')}/{key.lstrip('/')}"
+
+
 def write_lake(df: DataFrame, root: str, release: str, force: bool = False) -> bool:
     """Copy a release into a lake dataset partitioned by ``release``.
 

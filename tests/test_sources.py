@@ -113,3 +113,9 @@ def test_incremental_landing_stream(spark, tmpdir_fresh):
     assert first == landed.count()
     # running again with no new pages adds nothing (exactly-once by checkpoint)
     assert ingest_available(spark, landing, target, ckpt).count() == first
+
+
+def test_mirror_key():
+    assert writers.mirror_key("/data/raw/enrollment/2025-11/part.parquet") == "enrollment/2025-11/part.parquet"
+    assert writers.mirror_key("/tmp/x/part.parquet") == "enrollment/part.parquet"
+    assert writers.lake_uri("s3a://bucket/", "enrollment/a.parquet") == "s3a://bucket/enrollment/a.parquet"
