@@ -19,7 +19,7 @@ from enrolmart.session import checkpoint_root
 RANGE_BYTES = 256 * 1024 * 1024
 
 
-def _n_ranges(df: DataFrame, n: int | None) -> int:
+def range_count(df: DataFrame, n: int | None) -> int:
     """Number of ranges: explicit, else sized from the plan's size estimate.
 
     At least one range per core of the application (``defaultParallelism``);
@@ -62,7 +62,7 @@ def with_position(
     plus a local sort, one checkpoint write, and a broadcast of ``n_ranges``
     offset rows.  No single-task window over rows.
     """
-    n = _n_ranges(df, n_ranges)
+    n = range_count(df, n_ranges)
     key = [*order, F.xxhash64(*[F.col(c) for c in df.columns])]
     ranged = _fix_ranges(
         df.repartitionByRange(n, *key)
@@ -106,7 +106,7 @@ def exact_quantiles(
     pair whose cumulative interval [cum - c, cum) holds r.  Only the small
     table of target ranks (keys x probs x 2) is broadcast.
     """
-    n = _n_ranges(long, n_ranges)
+    n = range_count(long, n_ranges)
     counted = (
         long.where(F.col(value).isNotNull())
         .groupBy(key, value)

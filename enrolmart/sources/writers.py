@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from enrolmart.operators.ordering import with_position
+from enrolmart.operators.ordering import range_count, with_position
 from enrolmart.schemas import RAW_KEY
 from enrolmart.session import path_exists
 from enrolmart.sources.readers import PAGE_COL, RELEASE_COL
@@ -122,9 +122,10 @@ def clustered_write(df: DataFrame, path: str, n_files: int | None = None) -> Non
     Range partitioning on (state, year, month, level, county) keeps a state's
     rows in adjacent files while splitting a hot state over several tasks;
     the in-file sort gives row-group statistics on year and month, so
-    filtered scans skip row groups.
+    filtered scans skip row groups.  The file count follows the input size
+    (about 256 MB per file, at least one per core) unless given.
     """
-    n = n_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = range_count(df, n_files)
     (
         df.repartitionByRange(
             n, "bene_state_abrvtn", "year", "month", "bene_geo_lvl", "bene_county_desc"
