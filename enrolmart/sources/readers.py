@@ -78,8 +78,10 @@ def page_gaps(spark: SparkSession, path: str) -> DataFrame:
     """Per landed page: (page_offset, n_rows, expected_offset, gap).
 
     ``expected_offset`` is the previous page's offset plus its row count; a
-    page whose offset differs follows a missing page.  The window runs over
-    one row per page (bounded by the page count).
+    page whose offset differs follows a missing page.  Rows are first counted
+    per page (partial aggregation), so the window runs over one row per page;
+    the page count of a release is bounded by the download's page limit
+    (500 pages of 5,000 records), so that window stays small.
     """
     pages = landed_json(spark, path).groupBy(PAGE_COL).agg(F.count(F.lit(1)).alias("n_rows"))
     w = Window.orderBy(PAGE_COL)
