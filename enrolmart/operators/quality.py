@@ -126,6 +126,25 @@ def contract(df: DataFrame, relation: str, expected: T.StructType) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def enforce_columns(found: DataFrame, log=None) -> list[str]:
+    """Act on (check, column_name, severity) rows: raise for errors, log warnings.
+
+    The input has at most one row per expected column, so it is collected.
+    Returns the missing columns that were only warned about.
+    """
+    import logging
+
+    log = log or logging.getLogger("enrolmart")
+    rows = found.collect()
+    errors = sorted(r.column_name for r in rows if r.severity == "error")
+    if errors:
+        raise ValueError(f"required columns missing: {errors}")
+    warned = sorted(r.column_name for r in rows if r.severity != "error")
+    if warned:
+        log.warning("expected columns not found (possible schema change): %s", warned)
+    return warned
+
+
 def failures(checks: DataFrame) -> list[tuple[str, int]]:
     """Collect the (small, one row per check) failing checks to the driver."""
     return [(r["check"], r["failed_rows"]) for r in checks.where(F.col("failed_rows") > 0).collect()]

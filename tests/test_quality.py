@@ -101,3 +101,14 @@ def test_assert_checks(spark):
     quality.assert_checks(ok)
     with pytest.raises(AssertionError):
         quality.assert_checks(ok.withColumn("failed_rows", F.lit(3).cast("bigint")))
+
+
+def test_enforce_columns(spark):
+    import pytest
+
+    rows = [("landed.required_columns", "AGED_ESRD_BENES", "warn")]
+    found = spark.createDataFrame(rows, "check string, column_name string, severity string")
+    assert quality.enforce_columns(found) == ["AGED_ESRD_BENES"]
+    bad = spark.createDataFrame(rows + [("landed.required_columns", "YEAR", "error")], found.schema)
+    with pytest.raises(ValueError):
+        quality.enforce_columns(bad)
