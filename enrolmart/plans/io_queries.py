@@ -105,9 +105,9 @@ def q_dq_missing_columns(spark, sf_dir):
 
 @register("csv_roundtrip", with_chain("SELECT * FROM national"))
 def q_csv_roundtrip(spark, sf_dir):
-    path = scratch_dir(spark, "export-national")
-    writers.export_csv(release(spark, sf_dir).national(), path, ["report_date"])
-    return readers.read_csv(spark, path, NATIONAL)
+    rel = release(spark, sf_dir)
+    paths = writers.export_marts(rel.national(), rel.by_state(), scratch_dir(spark, "exports"))
+    return readers.read_csv(spark, paths["national"], NATIONAL)
 
 
 @register("table_scan", with_chain("SELECT * FROM national"))

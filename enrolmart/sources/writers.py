@@ -149,6 +149,24 @@ def export_csv(df: DataFrame, path: str, order: list[str]) -> None:
     )
 
 
+# The two fixed exports: (folder, mart, order).
+EXPORTS = (
+    ("national", "national", ("report_date",)),
+    ("by_state", "by_state", ("year", "state")),
+)
+
+
+def export_marts(national: DataFrame, by_state: DataFrame, root: str) -> dict[str, str]:
+    """Write both mart exports under ``root``; returns mart -> folder."""
+    marts = {"national": national, "by_state": by_state}
+    out = {}
+    for folder, mart, order in EXPORTS:
+        path = f"{root.rstrip('/')}/{folder}"
+        export_csv(marts[mart], path, list(order))
+        out[mart] = path
+    return out
+
+
 def legacy_nulls(df: DataFrame) -> DataFrame:
     """Export quirk, opt-in: doubles equal to 0.0 and empty strings become NULL.
 

@@ -80,6 +80,17 @@ def test_csv_export_roundtrip_and_order(spark, tmpdir_fresh):
     assert sorted(back.collect()) == sorted(nat.collect())
 
 
+def test_export_both_marts(spark, tmpdir_fresh):
+    from enrolmart.schemas import BY_STATE
+
+    rel = release(spark, SF_SMALL)
+    paths = writers.export_marts(rel.national(), rel.by_state(), os.path.join(tmpdir_fresh, "exports"))
+    back = readers.read_csv(spark, paths["by_state"], BY_STATE)
+    rows = back.collect()
+    assert rows == sorted(rows, key=lambda r: (r.year, r.state))
+    assert sorted(rows) == sorted(rel.by_state().collect())
+
+
 def test_legacy_nulls(spark):
     df = spark.createDataFrame([(0.0, 0, "", "x"), (1.5, 2, "a", "")], "d double, l bigint, s string, t string")
     rows = writers.legacy_nulls(df).collect()
