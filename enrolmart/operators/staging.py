@@ -29,15 +29,21 @@ def typed_raw(landed: DataFrame) -> DataFrame:
     return df.select(*DIMENSIONS, *MEASURES)
 
 
-def stg(raw: DataFrame) -> DataFrame:
-    """Staging view: 60 -> 14 columns, 11 renamed, year cast to int.
+# A year that is present but not an integer stops the job, whatever the
+# session's ANSI setting (a plain cast raises in the warehouse); a missing
+# year stays NULL and is reported by the not-null check.
+_STRICT_YEAR = (
+    "coalesce(try_cast(year AS INT), "
+    "CASE WHEN year IS NOT NULL THEN raise_error(concat('invalid year: ', year)) END)"
+)
 
-    A bad year raises (ANSI cast), as a plain cast does in the warehouse.
-    """
+
+def stg(raw: DataFrame) -> DataFrame:
+    """Staging view: 60 -> 14 columns, 11 renamed, year cast to int (strictly)."""
     cols = []
     for src, dst in STG_RENAMES:
-        c = F.col(src)
         if src == "year":
-            c = c.cast("int")
-        cols.append(c.alias(dst))
+            cols.append(F.expr(_STRICT_YEAR).alias(dst))
+        else:
+            cols.append(F.col(src).alias(dst))
     return raw.select(*cols)

@@ -121,12 +121,20 @@ def test_formatting(spark):
     assert [(r.c, r.p) for r in rows] == [("1,234,567", "54.3%"), ("12", "5.0%")]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("bad", ["abc", "20x1"])
-def test_bad_year_raises(spark, bad):
+def test_bad_year_raises(spark, bad, ansi):
     from enrolmart.operators.staging import stg
     from enrolmart.schemas import DIMENSIONS, MEASURES
 
     row = [bad, "January", "National", "US", "National", "Total", "00000"] + [1.0] * len(MEASURES)
     schema = ", ".join(f"{c} string" for c in DIMENSIONS) + ", " + ", ".join(f"{m} double" for m in MEASURES)
-    with pytest.raises(Exception):
-        stg(spark.createDataFrame([row], schema)).collect()
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="invalid year|CAST"):
+            stg(spark.createDataFrame([row], schema)).collect()
+        good = stg(spark.createDataFrame([["2020"] + row[1:], [None] + row[1:]], schema)).collect()
+        assert [r.year for r in good] == [2020, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
