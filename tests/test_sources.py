@@ -126,6 +126,24 @@ def test_incremental_landing_stream(spark, tmpdir_fresh):
     assert ingest_available(spark, landing, target, ckpt).count() == first
 
 
+def test_incremental_landing_picks_up_new_pages(spark, tmpdir_fresh):
+    from enrolmart.streaming.landing import ingest_available
+
+    src = os.path.join(tmpdir_fresh, "all")
+    writers.land_pages(_landed(spark), src, page_size=500)
+    pages = readers.landed_json(spark, src)
+    total = pages.count()
+    landing = os.path.join(tmpdir_fresh, "landing")
+    target = os.path.join(tmpdir_fresh, "typed")
+    ckpt = os.path.join(tmpdir_fresh, "ckpt")
+    # the first pages arrive, are ingested; the rest arrive later
+    pages.where(F.col("page_offset") < 1500).write.partitionBy("page_offset").json(landing)
+    first = ingest_available(spark, landing, target, ckpt).count()
+    assert 0 < first < total
+    pages.where(F.col("page_offset") >= 1500).write.mode("append").partitionBy("page_offset").json(landing)
+    assert ingest_available(spark, landing, target, ckpt).count() == total
+
+
 def test_mirror_key():
     assert writers.mirror_key("/data/raw/enrollment/2025-11/part.parquet") == "enrollment/2025-11/part.parquet"
     assert writers.mirror_key("/tmp/x/part.parquet") == "enrollment/part.parquet"
