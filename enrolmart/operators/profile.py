@@ -45,8 +45,18 @@ def missing_cells(cols: list[str]) -> Column:
     return F.expr(" + ".join(f"CAST(`{c}` IS NULL AS INT)" for c in cols))
 
 
-def distinct_counts(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """Exact distinct counts (NULL ignored), one output column per input column."""
+def distinct_counts(df: DataFrame, cols: dict[str, str], approx_rsd: float | None = None) -> DataFrame:
+    """Distinct counts (NULL ignored), one output column per input column.
+
+    Exact by default (one aggregation; Spark de-duplicates each column's
+    values in a shuffle).  With ``approx_rsd`` a HyperLogLog++ sketch per
+    column is merged map-side instead: no value shuffle, bounded memory,
+    relative standard deviation ``approx_rsd``.
+    """
+    if approx_rsd is not None:
+        return df.agg(
+            *[F.approx_count_distinct(F.col(c), approx_rsd).alias(out) for c, out in cols.items()]
+        )
     return df.agg(*[F.count_distinct(F.col(c)).alias(out) for c, out in cols.items()])
 
 

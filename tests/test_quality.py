@@ -112,3 +112,13 @@ def test_enforce_columns(spark):
     bad = spark.createDataFrame(rows + [("landed.required_columns", "YEAR", "error")], found.schema)
     with pytest.raises(ValueError):
         quality.enforce_columns(bad)
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    from enrolmart.operators import profile
+
+    df = spark.createDataFrame([(i % 7, None if i % 5 == 0 else f"s{i % 11}") for i in range(300)], "a int, b string")
+    exact = profile.distinct_counts(df, {"a": "na", "b": "nb"}).collect()[0]
+    assert (exact.na, exact.nb) == (7, 11)
+    approx = profile.distinct_counts(df, {"a": "na", "b": "nb"}, approx_rsd=0.01).collect()[0]
+    assert (approx.na, approx.nb) == (7, 11)  # small cardinalities are counted exactly by the sketch
