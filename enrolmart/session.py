@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,19 +67,15 @@ def build_session(master: str | None = None, app: str = "enrolmart", **conf) ->
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, registered with the context.
 
-    On a cluster this is set by the deployment and must be a shared
-    filesystem.  Only when it is unset (local runs and tests) a private
-    directory is created and registered.
+    The deployment sets it to a filesystem that every executor reaches.  A
+    folder is never invented here: one that only the driver sees would lose
+    intermediate data on a cluster, so an unset setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
-    if not root:
-        root = tempfile.mkdtemp(prefix="enrolmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a shared folder when the session is built")
     spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

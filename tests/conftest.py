@@ -14,10 +14,15 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from enrolmart.session import build_session
 
-    spark = build_session("local[4]", app="enrolmart-tests", **{"spark.sql.shuffle.partitions": "8"})
-    # Tests run without a cluster-provided checkpoint folder: set a private one.
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="enrolmart-test-ckpt-"))
+    # Tests run without a cluster-provided checkpoint folder: a private one per run.
+    spark = build_session(
+        "local[4]",
+        app="enrolmart-tests",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="enrolmart-test-ckpt-"),
+        },
+    )
     yield spark
     spark.stop()
 
