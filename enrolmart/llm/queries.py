@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import packing, simhash
+from enrolmart.llm import packing, simhash, suffix_tree
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_packing"] = op3_packing
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_lm_scoring"] = op6_lm_scoring
