@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import packing, simhash, suffix_tree
+from enrolmart.llm import line_dedup, packing, simhash, suffix_tree
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,11 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_lm_scoring"] = op6_lm_scoring
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op1(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_line_dedup"] = op1_line_dedup
+ORACLE["op1_line_dedup"] = line_dedup.SQL
