@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import line_dedup, packing, simhash, suffix_tree
+from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op1_line_dedup"] = op1_line_dedup
 ORACLE["op1_line_dedup"] = line_dedup.SQL
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op4_benchmark_decontamination"] = op4_benchmark_decontamination
+ORACLE["op4_benchmark_decontamination"] = decontam.SQL
