@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree
+from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, winnow
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES["op4_benchmark_decontamination"] = op4_benchmark_decontamination
 ORACLE["op4_benchmark_decontamination"] = decontam.SQL
+
+
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.op10(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_document_fingerprints"] = op10_document_fingerprints
