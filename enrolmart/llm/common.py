@@ -50,3 +50,12 @@ def null_safe(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for n in names:
         cond = cond & left[n].eqNullSafe(right[n])
     return cond
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once per row however often body uses it.
+
+    A plain column that a lambda refers to may be inlined there by the
+    optimizer and then evaluated once per element.
+    """
+    return F.transform(F.array(value), body)[0]
