@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, winnow
+from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, toxicity, winnow
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_document_fingerprints"] = op10_document_fingerprints
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["op5_toxicity"] = op5_toxicity
