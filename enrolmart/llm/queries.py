@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, toxicity, winnow
+from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, toxicity, url_filter, winnow
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_toxicity"] = op5_toxicity
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op8(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_url_filters"] = op8_url_filters
+ORACLE["op8_url_filters"] = url_filter.SQL
