@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import decontam, line_dedup, packing, simhash, suffix_tree, toxicity, url_filter, winnow
+from enrolmart.llm import decontam, line_dedup, packing, secrets, simhash, suffix_tree, toxicity, url_filter, winnow
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op8_url_filters"] = op8_url_filters
 ORACLE["op8_url_filters"] = url_filter.SQL
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op2(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op2_secret_scans"] = op2_secret_scans
+ORACLE["op2_secret_scans"] = secrets.SQL
