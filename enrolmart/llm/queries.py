@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import decontam, line_dedup, packing, secrets, simhash, suffix_tree, toxicity, url_filter, winnow
+from enrolmart.llm import chat, decontam, line_dedup, packing, secrets, simhash, suffix_tree, toxicity, url_filter, winnow
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op2_secret_scans"] = op2_secret_scans
 ORACLE["op2_secret_scans"] = secrets.SQL
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op7(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op7_chat_formatting"] = op7_chat_formatting
+ORACLE["op7_chat_formatting"] = chat.SQL
