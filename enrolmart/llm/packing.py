@@ -19,7 +19,7 @@ two, so nothing is padded at all.
 
 Tokens come from a public tokenizer file (``word_bpe_49k.json`` by default)
 plus one separator id per document.  Its ids never depend on what lies
-across white space, so distinct words are encoded once per worker.
+across white space, so a task encodes distinct words rather than texts.
 
 Defined cases: a null or empty text is the separator alone; repeated rows
 are packed once each; a null id is kept; an empty table gives no pieces.
@@ -28,11 +28,13 @@ are packed once each; a null id is kept; an empty table gives no pieces.
 from __future__ import annotations
 
 import heapq
-import re
+import os
 from bisect import bisect_right, insort
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,9 +47,9 @@ STEP_TOKENS = 16 * 2048
 # Tokens gathered before windows are built (bounds a task's memory).
 POOL_TOKENS = 1 << 21
 # Distinct words kept per worker.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 3 << 18
 # Texts tokenised together.
-_TEXTS = 512
+_TEXTS = 1024
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -61,40 +63,88 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# A Latin letter and the ASCII punctuation after it never share a token.
+_LETTER_MARK = r"([a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([!-/:-@\[-`{-~])"
+# Texts with these are encoded whole: markers that the tokenizer may read as
+# special, and the letter whose lower case ends in a mark.
+_WHOLE = "<[|]|\u0130"
+
+
+class Words:
+    """Ids of words met so far, in growing arrays; forgotten together when there are too many."""
+
+    def __init__(self):
+        self.slot: dict[str, int] = {}
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def add(self, words: list[str], size: np.ndarray, ids: np.ndarray) -> None:
+        self.slot.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.ids = np.append(self.ids, ids)
+
+
 class WordEncoder:
-    """Ids (little-endian uint32 bytes) of texts, through a cache of words."""
+    """Ids of texts, by way of their distinct words.
+
+    The tokenizer folds case, drops white space and never joins what it
+    separates, so a text's ids are those of its folded words in order.
+    """
 
     def __init__(self, spec: str):
         import tokenizers
+        from tokenizers import normalizers, pre_tokenizers
 
-        self.tok = tokenizers.Tokenizer.from_str(spec)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         # The library's module outlives a task: later tasks of this worker go on with its words.
-        self.words = tokenizers.__dict__.setdefault("_word_ids", {}).setdefault(hash(spec), {})
-        # White space for str.split but not for the tokenizer: such texts are encoded whole.
-        self.odd = re.compile("[\x1c-\x1f]")
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, missing: set[str]) -> None:
-        """A final full stop or comma after a letter is a token of its own: share the stem."""
+        kept = tokenizers.__dict__.setdefault("_kept_by_spec", {})
+        if spec not in kept:
+            tok = tokenizers.Tokenizer.from_str(spec)
+            # For words of letters alone the pattern that splits at letters has nothing to do.
+            letters = tokenizers.Tokenizer(tok.model)
+            letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+            letters.pre_tokenizer = pre_tokenizers.ByteLevel(False, use_regex=False)
+            kept[spec] = [tok, letters, Words()]
+        self.kept = kept[spec]
+        self.tok, self.letters, self.words = self.kept
+
+    def _learn(self, missing: list[str]) -> None:
+        ascii_, letters, other = [], [], []
+        for w in missing:
+            (other if not w.isalpha() else ascii_ if w.isascii() else letters).append(w)
+        ids = [[t.id for t in ts] for ts in map(self.tok.model.tokenize, ascii_)]
+        ids += [e.ids for e in self.letters.encode_batch_fast(letters)]
+        ids += [e.ids for e in self.tok.encode_batch_fast(other, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        self.words.add(ascii_ + letters + other, size, flat)
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """One uint32 array per text."""
+        whole = np.flatnonzero(pc.match_substring_regex(texts, _WHOLE).to_numpy(False))
+        spaced = pc.replace_substring_regex(pc.ascii_lower(texts), _LETTER_MARK, r"\1 \2")
+        split = pc.ascii_split_whitespace(spaced)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.words.slot) > CACHE_WORDS:
+            self.kept[2] = self.words = Words()
         words = self.words
-        stems = {w: w[:-1] for w in missing if w[-1] in ".," and w[-2:-1].isalpha()}
-        new = list((missing.difference(stems) | set(stems.values()) | {".", ","}) - words.keys())
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            words[w] = np.array(e.ids, "<u4").tobytes()
-        for w, stem in stems.items():
-            words[w] = words[stem] + words[w[-1]]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() if not self.odd.search(t) else None for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        missing = set().union(*(w for w in split if w)) - self.words.keys()
+        missing = [w for w in distinct if w not in words.slot]
         if missing:
-            self.learn(missing)
-        get = self.words.__getitem__
-        return [self.whole(t) if w is None else b"".join(map(get, w)) for t, w in zip(texts, split)]
+            self._learn(missing)
+        slot = np.fromiter(map(words.slot.__getitem__, distinct), np.int64, len(distinct))
+        slot = slot[coded.indices.to_numpy()]
+        size = words.size[slot]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = words.ids[np.arange(total) + np.repeat(words.start[slot] - ends + size, size)]
+        last = np.cumsum(pc.list_value_length(split).to_numpy())
+        out = np.split(ids, np.concatenate(([0], ends))[last])[:-1]
+        for i in whole.tolist():
+            text = texts[i].as_py()
+            out[i] = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
+        return out
 
 
 class Packer:
@@ -214,9 +264,9 @@ def pack(
         for b in batches:
             ids = b.column("doc_id").to_pylist()
             for i in range(0, len(ids), _TEXTS):
-                texts = b.column("text").slice(i, _TEXTS).to_pylist()
+                texts = b.column("text").slice(i, _TEXTS)
                 for doc_id, tokens in zip(ids[i : i + _TEXTS], encode(texts)):
-                    packer.add(doc_id, tokens + end)
+                    packer.add(doc_id, tokens.astype("<u4").tobytes() + end)
                     if packer.tokens >= POOL_TOKENS:
                         packer.close_windows()
                         yield from out()
