@@ -286,7 +286,7 @@ def remove(
         def run(batches):
             for b in batches:
                 texts, keep, held, cut = b.column(place), [], [], []
-                before = b.column(len(docs.columns)).to_pylist()
+                before = b.column(b.num_columns - 1).to_pylist()
                 for i, (n, hit, _) in enumerate(_matched(shared, texts)):
                     for s in before[i]:
                         hit = hit.copy()

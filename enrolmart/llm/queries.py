@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrolmart.llm import chat, decontam, line_dedup, packing, secrets, simhash, suffix_tree, toxicity, url_filter, winnow
+import corpus_pipeline
+from enrolmart.llm import (
+    chat,
+    decontam,
+    line_dedup,
+    packing,
+    secrets,
+    simhash,
+    suffix_tree,
+    toxicity,
+    url_filter,
+    winnow,
+)
 from enrolmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +98,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op7_chat_formatting"] = op7_chat_formatting
 ORACLE["op7_chat_formatting"] = chat.SQL
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrolmart.llm.common import col, id_text, null_safe, staged
+from enrolmart.llm.common import col, id_text, staged
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -78,15 +78,17 @@ def simhash(raw: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(
     docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp): one row per input row."""
+    """(doc_id, text_md5, fp): one row per input row."""
 
     def run(batches):
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             fps = pa.array([simhash(t, shingle) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), fps], ["doc_id", "fp"])
+            columns = [b.column("doc_id"), b.column("text_md5"), fps]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_md5", "fp"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    texts = id_text(docs, id_col, text_col).withColumn("text_md5", F.md5(F.col("text").cast("binary")))
+    return texts.mapInArrow(run, "doc_id long, text_md5 string, fp long")
 
 
 def _unite(parent: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -288,7 +290,11 @@ def near_dups(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, fp, component_id) per row; component_id is the smallest linked doc_id."""
+    """(doc_id, text_md5, fp, component_id, root) per row.
+
+    component_id is the smallest linked doc_id; root, the smallest linked
+    fingerprint, names a component even where ids are null.
+    """
     fps = staged(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = components(links(classes.select("fp"), max_bits))
@@ -296,29 +302,43 @@ def near_dups(
         "fp", "rep", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(ids, "root").select("fp", "component_id", "root")
+    return fps.join(named, "fp").select("doc_id", "text_md5", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component its smallest doc_id stays.
+    """The rows of ``docs`` without near copies: one row of each component stays.
 
-    Rows that repeat the id of the kept document (equal or not) are one
-    document: the row with the smallest text hash stays.  Components of null ids keep one row.
+    It is the row with the smallest doc_id (null ids last), then the smallest
+    text hash; of rows equal in both, the one with the smallest row hash.
     """
     found = near_dups(docs, shingle, max_bits)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5"))
+    kept = found.groupBy("root").agg(first.alias("k")).select("k.doc_id", "k.text_md5")
+    again = (
+        found.groupBy("doc_id", "text_md5")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .join(kept.withColumnsRenamed({"doc_id": "__id", "text_md5": "__md5"}),
+              F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_md5") == F.col("__md5")))
+        .select("__id", "__md5", "__n")
+    )
+    md5 = F.md5(F.coalesce(col("text").cast("string"), F.lit("")).cast("binary"))
+    whole = docs.select(
+        F.struct(*[col(c) for c in docs.columns]).alias("row"),
+        col("doc_id").cast("long").alias("__doc"),
+        md5.alias("__text"),
     )
-    again = kept.groupBy("__keep").agg(F.count(F.lit(1)).alias("__n"))
-    out = docs.join(again, col("doc_id").eqNullSafe(F.col("__keep")), "inner")
-    once = out.where("__n = 1").select(*[out[col_] for col_ in _quoted(docs)])
-    more = out.where("__n > 1").select(*[out[col_] for col_ in _quoted(docs)])
-    return once.unionByName(more.dropDuplicates(["doc_id"]))
-
-
-def _quoted(df: DataFrame) -> list[str]:
-    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    out = whole.join(
+        again, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__md5"))
+    )
+    once = out.where("__n = 1").select("row.*")
+    more = (
+        out.where("__n > 1")
+        .groupBy("__doc", "__text")
+        .agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        .select("row.*")
+    )
+    return once.union(more)
 
 
 def op9(docs: DataFrame) -> DataFrame:
