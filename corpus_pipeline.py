@@ -23,7 +23,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shortened texts; n_chars follows the text where lines went."""
     out = line_dedup.dedup(docs)
     n_chars = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    return out.withColumn("n_chars", n_chars).drop("__lines", "__removed")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,12 @@ def let(value: Column, body) -> Column:
     optimizer and then evaluated once per element.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def map_rows(df: DataFrame, run) -> DataFrame:
+    """``mapInArrow`` over whole rows, whatever the columns are called (run sees them by place)."""
+    from pyspark.sql import types as T
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    out = T.StructType([T.StructField(f.name, f.dataType, True) for f in plain.schema.fields])
+    return plain.mapInArrow(run, out).toDF(*df.columns)

@@ -19,17 +19,16 @@ contaminates nothing.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import defaultdict
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrolmart.llm.common import col, staged
+from enrolmart.llm.common import col, map_rows, staged
 
 WINDOW = 13
 # A document is contaminated if at least one word in CONTAMINATED is hit.
@@ -213,8 +212,6 @@ def scan(
         every = every.union(f)
     every = staged(every, "block-hits")
     start, end = F.col("s.start"), F.col("s.end")
-    from pyspark.sql import Window
-
     w = Window.partitionBy("doc_id", "text_md5").orderBy(start, end)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     spans = (
@@ -275,12 +272,9 @@ def remove(
     A document that no single block contaminates, but several do together,
     is judged by the sum: blocks add up hits in a column before the last one decides.
     """
-    from pyspark.sql import types as T
-
     state = "__hit_words"
     out = docs.withColumn(state, F.array().cast("array<struct<start:long,end:long>>"))
     place = docs.columns.index(text_col)
-    schema = T.StructType(out.schema.fields)
 
     def step(frame, shared, last):
         def run(batches):
@@ -306,7 +300,7 @@ def remove(
                 got = pa.RecordBatch.from_arrays(columns, names=b.schema.names)
                 yield got.filter(pa.array(keep))
 
-        return frame.mapInArrow(run, schema)
+        return map_rows(frame, run)
 
     matchers = list(_matchers(docs, benchmark, window, item_col, item_text_col, max_bytes))
     for k, shared in enumerate(matchers):

@@ -12,6 +12,10 @@ same hash) is kept once: at its first place in the rows of the smallest
 doc_id.  All its other occurrences are removed, line feeds between what is
 left stay as they were.
 
+As with any content-defined chunking, the lines of a repeated passage before
+its first inner boundary and after its last one share chunks with their
+surroundings and stay.
+
 Everything is DataFrame functions.  Hashes alone find what may repeat (a map-
 side sum, so a chunk held by a third of all rows is one row per task); only
 occurrences of those carry their bytes on, which the second grouping
@@ -102,17 +106,19 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR, solo_words: int = SOLO_WOR
     once = again.groupBy("hash", "body").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")
     )
-    held = again.join(once.where("n > 1"), ["hash", "body"])
-    # Within a text only the first occurrence can stay; elsewhere none.
-    per_text = held.groupBy("doc_id", "text_md5", "hash", "body", "first_id").agg(
+    # By text first: a chunk that very many texts hold is dealt out by text here, and the join
+    # below feeds another grouping, so its skew can be split.
+    per_text = again.groupBy("doc_id", "text_md5", "hash", "body").agg(
         F.min("no").alias("first_no"), F.collect_set("no").alias("nos")
     )
+    held = per_text.join(once.where("n > 1").drop("n"), ["hash", "body"])
+    # Within a text only the first occurrence can stay; elsewhere none.
     gone = F.when(
         F.col("doc_id").eqNullSafe(F.col("first_id")),
         F.array_except("nos", F.array("first_no")),
     ).otherwise(F.col("nos"))
     return (
-        per_text.select("doc_id", "text_md5", F.explode(gone).alias("no"))
+        held.select("doc_id", "text_md5", F.explode(gone).alias("no"))
         .groupBy("doc_id", "text_md5")
         .agg(F.collect_set("no").alias("gone"))
     )

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrolmart.llm.common import col, staged
+from enrolmart.llm.common import col, map_rows, staged
 
 THRESHOLD = 0.7
 MAX_SAMPLE = 20_000
@@ -294,7 +294,7 @@ def reject(docs: DataFrame, fitted, threshold: float = THRESHOLD, text_col="text
         for b in batches:
             yield b.filter(pa.array(_scores(shared, b.column(place)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
