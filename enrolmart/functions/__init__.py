@@ -7,12 +7,13 @@ from enrolmart.functions.expr import (  # noqa: F401
     format_count,
     format_rate,
     lower_columns,
-    month_name,
+    millions_label,
     month_no,
     month_no_sql,
     pct1,
     pct1_sql,
     report_date,
     report_date_sql,
-    safe_pct,
+    signed_thousands_label,
+    whole_millions_label,
 )

@@ -29,18 +29,30 @@ _ALPHABET_CHARS = "0123456789.+-eE \t\n\x0b\f\r"  # digits, signs, point, expone
 _RATE_WORK_TYPE = "decimal(18,6)"
 
 
-def coerce_double(c: Column | str) -> Column:
+# Numbers of this many characters or fewer, without exponent, are always finite.
+_PLAIN_CHARS = "0123456789.+- \t\n\x0b\f\r"
+_PLAIN_LENGTH = 300
+
+
+def _coerce_text(c: str) -> str:
+    """A count is never infinite: what overflows (``1e400``) becomes NULL, in the rare branch."""
+    number = f"try_cast({c} AS DOUBLE)"
+    return (
+        f"CASE WHEN translate({c}, '{_PLAIN_CHARS}', '') = '' AND length({c}) <= {_PLAIN_LENGTH} "
+        f"THEN {number} "
+        f"WHEN translate({c}, '{_ALPHABET_CHARS}', '') = '' AND abs({number}) < double('Infinity') "
+        f"THEN {number} END"
+    )
+
+
+def coerce_double(c: str) -> Column:
     """String -> double; values not matching NUMERIC_PATTERN become NULL, the row is kept."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.translate(c, _ALPHABET_CHARS, "") == "", c.try_cast("double"))
+    return F.expr(_coerce_text(f"`{c}`"))
 
 
 def coerce_double_sql(name: str) -> str:
     """SQL text of ``coerce_double`` for column ``name`` (for wide projections)."""
-    return (
-        f"CASE WHEN translate(`{name}`, '{_ALPHABET_CHARS}', '') = '' "
-        f"THEN try_cast(`{name}` AS DOUBLE) END"
-    )
+    return _coerce_text(f"`{name}`")
 
 
 def month_no_sql(month: str) -> str:
@@ -76,23 +88,11 @@ def month_no(month: str) -> Column:
     return F.expr(month_no_sql(_name(month)))
 
 
-def month_name(month_number: Column) -> Column:
-    """1..12 -> full English month name."""
-    return F.element_at(F.array(*[F.lit(m) for m in MONTHS]), month_number)
-
-
 def report_date(year: str, month: str) -> Column:
     """First day of the month; NULL when the month is not a month name."""
     return F.expr(report_date_sql(_name(year), _name(month)))
 
 
-def safe_pct(part: Column | str, whole: Column | str) -> Column:
-    """part / whole * 100, NULL when whole is 0 or NULL (never raises)."""
-    part = F.col(part) if isinstance(part, str) else part
-    whole = F.col(whole) if isinstance(whole, str) else whole
-    return part / F.nullif(whole, F.lit(0.0)) * F.lit(100.0)
-
-
 def pct1(part: str, whole: str) -> Column:
     """Share in percent rounded to one decimal on an exact numeric."""
     return F.expr(pct1_sql(_name(part), _name(whole)))
@@ -109,6 +109,22 @@ def format_rate(c: Column | str) -> Column:
     return F.concat(c.cast(RATE_TYPE).cast("string"), F.lit("%"))
 
 
+def millions_label(c: str, digits: int) -> Column:
+    """'65.4M' style: a count in millions with ``digits`` decimals."""
+    return F.concat(F.format_string(f"%.{digits}f", F.col(c) / 1e6), F.lit("M"))
+
+
+def signed_thousands_label(c: str) -> Column:
+    """'+125K' style: a change in thousands, rounded, always signed."""
+    label = F.concat(F.format_string("%+.0f", F.col(c) / 1e3), F.lit("K"))
+    return F.when(F.col(c).isNotNull(), label)
+
+
+def whole_millions_label(c: str) -> Column:
+    """'65M' style: a count in millions, cut to the whole number (axis ticks)."""
+    return F.concat((F.col(c) / 1e6).cast("bigint").cast("string"), F.lit("M"))
+
+
 def lower_columns(df: DataFrame) -> DataFrame:
     """Lower-case every column name (one projection)."""
     return df.toDF(*[c.lower() for c in df.columns])

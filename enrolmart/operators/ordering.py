@@ -9,31 +9,20 @@ This is the DataFrame form of counting per partition, then prefix-summing.
 
 from __future__ import annotations
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrolmart.session import checkpoint_root
 
 
-# Target size of one range (bytes, Catalyst's estimate of the input).
-RANGE_BYTES = 256 * 1024 * 1024
+def _by_range(df: DataFrame, n: int | None, key: list) -> DataFrame:
+    """Range-partitioned by ``key``: n ranges, else ``spark.sql.shuffle.partitions``.
 
-
-def range_count(df: DataFrame, n: int | None) -> int:
-    """Number of ranges: explicit, else sized from the plan's size estimate.
-
-    At least one range per core of the application (``defaultParallelism``);
-    more when the estimated input exceeds that many ``RANGE_BYTES`` ranges,
-    so a range stays task-sized at any scale.
+    The setting is sized for the cluster and the input (``cluster_conf``).
     """
-    if n:
-        return n
-    base = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the default
-        return base
-    return max(base, -(-size // RANGE_BYTES))
+    n = n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *key)
 
 
 def _fix_ranges(df: DataFrame) -> DataFrame:
@@ -56,22 +45,31 @@ def with_position(
 ) -> DataFrame:
     """Add a 1-based bigint position in the total order ``order``.
 
-    Rows that tie on ``order`` get consecutive positions in arbitrary order;
-    a hash of the whole row is appended to the range key, so a hot run of
-    equal keys still spreads over several ranges.  Cost: one range shuffle
-    plus a local sort, one checkpoint write, and a broadcast of ``n_ranges``
-    offset rows.  No single-task window over rows.
+    Rows that tie on ``order`` get consecutive positions in arbitrary order.
+    A hash of the whole row and, for equal rows, the number of the copy are
+    appended to the range key, so a hot run of equal keys or equal rows
+    spreads over several ranges; both depend on the data alone, so a task
+    that runs again repeats them.  Cost: one grouping by row (map-side
+    combined), one range shuffle with a local sort, one checkpoint write, and
+    a broadcast of one offset row per range.  No single-task window over rows.
     """
-    n = range_count(df, n_ranges)
-    key = [*order, F.xxhash64(*[F.col(c) for c in df.columns])]
+    columns = df.columns
+    copies = (
+        df.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+        .drop("_copies")
+    )
+    key = [*order, F.xxhash64(*[F.col(c) for c in columns]), F.col("_copy")]
     ranged = _fix_ranges(
-        df.repartitionByRange(n, *key)
+        _by_range(copies, n_ranges, key)
         .sortWithinPartitions(*key)
+        .drop("_copy")
         .withColumn("_id", F.monotonically_increasing_id())
     )
     rng = F.shiftright("_id", _LOCAL_BITS)
     local = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    # One row per range: bounded by n, safe to broadcast.
+    # One row per range: bounded by the number of ranges, safe to broadcast.
     offsets = (
         ranged.groupBy(rng.alias("_rng"))
         .agg(F.count(F.lit(1)).alias("_cnt"))
@@ -91,6 +89,42 @@ def with_position(
     return out.drop("_rng", "_off", "_id")
 
 
+def _running_counts(batches):
+    """Per (key, value, count) row of a sorted range: the key's running count, and the range."""
+    rng, last, total = TaskContext.get().partitionId(), None, 0
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        keys = pdf["k"].astype(object).where(pdf["k"].notna(), None)
+        run = (keys != keys.shift()).cumsum()  # keys are sorted: runs of equal ones
+        cum = pdf["c"].groupby(run).cumsum()
+        if keys.iloc[0] == last:
+            cum = cum.where(run != run.iloc[0], cum + total)
+        last, total = keys.iloc[-1], int(cum.iloc[-1])
+        yield pdf.assign(cum=cum, rng=rng)
+
+
+def value_counts(long: DataFrame, key: str, value: str, n_ranges: int | None = None) -> DataFrame:
+    """(k, v, c, cum, rng): distinct non-NULL (key, value) pairs in ranges of (key, value).
+
+    ``c`` counts the pair's rows (a map-side partial aggregate, so a value
+    held by a third of all rows is one row) and ``cum`` runs over the key's
+    pairs of the range, in value order.  Written once: every statistic of the
+    column is then a pass over the pairs.
+    """
+    counted = (
+        long.where(F.col(value).isNotNull())
+        .groupBy(F.col(key).cast("string").alias("k"), F.col(value).cast("double").alias("v"))
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    order = [F.col("k"), F.col("v")]
+    return _fix_ranges(
+        _by_range(counted, n_ranges, order)
+        .sortWithinPartitions(*order)
+        .mapInPandas(_running_counts, "k string, v double, c long, cum long, rng int")
+    )
+
+
 def exact_quantiles(
     long: DataFrame, key: str, value: str, probs: tuple[float, ...], n_ranges: int | None = None
 ) -> DataFrame:
@@ -98,91 +132,59 @@ def exact_quantiles(
 
     ``long`` has one row per observation: (key, value).  Returns one row per
     key with columns ``q_<i>`` for each probability (i = 0, 1, ...).
+    """
+    return quantiles_of(value_counts(long, key, value, n_ranges), probs).withColumnRenamed("k", key)
 
-    Plan: distinct (key, value) pairs with their multiplicity (a map-side
-    partial aggregate, so a value held by a third of all rows is one row),
-    range-partitioned by (key, value); cumulative counts are local running
-    sums plus per-range offsets.  The observation at 0-based rank r is the
-    pair whose cumulative interval [cum - c, cum) holds r.  Only the small
-    table of target ranks (keys x probs x 2) is broadcast.
+
+def quantiles_of(pairs: DataFrame, probs: tuple[float, ...]) -> DataFrame:
+    """Quantiles per ``k`` of ``value_counts``.
+
+    The running counts plus per-range offsets are cumulative counts; the
+    observation at 0-based rank r is the pair whose cumulative interval
+    [cum - c, cum) holds r.
     """
-    n = range_count(long, n_ranges)
-    counted = (
-        long.where(F.col(value).isNotNull())
-        .groupBy(key, value)
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    ranged = _fix_ranges(
-        counted.repartitionByRange(n, key, value).withColumn("_rng", F.spark_partition_id())
-    )
-    local = ranged.withColumn(
-        "_cum_local",
-        F.sum("_c").over(
-            Window.partitionBy("_rng", key)
-            .orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, 0)
-        ),
-    )
-    per_range = ranged.groupBy(key, "_rng").agg(F.sum("_c").alias("_t"))
+    per_range = pairs.groupBy("k", "rng").agg(F.sum("c").alias("_t"))
     offsets = per_range.withColumn(
         "_off",
         F.coalesce(
             F.sum("_t").over(
-                Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+                Window.partitionBy("k").orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
             ),
             F.lit(0),
         ),
-    ).select(key, "_rng", "_off")
-    totals = per_range.groupBy(key).agg(F.sum("_t").alias("_n"))
+    ).select("k", "rng", "_off")
+    totals = per_range.groupBy("k").agg(F.sum("_t").alias("_n"))
 
     # Target ranks: for probability p, h = (n - 1) * p; interpolate between
-    # ranks floor(h) and ceil(h).  One row per (key, prob, side): bounded.
-    targets = totals.select(
-        key,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_qi"), ((F.col("_n") - 1) * F.lit(p)).alias("_h"))
-                    for i, p in enumerate(probs)
-                ]
-            )
-        ).alias("_t"),
-    ).select(key, "_t._qi", "_t._h")
-    targets = targets.select(
-        key,
-        "_qi",
-        "_h",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("_side"), F.floor("_h").alias("_r")),
-                F.struct(F.lit(1).alias("_side"), F.ceil("_h").alias("_r")),
-            )
-        ).alias("_s"),
-    ).select(key, "_qi", "_h", "_s._side", "_s._r")
-
-    cum = local.join(F.broadcast(offsets), [key, "_rng"]).select(
-        key,
-        value,
-        (F.col("_cum_local") + F.col("_off")).alias("_cum"),
-        "_c",
+    # ranks floor(h) and ceil(h).  One row per (key, prob, side).
+    sides = [
+        F.struct(F.lit(i).alias("_qi"), h.alias("_h"), F.lit(side).alias("_side"), r.alias("_r"))
+        for i, p in enumerate(probs)
+        for h in [(F.col("_n") - 1) * F.lit(p)]
+        for side, r in enumerate((F.floor(h), F.ceil(h)))
+    ]
+    targets = totals.select("k", F.explode(F.array(*sides)).alias("_s")).select("k", "_s.*")
+
+    cum = pairs.join(offsets, ["k", "rng"]).select(
+        "k", "v", (F.col("cum") + F.col("_off")).alias("_cum"), "c"
     )
     hit = cum.join(
-        F.broadcast(targets),
-        (cum[key] == targets[key])
-        & (targets["_r"] >= cum["_cum"] - cum["_c"])
-        & (targets["_r"] < cum["_cum"]),
-    ).select(cum[key].alias(key), "_qi", "_h", "_side", F.col(value).cast("double").alias("_v"))
-    picked = hit.groupBy(key, "_qi", "_h").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
+        targets.withColumnRenamed("k", "_k"),
+        (F.col("k") == F.col("_k"))
+        & (F.col("_r") >= F.col("_cum") - F.col("c"))
+        & (F.col("_r") < F.col("_cum")),
+    )
+    picked = hit.groupBy("k", "_qi", "_h").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("v"))).alias("_lo"),
+        F.max(F.when(F.col("_side") == 1, F.col("v"))).alias("_hi"),
     )
     q = picked.select(
-        key,
+        "k",
         "_qi",
         (
             F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))
         ).alias("_q"),
     )
-    return q.groupBy(key).pivot("_qi", list(range(len(probs)))).agg(F.first("_q")).select(
-        key, *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))]
+    return q.groupBy("k").pivot("_qi", list(range(len(probs)))).agg(F.first("_q")).select(
+        "k", *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))]
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrolmart.operators.ordering import exact_quantiles
+from enrolmart.operators.ordering import quantiles_of, value_counts
 
 
 def row_count(df: DataFrame, relation: str) -> DataFrame:
@@ -119,42 +119,43 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per column.
 
-    Moments come from one wide aggregate; quantiles from the distributed
-    ``exact_quantiles`` over the unpivoted (column, value) pairs.  Mean and
-    std are rounded to ``digits`` places: their last binary digits depend on
-    the summation order, which a distributed engine does not fix.
+    The columns are unpivoted once to (column, value) pairs with their
+    counts; moments and quantiles are passes over those pairs.  Columns
+    without a value have count 0 and NULL statistics.
     """
-    moments = df.selectExpr(
-        *[
-            agg
-            for i, c in enumerate(cols)
-            for agg in (
-                f"count(`{c}`) AS n{i}",
-                f"round(avg(`{c}`), {digits}) AS m{i}",
-                f"round(stddev_samp(`{c}`), {digits}) AS s{i}",
-                f"CAST(min(`{c}`) AS DOUBLE) AS lo{i}",
-                f"CAST(max(`{c}`) AS DOUBLE) AS hi{i}",
-            )
-        ]
-    ).selectExpr(
-        stack_sql(
-            [(sql_str(c), f"n{i}", f"m{i}", f"s{i}", f"lo{i}", f"hi{i}") for i, c in enumerate(cols)],
-            ["column_name", "count", "mean", "std", "min", "max"],
-        )
-    )
     long = df.selectExpr(
-        stack_sql([(sql_str(c), f"CAST(`{c}` AS DOUBLE)") for c in cols], ["k", "v"])
+        stack_sql([(sql_str(c), f"CAST(`{c}` AS DOUBLE)") for c in cols], ["name", "value"])
+    )
+    pairs = value_counts(long, "name", "value")
+    first = pairs.groupBy("k").agg(
+        F.sum("c").alias("count"),
+        (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
     )
-    q = exact_quantiles(long, "k", "v", (0.25, 0.5, 0.75)).select(
-        F.col("k").alias("column_name"),
+    # Deviations from the mean (not a difference of large sums) keep the digits.
+    square = (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))
+    second = (
+        pairs.join(first.select("k", "mean"), "k")
+        .groupBy("k")
+        .agg(F.sum(square * F.col("c")).alias("_ss"))
+    )
+    q = quantiles_of(pairs, (0.25, 0.5, 0.75))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    out = names.join(
+        first.join(second, "k").join(q, "k"), F.col("column_name") == F.col("k"), "left"
+    )
+    return out.select(
+        "column_name",
+        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))).alias("std"),
+        "min",
         F.col("q_0").alias("p25"),
         F.col("q_1").alias("p50"),
         F.col("q_2").alias("p75"),
-    )
-    # Both sides have one row per column: a small join.
-    return moments.join(q, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+        "max",
     )

@@ -7,8 +7,6 @@ was written, so the oracle is the SQL of the relation that went in.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +14,8 @@ from enrolmart.operators import quality
 from enrolmart.plans.oracle import with_chain
 from enrolmart.plans.registry import register
 from enrolmart.plans.relations import register_views, release
-from enrolmart.schemas import DIMENSIONS, MEASURES, NATIONAL, RAW, RAW_KEY, STG_MEASURES
-from enrolmart.session import scratch_dir
+from enrolmart.schemas import BY_STATE, DIMENSIONS, MEASURES, NATIONAL, RAW, RAW_KEY, STG_MEASURES
+from enrolmart.session import note_views, scratch_dir, scratch_name
 from enrolmart.sources import readers, writers
 from enrolmart.streaming.landing import ingest_available
 
@@ -27,7 +25,12 @@ PAGE_SIZE = 5000
 
 
 def _table_name(label: str) -> str:
-    return f"enrolmart_{label}_{uuid.uuid4().hex[:10]}"
+    return scratch_name("table", label)
+
+
+def _expect(done: bool, wanted: bool, what: str) -> None:
+    if done is not wanted:
+        raise RuntimeError(f"{what}: {'not ' * wanted}written")
 
 
 @register("scan_release", with_chain("SELECT * FROM typed"))
@@ -64,20 +67,43 @@ def q_json_records_incremental(spark, sf_dir):
 _KEY = ", ".join(RAW_KEY)
 
 
+GAP_PAGE = 200
+_PAGES = (
+    "pages AS (SELECT page_offset, count(*) AS n_rows FROM ("
+    f"SELECT CAST((row_number() OVER (ORDER BY {_KEY}) - 1) // {GAP_PAGE} * {GAP_PAGE} AS BIGINT) AS page_offset "
+    "FROM landed) GROUP BY page_offset)"
+)
+_GAPS = (
+    "SELECT page_offset, n_rows, page_offset <> 0 AND NOT EXISTS "
+    "(SELECT 1 FROM kept k WHERE k.page_offset + k.n_rows = p.page_offset) AS gap FROM "
+    "(SELECT * FROM kept UNION ALL SELECT (SELECT sum(n_rows)::BIGINT FROM pages), 0) p"
+)
+
+
+@register("page_gaps", with_chain(_GAPS, _PAGES + ", kept AS (SELECT * FROM pages)"))
+def q_page_gaps(spark, sf_dir):
+    """A whole landing: every page, and the declared end, follows another page."""
+    landing = scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, landing, GAP_PAGE)
+    return readers.page_gaps(spark, landing, readers.declared_total(spark, landing))
+
+
 @register(
-    "page_gaps",
+    "page_gaps_broken",
     with_chain(
-        "SELECT page_offset, n_rows, lag(page_offset + n_rows) OVER (ORDER BY page_offset) AS expected_offset, "
-        "coalesce(page_offset <> lag(page_offset + n_rows) OVER (ORDER BY page_offset), false) AS gap "
-        "FROM (SELECT page_offset, count(*) AS n_rows FROM ("
-        f"SELECT CAST((row_number() OVER (ORDER BY {_KEY}) - 1) // {PAGE_SIZE} * {PAGE_SIZE} AS BIGINT) AS page_offset "
-        "FROM landed) GROUP BY page_offset)"
+        _GAPS,
+        _PAGES + f", kept AS (SELECT * FROM pages WHERE page_offset NOT IN (0, {3 * GAP_PAGE}, (SELECT max(page_offset) FROM pages)))",
     ),
 )
-def q_page_gaps(spark, sf_dir):
-    landing = scratch_dir(spark, "landing")
-    writers.land_pages(release(spark, sf_dir).landed, landing, PAGE_SIZE)
-    return readers.page_gaps(spark, landing)
+def q_page_gaps_broken(spark, sf_dir):
+    """A landing that lost its first, a middle and its last page."""
+    whole, landing = scratch_dir(spark, "landing"), scratch_dir(spark, "landing")
+    writers.land_pages(release(spark, sf_dir).landed, whole, GAP_PAGE)
+    total = readers.declared_total(spark, whole)
+    last = (total - 1) // GAP_PAGE * GAP_PAGE
+    pages = readers.landed_json(spark, whole)
+    pages.where(~F.col("page_offset").isin(0, 3 * GAP_PAGE, last)).write.json(landing)
+    return readers.page_gaps(spark, landing, total)
 
 
 @register(
@@ -103,6 +129,13 @@ def q_dq_missing_columns(spark, sf_dir):
     )
 
 
+@register("csv_roundtrip_by_state", with_chain("SELECT * FROM by_state"))
+def q_csv_roundtrip_by_state(spark, sf_dir):
+    rel = release(spark, sf_dir)
+    paths = writers.export_marts(rel.national(), rel.by_state(), scratch_dir(spark, "exports"))
+    return readers.read_csv(spark, paths["by_state"], BY_STATE)
+
+
 @register("csv_roundtrip", with_chain("SELECT * FROM national"))
 def q_csv_roundtrip(spark, sf_dir):
     rel = release(spark, sf_dir)
@@ -112,8 +145,9 @@ def q_csv_roundtrip(spark, sf_dir):
 
 @register("table_scan", with_chain("SELECT * FROM national"))
 def q_table_scan(spark, sf_dir):
-    prefix = f"q{uuid.uuid4().hex[:8]}_"
+    prefix = scratch_name("view", "q") + "_"
     names = register_views(spark, release(spark, sf_dir), prefix)
+    note_views(names.values())
     return readers.table_scan(spark, f"SELECT * FROM {names['national']}")
 
 
@@ -128,9 +162,10 @@ def q_parquet_roundtrip(spark, sf_dir):
 def q_skip_if_exists(spark, sf_dir):
     root = scratch_dir(spark, "enrollment")
     raw = release(spark, sf_dir).raw
-    assert writers.write_release(raw, root, LATEST)
+    _expect(writers.write_release(raw, root, LATEST), True, "first release")
     # Same release again without force: kept as it was.
-    assert not writers.write_release(raw.where(F.col("bene_geo_lvl") == "National"), root, LATEST)
+    again = writers.write_release(raw.where(F.col("bene_geo_lvl") == "National"), root, LATEST)
+    _expect(again, False, "existing release")
     return readers.scan_release(spark, writers.release_path(root, LATEST))
 
 
@@ -150,8 +185,9 @@ def q_load_if_empty(spark, sf_dir):
     raw = release(spark, sf_dir).raw
     table = _table_name("raw")
     location = scratch_dir(spark, "table")
-    assert writers.load_if_empty(spark, raw, table, location, RAW)
-    assert not writers.load_if_empty(spark, raw.where(F.col("bene_geo_lvl") == "National"), table, location, RAW)
+    _expect(writers.load_if_empty(spark, raw, table, location, RAW), True, "empty table")
+    part = raw.where(F.col("bene_geo_lvl") == "National")
+    _expect(writers.load_if_empty(spark, part, table, location, RAW), False, "loaded table")
     return spark.table(table)
 
 
@@ -177,15 +213,34 @@ def q_export_legacy_nulls(spark, sf_dir):
 @register(
     "dq_row_parity",
     with_chain(
-        "SELECT 'raw_load.row_parity' AS check, "
-        "CAST(abs((SELECT count(*) FROM typed) - (SELECT count(*) FROM typed)) AS BIGINT) AS failed_rows"
+        "SELECT 'raw_load.row_parity' AS check, CAST(abs("
+        "(SELECT count(*) FROM typed) - (SELECT sum(n) FROM (SELECT count(*) AS n FROM landed "
+        "GROUP BY bene_geo_lvl, bene_state_abrvtn, bene_county_desc))) AS BIGINT) AS failed_rows"
     ),
 )
 def q_dq_row_parity(spark, sf_dir):
-    raw = release(spark, sf_dir).raw
-    table = _table_name("raw")
-    writers.full_reload(spark, raw, table, scratch_dir(spark, "table"), RAW)
-    return quality.row_parity(raw, spark.table(table), "raw_load")
+    """A written release against the table loaded from it (both counts read stored rows)."""
+    root, table = scratch_dir(spark, "enrollment"), _table_name("raw")
+    writers.write_release(release(spark, sf_dir).raw, root, LATEST)
+    stored = readers.scan_release(spark, writers.release_path(root, LATEST))
+    writers.full_reload(spark, stored, table, scratch_dir(spark, "table"), RAW)
+    return quality.row_parity(stored, spark.table(table), "raw_load")
+
+
+@register(
+    "dq_row_parity_broken",
+    with_chain(
+        "SELECT 'raw_load.row_parity' AS check, count(*) AS failed_rows FROM typed WHERE bene_geo_lvl = 'County'"
+    ),
+)
+def q_dq_row_parity_broken(spark, sf_dir):
+    """A load that lost the county rows."""
+    root, table = scratch_dir(spark, "enrollment"), _table_name("raw")
+    writers.write_release(release(spark, sf_dir).raw, root, LATEST)
+    stored = readers.scan_release(spark, writers.release_path(root, LATEST))
+    lost = stored.where(F.col("bene_geo_lvl") != "County")
+    writers.full_reload(spark, lost, table, scratch_dir(spark, "table"), RAW)
+    return quality.row_parity(stored, spark.table(table), "raw_load")
 
 
 @register("mart_reload_national", with_chain("SELECT * FROM national"))

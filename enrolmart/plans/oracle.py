@@ -19,7 +19,10 @@ def month_case(col: str) -> str:
 
 
 def coerce_sql(col: str) -> str:
-    return f"CASE WHEN regexp_matches({col}, '{NUMERIC_PATTERN}') THEN TRY_CAST({col} AS DOUBLE) END"
+    return (
+        f"CASE WHEN regexp_matches({col}, '{NUMERIC_PATTERN}') AND isfinite(TRY_CAST({col} AS DOUBLE)) "
+        f"THEN TRY_CAST({col} AS DOUBLE) END"
+    )
 
 
 def pct1_sql(part: str, whole: str) -> str:

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from enrolmart.functions.expr import month_no, pct1, report_date
 from enrolmart.operators import profile, quality
-from enrolmart.operators.marts import by_state_rows, national_rows
-from enrolmart.operators.profile import sql_str, stack_sql
 from enrolmart.plans import reports
 from enrolmart.plans.oracle import month_case, pct1_sql, with_chain
 from enrolmart.plans.relations import release
+from enrolmart.sources.readers import empty_columns
 from enrolmart.schemas import (
     CONTRACTS,
     DIMENSIONS,
@@ -35,16 +34,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-# Measures profiled by describe (the ones that reach a mart).
-DESCRIBE_MEASURES = (
-    "tot_benes",
-    "orgnl_mdcr_benes",
-    "ma_and_oth_benes",
-    "aged_tot_benes",
-    "dsbld_tot_benes",
-    "male_tot_benes",
-    "female_tot_benes",
-)
 # Reference thresholds (parameters): minimum raw rows and national mart rows.
 MIN_RAW_ROWS = 100_000
 MIN_MART_ROWS = 100
@@ -125,14 +114,20 @@ def q_rates(spark, sf_dir):
     )
 
 
-@register("mart_national", with_chain("SELECT * FROM national ORDER BY report_date"))
+@register(
+    "mart_national",
+    with_chain("SELECT *, row_number() OVER (ORDER BY report_date NULLS LAST) AS pos FROM national"),
+)
 def q_mart_national(spark, sf_dir):
-    return release(spark, sf_dir).national(ordered=True)
+    return reports.numbered(release(spark, sf_dir).national(), "report_date")
 
 
-@register("mart_by_state", with_chain("SELECT * FROM by_state ORDER BY year, state"))
+@register(
+    "mart_by_state",
+    with_chain("SELECT *, row_number() OVER (ORDER BY year NULLS LAST, state NULLS LAST) AS pos FROM by_state"),
+)
 def q_mart_by_state(spark, sf_dir):
-    return release(spark, sf_dir).by_state(ordered=True)
+    return reports.numbered(release(spark, sf_dir).by_state(), "year", "state")
 
 
 # --- profile ----------------------------------------------------------------
@@ -148,20 +143,9 @@ def q_mart_by_state(spark, sf_dir):
     ),
 )
 def q_row_counts(spark, sf_dir):
-    """Rows of raw, stg and both marts in one pass over staging.
-
-    stg is a projection of raw (same rows) and the marts are filters of stg,
-    so one aggregate with the mart predicates counts all four.
-    """
-    s = release(spark, sf_dir).stg
-    wide = s.agg(
-        F.count(F.lit(1)).alias("_all"),
-        F.count_if(national_rows()).alias("_nat"),
-        F.count_if(by_state_rows()).alias("_st"),
-    )
-    return wide.selectExpr(
-        "stack(4, 'raw', _all, 'stg', _all, 'national', _nat, 'by_state', _st) AS (relation, n_rows)"
-    )
+    r = release(spark, sf_dir)
+    rels = {"raw": r.raw, "stg": r.stg, "national": r.national(), "by_state": r.by_state()}
+    return quality.union_checks([profile.row_count(df, k) for k, df in rels.items()])
 
 
 @register(
@@ -284,12 +268,14 @@ def q_null_counts(spark, sf_dir):
             f"round(stddev_samp({c}), 6) AS std, min({c}) AS min, "
             f"quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50, "
             f"quantile_cont({c}, 0.75) AS p75, max({c}) AS max FROM typed"
-            for c in DESCRIBE_MEASURES
+            for c in MEASURES
         )
     ),
 )
 def q_describe(spark, sf_dir):
-    return profile.describe(release(spark, sf_dir).raw, list(DESCRIBE_MEASURES))
+    """All 53 measures; mean and std are rounded here for the comparison only."""
+    out = profile.describe(release(spark, sf_dir).raw, list(MEASURES))
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
 @register(
@@ -343,27 +329,91 @@ _NN = {
     ),
 )
 def q_dq_not_null(spark, sf_dir):
-    """The 12 not-null checks of staging and both marts in one pass over staging.
+    r = release(spark, sf_dir)
+    rels = {"stg": r.stg, "national": r.national(), "by_state": r.by_state()}
+    return quality.union_checks([quality.not_null(rels[k], k, list(c)) for k, c in _NN.items()])
 
-    Mart columns are the staging columns (report_date is derived from year
-    and month), and mart membership is the mart's own row filter.
-    """
-    s = release(spark, sf_dir).stg.select(
-        "*",
-        report_date("year", "month").alias("report_date"),
-        F.coalesce(national_rows(), F.lit(False)).alias("_in_national"),
-        F.coalesce(by_state_rows(), F.lit(False)).alias("_in_by_state"),
-    )
-    aggs = []
-    for rel, cols in _NN.items():
-        member = F.lit(True) if rel == "stg" else F.col(f"_in_{rel}")
-        for c in cols:
-            aggs.append(F.count_if(member & F.col(c).isNull()).alias(f"{rel}.{c}.not_null"))
-    wide = s.agg(*aggs)
-    names = wide.columns
-    return wide.selectExpr(
-        stack_sql([(sql_str(n), f"`{n}`") for n in names], ["check", "failed_rows"])
-    )
+
+# Checks on input derived from the tables that breaks them: each row must count its failures.
+
+
+@register(
+    "dq_not_null_broken",
+    with_chain(
+        " UNION ALL ".join(
+            f"SELECT 'raw.{c}.not_null' AS check, count(*) FILTER (WHERE {c} IS NULL) AS failed_rows FROM typed"
+            for c in MEASURES
+        )
+    ),
+)
+def q_dq_not_null_broken(spark, sf_dir):
+    """The raw measures, whose suppressed cells are missing."""
+    return quality.not_null(release(spark, sf_dir).raw, "raw", list(MEASURES))
+
+
+@register(
+    "dq_unique_broken",
+    "SELECT 'orders.o_custkey.unique' AS check, count(*) AS failed_rows FROM "
+    "(SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1)",
+)
+def q_dq_unique_broken(spark, sf_dir):
+    return quality.unique(spark.read.parquet(f"{sf_dir}/orders.parquet"), "orders", "o_custkey")
+
+
+@register(
+    "dq_unique_combo_broken",
+    "SELECT 'orders.o_custkey_o_orderstatus.unique_combination' AS check, count(*) AS failed_rows FROM "
+    "(SELECT 1 FROM orders GROUP BY o_custkey, o_orderstatus HAVING count(*) > 1)",
+)
+def q_dq_unique_combo_broken(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return quality.unique_combination(orders, "orders", ["o_custkey", "o_orderstatus"])
+
+
+@register(
+    "dq_accepted_values_broken",
+    "SELECT 'customer.c_mktsegment.accepted_values' AS check, count(*) AS failed_rows FROM "
+    "(SELECT c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY c_mktsegment)",
+)
+def q_dq_accepted_broken(spark, sf_dir):
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return quality.accepted_values(customer, "customer", "c_mktsegment", ("BUILDING",))
+
+
+_SHORT = {"bene_geo_lvl": 5, "bene_county_desc": 8, "month": 4}
+
+
+@register(
+    "dq_lengths_broken",
+    with_chain(
+        " UNION ALL ".join(
+            f"SELECT 'raw.{c}.max_length_{n}' AS check, count(*) FILTER (WHERE length({c}) > {n}) AS failed_rows FROM typed"
+            for c, n in _SHORT.items()
+        )
+    ),
+)
+def q_dq_lengths_broken(spark, sf_dir):
+    return quality.max_lengths(release(spark, sf_dir).raw, "raw", _SHORT)
+
+
+_LOST = ("aged_esrd_benes", "bene_state_desc")
+
+
+@register(
+    "dq_missing_columns_broken",
+    with_chain(
+        " UNION ALL ".join(
+            f"SELECT 'landed.required_columns' AS check, '{c}' AS column_name, 'warn' AS severity "
+            f"FROM (SELECT count(x) AS n FROM (SELECT {'NULL' if c in _LOST else c} AS x FROM landed)) WHERE n = 0"
+            for c in (*DIMENSIONS, *MEASURES)
+        )
+    ),
+)
+def q_dq_missing_columns_broken(spark, sf_dir):
+    """A landing that lost two of its columns."""
+    landed = release(spark, sf_dir).landed
+    lost = landed.withColumns({c: F.lit(None).cast("string") for c in _LOST})
+    return empty_columns(lost, "landed", DIMENSIONS + MEASURES, "warn")
 
 
 @register(
@@ -442,13 +492,6 @@ def q_dq_lengths(spark, sf_dir):
     return quality.max_lengths(release(spark, sf_dir).raw, "raw", VARCHAR_LIMITS)
 
 
-@register("dq_contract")
-def q_dq_contract(spark, sf_dir):
-    r = release(spark, sf_dir)
-    rels = {"raw": r.raw, "stg": r.stg, "national": r.national(), "by_state": r.by_state()}
-    return quality.union_checks([quality.contract(df, k, CONTRACTS[k]) for k, df in rels.items()])
-
-
 # --- reports ----------------------------------------------------------------
 
 _M = "CAST(1000000 AS DOUBLE)"
@@ -463,7 +506,15 @@ _K = "CAST(1000 AS DOUBLE)"
         "mom_total, mom_ma, mom_ffs, "
         f"total_beneficiaries / {_M} AS total_millions, medicare_advantage_benes / {_M} AS ma_millions, "
         f"original_medicare_benes / {_M} AS ffs_millions, mom_total / {_K} AS mom_total_thousands, "
-        f"mom_ma / {_K} AS mom_ma_thousands, mom_ffs / {_K} AS mom_ffs_thousands "
+        f"mom_ma / {_K} AS mom_ma_thousands, mom_ffs / {_K} AS mom_ffs_thousands, "
+        f"format('{{:.1f}}M', total_beneficiaries / {_M}) AS total_short_label, "
+        f"format('{{:.2f}}M', total_beneficiaries / {_M}) AS total_label, "
+        f"format('{{:.2f}}M ({{}}%)', medicare_advantage_benes / {_M}, CAST(ma_penetration_rate AS VARCHAR)) AS ma_label, "
+        f"format('{{:.2f}}M ({{}}%)', original_medicare_benes / {_M}, CAST(ffs_penetration_rate AS VARCHAR)) AS ffs_label, "
+        f"format('{{:+.0f}}K', mom_total / {_K}) AS mom_total_label, "
+        f"format('{{:+.0f}}K', mom_ma / {_K}) AS mom_ma_label, "
+        f"format('{{:+.0f}}K', mom_ffs / {_K}) AS mom_ffs_label, "
+        f"CAST(trunc(total_beneficiaries / {_M})::BIGINT AS VARCHAR) || 'M' AS axis_label "
         "FROM t WHERE rn = 1",
         "t AS (SELECT *, "
         "total_beneficiaries - lag(total_beneficiaries) OVER (ORDER BY report_date) AS mom_total, "
@@ -647,6 +698,19 @@ def q_monthly_change_text(spark, sf_dir):
     return reports.monthly_change_text_order(release(spark, sf_dir).raw)
 
 
+@register(
+    "monthly_change_text_order_all",
+    with_chain(
+        "SELECT year, month, bene_geo_lvl, bene_state_abrvtn, bene_county_desc, tot_benes, "
+        "row_number() OVER w AS pos, "
+        "coalesce(tot_benes - lag(tot_benes) OVER w, tot_benes) AS monthly_new_benes "
+        f"FROM typed WHERE month != 'Year' WINDOW w AS (ORDER BY {_key_sql()})"
+    ),
+)
+def q_monthly_change_text_all(spark, sf_dir):
+    return reports.monthly_change_text_order_all(release(spark, sf_dir).raw)
+
+
 @register(
     "monthly_change_by_geo",
     with_chain(

@@ -15,7 +15,6 @@ would reuse its shuffle output).
 
 from __future__ import annotations
 
-import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from enrolmart.operators.marts import by_state, national
 from enrolmart.operators.staging import stg, typed_raw
 from enrolmart.plans.adapter import landed_raw
+from enrolmart.session import listing
 
 
 class Release:
@@ -45,15 +45,21 @@ class Release:
         return by_state(self.stg, ordered)
 
 
-_PLANS: dict[tuple, Release] = {}
+_PLANS: dict[tuple, tuple] = {}
 
 
 def release(spark: SparkSession, sf_dir: str) -> Release:
-    """The release derived from the star-schema tables in ``sf_dir`` (plans memoized)."""
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
-    rel = _PLANS.get(key)
-    if rel is None:
-        rel = _PLANS[key] = Release(landed_raw(spark, sf_dir))
+    """The release derived from the star-schema tables in ``sf_dir``.
+
+    Plans are kept per session, folder and file listing, so files added or
+    replaced later are seen.
+    """
+    files = tuple(listing(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "customer"))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    known, rel = _PLANS.get(key, (None, None))
+    if known != files:
+        rel = Release(landed_raw(spark, sf_dir))
+        _PLANS[key] = (files, rel)
     return rel
 
 

@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrolmart.functions.expr import format_count, format_rate, report_date
+from enrolmart.functions.expr import (
+    format_count,
+    format_rate,
+    millions_label,
+    report_date,
+    signed_thousands_label,
+    whole_millions_label,
+)
 from enrolmart.operators.ordering import with_position
 from enrolmart.schemas import ANNUAL_MONTH, PROGRAM_SERIES, RACE_SERIES
 
@@ -51,6 +58,22 @@ def kpi_cards(national: DataFrame) -> DataFrame:
         (F.col("mom_total") / 1e3).alias("mom_total_thousands"),
         (F.col("mom_ma") / 1e3).alias("mom_ma_thousands"),
         (F.col("mom_ffs") / 1e3).alias("mom_ffs_thousands"),
+        millions_label("total_beneficiaries", 1).alias("total_short_label"),
+        millions_label("total_beneficiaries", 2).alias("total_label"),
+        F.concat_ws(
+            " ",
+            millions_label("medicare_advantage_benes", 2),
+            F.concat(F.lit("("), format_rate("ma_penetration_rate"), F.lit(")")),
+        ).alias("ma_label"),
+        F.concat_ws(
+            " ",
+            millions_label("original_medicare_benes", 2),
+            F.concat(F.lit("("), format_rate("ffs_penetration_rate"), F.lit(")")),
+        ).alias("ffs_label"),
+        signed_thousands_label("mom_total").alias("mom_total_label"),
+        signed_thousands_label("mom_ma").alias("mom_ma_label"),
+        signed_thousands_label("mom_ffs").alias("mom_ffs_label"),
+        whole_millions_label("total_beneficiaries").alias("axis_label"),
     )
 
 
@@ -95,10 +118,11 @@ def program_share(national: DataFrame) -> DataFrame:
     )
 
 
-def _with_max_year(by_state: DataFrame) -> DataFrame:
-    # One-row aggregate: broadcasting it has a proven size bound.
-    top = by_state.agg(F.max("year").alias("year"))
-    return by_state.join(F.broadcast(top), "year")
+def _latest_year(by_state: DataFrame) -> DataFrame:
+    # The mart has one row per state and year, so its one window partition is
+    # bounded by states x years; a join to its own maximum would derive it twice.
+    top = by_state.withColumn("_top", F.max("year").over(Window.partitionBy(F.lit(1))))
+    return top.where(F.col("year") == F.col("_top")).drop("_top")
 
 
 def state_year_bounds(by_state: DataFrame) -> DataFrame:
@@ -112,7 +136,7 @@ def state_year_bounds(by_state: DataFrame) -> DataFrame:
 def state_year_slice(by_state: DataFrame, year: int | None = None) -> DataFrame:
     """Map data: the by-state rows of one year (default: the latest year)."""
     if year is None:
-        return _with_max_year(by_state)
+        return _latest_year(by_state)
     return by_state.where(F.col("year") == year)
 
 
@@ -282,3 +306,23 @@ def monthly_change_text_order(raw: DataFrame) -> DataFrame:
         ),
         F.row_number().over(w).cast("bigint").alias("pos"),
     )
+
+
+def monthly_change_text_order_all(raw: DataFrame) -> DataFrame:
+    """The literal form over all levels: each row against the row before it in text order.
+
+    Rows are numbered in (year, month) text order, ties by the raw key; the
+    row before is joined by its number, so no task orders all rows.
+    """
+    rows = total_enrollment(raw).drop("report_date")
+    before = rows.select((F.col("pos") + 1).alias("_pos"), F.col("tot_benes").alias("_before"))
+    return rows.join(before, F.col("pos") == F.col("_pos"), "left").select(
+        *rows.columns,
+        F.coalesce(F.col("tot_benes") - F.col("_before"), F.col("tot_benes")).alias("monthly_new_benes"),
+    )
+
+
+def numbered(mart: DataFrame, *order: str) -> DataFrame:
+    """A mart with its 1-based position ``pos``; marts are bounded, so one window partition is."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return mart.withColumn("pos", F.row_number().over(w).cast("bigint")).orderBy("pos")

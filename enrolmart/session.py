@@ -28,20 +28,22 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
+def cluster_conf(
+    total_cores: int, input_bytes: int, max_partitions: int = 100_000
+) -> dict[str, str]:
     """Sizing for a cluster run: task-sized input splits and shuffle partitions.
 
     * input splits of 256 MB keep a scan task's decoded batch well inside
       executor memory;
     * the initial shuffle partition count gives about 1 GB per reducer for
       the largest possible shuffle (the input itself), at least 3 waves of
-      tasks and at most 100k partitions (map-status metadata grows with
-      maps x reducers); AQE then coalesces small shuffles to 128 MB
+      tasks and at most ``max_partitions`` (map-status metadata grows with
+      maps x reducers; raise it with the driver's memory); AQE then coalesces small shuffles to 128 MB
       partitions and splits skewed ones (5x the median and over 256 MB).
       The package's own shuffles follow partial aggregation and are small.
     """
     split = 256 * 1024 * 1024
-    partitions = min(100_000, max(3 * total_cores, -(-input_bytes // (4 * split))))
+    partitions = min(max_partitions, max(3 * total_cores, -(-input_bytes // (4 * split))))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -80,26 +82,79 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+_TABLES: list[tuple[str, str]] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/enrolmart/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root (removed by ``clear_scratch``)."""
+    path = f"{checkpoint_root(spark)}/enrolmart/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_name(kind: str, label: str) -> str:
+    """A unique name for a temporary ``table`` or ``view`` (dropped by ``clear_scratch``)."""
+    name = f"enrolmart_{label}_{uuid.uuid4().hex[:10]}"
+    _TABLES.append((kind, name))
+    return name
+
+
+def note_views(names) -> None:
+    """Temporary views for ``clear_scratch`` to drop."""
+    _TABLES.extend(("view", n) for n in names)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Drop the tables, views and folders that queries made for their results.
+
+    DataFrames are lazy, so a query cannot remove what its caller has yet to
+    read; the caller does, once the results are consumed.
+    """
+    while _TABLES:
+        kind, name = _TABLES.pop()
+        spark.sql(f"DROP {kind.upper()} IF EXISTS {name}")
+    while _SCRATCH:
+        remove(spark, _SCRATCH.pop())
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop filesystem of ``path`` (any URI scheme)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; an error when the filesystem refuses."""
+    fs, p = _fs(spark, source)
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(target).getParent())
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (metadata only, no data read)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def listing(spark: SparkSession, path: str) -> tuple:
+    """(name, bytes, modification time) of the files at ``path``: changes when the data does."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return ()
+    return tuple(
+        sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
+    )

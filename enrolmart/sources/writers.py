@@ -2,67 +2,55 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from enrolmart.operators.ordering import range_count, with_position
+from enrolmart.operators.ordering import with_position
 from enrolmart.schemas import RAW_KEY
-from enrolmart.session import path_exists
-from enrolmart.sources.readers import PAGE_COL, RELEASE_COL
+from enrolmart.session import move, path_exists, remove
+from enrolmart.sources.readers import PAGE_COL, RELEASE_COL, TOTAL_DIR
 
 
 def release_path(root: str, release: str) -> str:
     return f"{root.rstrip('/')}/{RELEASE_COL}={release}"
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write of the folder was committed (Spark's success marker is there)."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def write_release(df: DataFrame, root: str, release: str, force: bool = False) -> bool:
-    """Write one release as snappy Parquet; keep an existing release unless ``force``.
+    """Write one release as snappy Parquet; keep a completed release unless ``force``.
 
-    Returns True when data was written.  Existence is a metadata check on
-    the release folder; the write itself is one parallel job.
+    The data go to a hidden folder next to the release and are renamed into
+    place once committed, so a failing write leaves the old release as it
+    was and a crashed one never counts as existing.  Returns True when data
+    was written.
     """
-    path = release_path(root, release)
-    exists = path_exists(df.sparkSession, path)
-    if exists and not force:
+    spark, path = df.sparkSession, release_path(root, release)
+    if is_complete(spark, path) and not force:
         return False
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    new = f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.option("compression", "snappy").parquet(new)
+    except Exception:
+        remove(spark, new)
+        raise
+    old = f"{root.rstrip('/')}/_replaced-{uuid.uuid4().hex[:12]}"
+    if path_exists(spark, path):
+        move(spark, path, old)
+    move(spark, new, path)
+    remove(spark, old)
     return True
 
 
-LAKE_PREFIX = "enrollment"
-
-
-def mirror_key(local_path: str, prefix: str = LAKE_PREFIX) -> str:
-    """Lake object key for a local release file: the path from its ``prefix``
-    folder on, or ``prefix/<file name>`` when the path has no such folder."""
-    parts = [p for p in local_path.replace("\\", "/").split("/") if p]
-    if prefix in parts:
-        return "/".join(parts[parts.index(prefix):])
-    return f"{prefix}/{parts[-1]}"
-
-
-def lake_uri(root: str, key: str) -> str:
-    """Full URI of a lake object under ``root`` (any filesystem scheme)."""
-    return f"{root.rstrip('/')}/{key.lstrip('/')}"
-
-
 def write_lake(df: DataFrame, root: str, release: str, force: bool = False) -> bool:
-    """Copy a release into a lake dataset partitioned by ``release``.
-
-    Dynamic partition overwrite replaces only this release's folder.
-    """
-    if path_exists(df.sparkSession, release_path(root, release)) and not force:
-        return False
-    (
-        df.withColumn(RELEASE_COL, F.lit(release))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(RELEASE_COL)
-        .parquet(root)
-    )
-    return True
+    """Copy a release into a lake dataset partitioned by ``release`` (its folder only)."""
+    return write_release(df, root, release, force)
 
 
 def land_pages(
@@ -70,9 +58,12 @@ def land_pages(
 ) -> None:
     """Land a release as JSON pages of ``page_size`` records, as published.
 
-    Records keep string values and upper-case names; each page is a folder
-    ``page_offset=<n>``.  Page membership comes from a distributed global
-    position in key order, so pages are deterministic.
+    Records keep string values and upper-case names; each carries its page's
+    ``page_offset``.  Page membership comes from a distributed global
+    position in key order, so pages are deterministic.  Files follow the
+    ranges of that order and not the pages, whose number grows with the data.
+    The declared total is written next to them, like the empty page that
+    ends a download.
     """
     order = order or [F.col(c).asc_nulls_last() for c in RAW_KEY]
     numbered = with_position(landed, order, "_pos")
@@ -80,7 +71,10 @@ def land_pages(
         PAGE_COL, (F.floor((F.col("_pos") - 1) / page_size) * page_size).cast("bigint")
     ).drop("_pos")
     paged = paged.toDF(*[c if c == PAGE_COL else c.upper() for c in paged.columns])
-    paged.write.mode("overwrite").partitionBy(PAGE_COL).json(path)
+    paged.write.mode("overwrite").json(path)
+    spark = landed.sparkSession
+    total = spark.read.schema(f"{PAGE_COL} long").json(path).agg(F.count(F.lit(1)).alias("total"))
+    total.write.mode("overwrite").json(f"{path.rstrip('/')}/{TOTAL_DIR}")
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -88,19 +82,38 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def full_reload(spark: SparkSession, df: DataFrame, table: str, location: str, schema: T.StructType) -> int:
-    """Create the table if missing, then replace its contents atomically.
+    """Create the table if missing, else replace its contents (and a changed schema).
 
-    ``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION`` fixes the
-    schema; ``insertInto(overwrite=True)`` is positional, like a bulk copy
-    of Parquet, and replaces truncate + copy.  Returns the loaded row count.
+    The rows are written to a new folder under ``location`` and counted
+    there; only then does the table point to it, and the folder it pointed to
+    is removed.  A load that fails on the way leaves the table as it was.
+    Returns the loaded row count.
     """
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(schema)}) USING parquet LOCATION '{location}'"
-    )
-    df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.insertInto(
-        table, overwrite=True
-    )
-    return spark.table(table).count()
+    new = f"{location.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    try:
+        rows.write.option("compression", "snappy").parquet(new)
+        count = spark.read.schema(schema).parquet(new).count()
+    except Exception:
+        remove(spark, new)
+        raise
+    old = None
+    if spark.catalog.tableExists(table):
+        told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        old = told.get("Location")
+        same = [(f.name, f.dataType) for f in spark.table(table).schema.fields] == [
+            (f.name, f.dataType) for f in schema.fields
+        ]
+        if same:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+            spark.catalog.refreshTable(table)
+        else:
+            spark.sql(f"DROP TABLE {table}")  # an external table: its files stay until below
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet LOCATION '{new}'")
+    if old:
+        remove(spark, old)
+    return count
 
 
 def load_if_empty(
@@ -122,10 +135,10 @@ def clustered_write(df: DataFrame, path: str, n_files: int | None = None) -> Non
     Range partitioning on (state, year, month, level, county) keeps a state's
     rows in adjacent files while splitting a hot state over several tasks;
     the in-file sort gives row-group statistics on year and month, so
-    filtered scans skip row groups.  The file count follows the input size
-    (about 256 MB per file, at least one per core) unless given.
+    filtered scans skip row groups.  There are ``n_files`` files, else as
+    many as ``spark.sql.shuffle.partitions``.
     """
-    n = range_count(df, n_files)
+    n = n_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         df.repartitionByRange(
             n, "bene_state_abrvtn", "year", "month", "bene_geo_lvl", "bene_county_desc"

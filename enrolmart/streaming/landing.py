@@ -4,7 +4,7 @@ The batch path reads every landed page of a release at once.  When pages
 keep arriving (a long download, or a new release landing next to older
 ones), the same typing runs as a file-source stream: each micro-batch picks
 up only new files, coerces them, and appends snappy Parquet to the release
-dataset.  The checkpoint (in the shared ``spark.checkpoint.dir``) records
+dataset.  The checkpoint (next to the target, on shared storage) records
 which files were processed, so a restarted or failed run neither skips nor
 duplicates a page; the file sink commits each batch atomically.
 """
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from enrolmart.operators.staging import typed_raw
 from enrolmart.schemas import LANDED, RAW
-from enrolmart.session import scratch_dir
 
 
 def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,16 +26,23 @@ def landing_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, target: str, checkpoint: str | None = None
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Process every page landed so far, then stop; return the target as a batch read.
 
-    ``availableNow`` processes the backlog in rate-limited batches and ends,
-    which suits a scheduled ingest; run it again to pick up new pages.
+    ``availableNow`` works the backlog off and ends, in micro-batches of
+    ``max_files_per_trigger`` files if given; run it again to pick up new
+    pages.  The checkpoint belongs to the target (its sink log counts the
+    same batches), so by default it lives in the target's hidden
+    ``_checkpoint`` folder and a later run goes on where the last one ended.
     """
-    checkpoint = checkpoint or scratch_dir(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or f"{target.rstrip('/')}/_checkpoint"
     query = (
-        landing_stream(spark, landing)
+        landing_stream(spark, landing, max_files_per_trigger)
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from enrolmart.session import build_session
+    from enrolmart.session import build_session, clear_scratch
 
     # Tests run without a cluster-provided checkpoint folder: a private one per run.
     spark = build_session(
@@ -24,6 +24,7 @@ def spark():
         },
     )
     yield spark
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -48,5 +48,11 @@ def test_checks_pass_on_release(spark):
     q = E.queries()
     for name in ("dq_not_null", "dq_unique", "dq_unique_combo", "dq_accepted_values", "dq_lengths"):
         assert all(r.failed_rows == 0 for r in q[name](spark, SF_SMALL).collect()), name
-    contract = q["dq_contract"](spark, SF_SMALL).collect()
-    assert contract and all(r.ok for r in contract)
+    from enrolmart.operators import quality
+    from enrolmart.schemas import CONTRACTS
+
+    r = release(spark, SF_SMALL)
+    rels = {"raw": r.raw, "stg": r.stg, "national": r.national(), "by_state": r.by_state()}
+    for name, df in rels.items():
+        contract = quality.contract(df, name, CONTRACTS[name]).collect()
+        assert contract and all(row.ok for row in contract), name

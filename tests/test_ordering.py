@@ -44,3 +44,27 @@ def test_exact_quantiles_bruteforce(spark, values, hot):
             continue
         want = [float(np.quantile(np.array(xs), p, method="linear")) for p in probs]
         assert np.allclose(got[key], want), (key, got[key], want)
+
+
+def test_identical_rows_spread_over_ranges(spark):
+    # nine rows of ten are the same row
+    rows = [(1, "same")] * 9000 + [(i, f"r{i}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, t string")
+    out = with_position(df, [F.col("k")], n_ranges=8)
+    got = out.collect()
+    assert sorted(r.pos for r in got) == list(range(1, 10_001))
+    ranges = [len(p) for p in out.rdd.glom().collect() if p]
+    assert len(ranges) == 8 and max(ranges) < 2500
+
+
+def test_range_count_follows_the_setting(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 97)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for n in (3, 11):
+            spark.conf.set(key, str(n))
+            out = with_position(df, [F.col("k"), F.col("id")])
+            assert len([p for p in out.rdd.glom().collect() if p]) == n
+    finally:
+        spark.conf.set(key, before)

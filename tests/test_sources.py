@@ -144,7 +144,130 @@ def test_incremental_landing_picks_up_new_pages(spark, tmpdir_fresh):
     assert ingest_available(spark, landing, target, ckpt).count() == total
 
 
-def test_mirror_key():
-    assert writers.mirror_key("/data/raw/enrollment/2025-11/part.parquet") == "enrollment/2025-11/part.parquet"
-    assert writers.mirror_key("/tmp/x/part.parquet") == "enrollment/part.parquet"
-    assert writers.lake_uri("s3a://bucket/", "enrollment/a.parquet") == "s3a://bucket/enrollment/a.parquet"
+def _fails(df):
+    """df with a last row whose evaluation fails."""
+    bad = df.limit(1).withColumn("bene_geo_lvl", F.expr("CAST(raise_error('planted') AS STRING)"))
+    return df.unionByName(bad)
+
+
+def test_crashed_and_foreign_releases(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "rel")
+    raw = release(spark, SF_SMALL).raw
+    os.makedirs(os.path.join(root, "release=2025-12", "_temporary"))  # a write that crashed
+    with pytest.raises(FileNotFoundError):
+        readers.latest_release(spark, root)
+    assert writers.write_release(raw.limit(4), root, "2025-11")
+    raw.limit(2).write.parquet(os.path.join(root, "release=tmp-backup"))
+    assert readers.releases(spark, root) == ["2025-11"]
+    assert readers.latest_release(spark, root).count() == 4
+    assert writers.write_release(raw.limit(5), root, "2025-12")  # the crashed one is rewritten
+    assert readers.latest_release(spark, root).count() == 5
+    lake = os.path.join(tmpdir_fresh, "lake")
+    os.makedirs(os.path.join(lake, "release=2025-12", "_temporary"))
+    assert writers.write_lake(raw.limit(3), lake, "2025-12")
+    assert spark.read.parquet(lake).count() == 3
+
+
+def test_failed_force_keeps_the_release(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "rel")
+    raw = release(spark, SF_SMALL).raw
+    writers.write_release(raw.limit(6), root, "2025-12")
+    with pytest.raises(Exception, match="planted"):
+        writers.write_release(_fails(raw), root, "2025-12", force=True)
+    assert readers.latest_release(spark, root).count() == 6
+    assert os.listdir(root) == ["release=2025-12"]
+
+
+def test_failed_reload_keeps_the_table(spark, tmpdir_fresh):
+    raw = release(spark, SF_SMALL).raw
+    loc = os.path.join(tmpdir_fresh, "t")
+    assert writers.full_reload(spark, raw.limit(5), "t_failing", loc, RAW) == 5
+    with pytest.raises(Exception, match="planted"):
+        writers.full_reload(spark, _fails(raw), "t_failing", loc, RAW)
+    assert spark.table("t_failing").count() == 5
+    assert len(os.listdir(loc)) == 1
+
+
+def test_reload_replaces_a_changed_schema(spark, tmpdir_fresh):
+    from pyspark.sql import types as T
+
+    raw = release(spark, SF_SMALL).raw
+    loc = os.path.join(tmpdir_fresh, "t")
+    writers.full_reload(spark, raw.limit(5), "t_schema", loc, RAW)
+    slim = T.StructType([RAW["year"], T.StructField("tot_benes", T.StringType())])
+    assert writers.full_reload(spark, raw.limit(7), "t_schema", loc, slim) == 7
+    assert spark.table("t_schema").schema == slim and spark.table("t_schema").count() == 7
+    assert len(os.listdir(loc)) == 1
+
+
+def test_default_checkpoint_picks_up_new_pages(spark, tmpdir_fresh):
+    from enrolmart.streaming.landing import ingest_available
+
+    src = os.path.join(tmpdir_fresh, "all")
+    writers.land_pages(_landed(spark), src, page_size=500)
+    pages = readers.landed_json(spark, src)
+    landing, target = os.path.join(tmpdir_fresh, "landing"), os.path.join(tmpdir_fresh, "typed")
+    pages.where(F.col("page_offset") < 1500).write.json(landing)
+    first = ingest_available(spark, landing, target, max_files_per_trigger=1).count()
+    assert first == 1500
+    pages.where(F.col("page_offset") >= 1500).write.mode("append").json(landing)
+    assert ingest_available(spark, landing, target).count() == pages.count()
+
+
+@pytest.mark.parametrize("lost", [0, 1500, 3000, None])
+def test_landing_must_be_complete(spark, tmpdir_fresh, lost):
+    src, landing = os.path.join(tmpdir_fresh, "all"), os.path.join(tmpdir_fresh, "landing")
+    writers.land_pages(_landed(spark), src, page_size=500)
+    assert not [d for d in os.listdir(src) if d.startswith("page_offset=")]
+    readers.require_complete(spark, src)
+    total = readers.declared_total(spark, src)
+    pages = readers.landed_json(spark, src)
+    kept = pages if lost is None else pages.where(F.col("page_offset") != lost)
+    kept.write.json(landing)
+    gaps = [g.page_offset for g in readers.page_gaps(spark, landing, total).where("gap").collect()]
+    assert gaps == ([] if lost is None else [min(lost + 500, total)])
+    with pytest.raises(ValueError, match="declares no total"):
+        readers.require_complete(spark, landing)
+    spark.range(1).select(F.lit(total).alias("total")).write.json(os.path.join(landing, readers.TOTAL_DIR))
+    if lost is None:
+        readers.require_complete(spark, landing)
+    else:
+        with pytest.raises(ValueError, match="missing"):
+            readers.require_complete(spark, landing)
+
+
+def test_csv_cells_that_do_not_parse_are_missing(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "c.csv")
+    with open(path, "w") as f:
+        f.write("a,b,d\n1,2.5,2025-01-01\nx,*,2025-13-01\n3,,\n")
+    from pyspark.sql import types as T
+
+    schema = T._parse_datatype_string("a int, b double, d date")
+    rows = readers.read_csv(spark, path, schema).collect()
+    assert [(r.a, r.b) for r in rows] == [(1, 2.5), (None, None), (3, None)]
+    assert [r.d is None for r in rows] == [False, True, True]
+
+
+def test_new_files_are_seen(spark, tmpdir_fresh):
+    for t in ("orders", "customer"):
+        src = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        src.limit(100 if t == "orders" else 10**6).write.parquet(os.path.join(tmpdir_fresh, f"{t}.parquet"))
+    count = lambda: release(spark, tmpdir_fresh).stg.count()
+    before = count()
+    more = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    more.write.mode("append").parquet(os.path.join(tmpdir_fresh, "orders.parquet"))
+    assert count() > before
+
+
+def test_scratch_is_cleared(spark):
+    import __spark_entry__ as E
+
+    from enrolmart import session
+
+    known = len(session._SCRATCH)
+    assert E.queries()["full_reload"](spark, SF_SMALL).count() > 0
+    made = session._SCRATCH[known:]
+    assert made and all(session.path_exists(spark, p) for p in made)
+    session.clear_scratch(spark)
+    assert not any(session.path_exists(spark, p) for p in made)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("enrolmart_")]
