@@ -165,8 +165,9 @@ def successors(docs: DataFrame, visit, schema: str, buckets: int | None = None)
     ``memo`` is what the call for the document before returned about its
     successor (None at first): it saves looking at a text twice.
     """
-    conf = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    dealt = _dealt(docs, buckets or int(conf))
+    # Several ranges a partition: the hash that deals them out evens their sizes.
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(docs, buckets or 8 * partitions)
     names = [x.split()[0] for x in schema.split(", ")]
     types = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
     arrow = pa.schema([(x.split()[0], types[x.split()[1]]) for x in schema.split(", ")])
