@@ -4,12 +4,14 @@ from enrolmart.functions.expr import (  # noqa: F401
     NUMERIC_PATTERN,
     coerce_double,
     coerce_double_sql,
+    finite_sql,
     format_count,
     format_rate,
     lower_columns,
     millions_label,
     month_no,
     month_no_sql,
+    parse_double_sql,
     pct1,
     pct1_sql,
     report_date,

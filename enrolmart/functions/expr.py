@@ -29,30 +29,27 @@ _ALPHABET_CHARS = "0123456789.+-eE \t\n\x0b\f\r"  # digits, signs, point, expone
 _RATE_WORK_TYPE = "decimal(18,6)"
 
 
-# Numbers of this many characters or fewer, without exponent, are always finite.
-_PLAIN_CHARS = "0123456789.+- \t\n\x0b\f\r"
-_PLAIN_LENGTH = 300
-
-
-def _coerce_text(c: str) -> str:
-    """A count is never infinite: what overflows (``1e400``) becomes NULL, in the rare branch."""
-    number = f"try_cast({c} AS DOUBLE)"
+def parse_double_sql(name: str) -> str:
+    """SQL text: column ``name`` as a double if it matches the pattern; too large ones are infinite."""
     return (
-        f"CASE WHEN translate({c}, '{_PLAIN_CHARS}', '') = '' AND length({c}) <= {_PLAIN_LENGTH} "
-        f"THEN {number} "
-        f"WHEN translate({c}, '{_ALPHABET_CHARS}', '') = '' AND abs({number}) < double('Infinity') "
-        f"THEN {number} END"
+        f"CASE WHEN translate(`{name}`, '{_ALPHABET_CHARS}', '') = '' "
+        f"THEN try_cast(`{name}` AS DOUBLE) END"
     )
 
 
-def coerce_double(c: str) -> Column:
-    """String -> double; values not matching NUMERIC_PATTERN become NULL, the row is kept."""
-    return F.expr(_coerce_text(f"`{c}`"))
+def finite_sql(value: str) -> str:
+    """SQL text: a count is never infinite, what overflowed (``1e400``) is NULL."""
+    return f"CASE WHEN abs({value}) < double('Infinity') THEN {value} END"
 
 
 def coerce_double_sql(name: str) -> str:
-    """SQL text of ``coerce_double`` for column ``name`` (for wide projections)."""
-    return _coerce_text(f"`{name}`")
+    """SQL text of ``coerce_double`` for column ``name``."""
+    return finite_sql(f"({parse_double_sql(name)})")
+
+
+def coerce_double(c: str) -> Column:
+    """String -> double; values not matching NUMERIC_PATTERN become NULL, the row is kept."""
+    return F.expr(coerce_double_sql(c))
 
 
 def month_no_sql(month: str) -> str:

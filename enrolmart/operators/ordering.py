@@ -54,11 +54,12 @@ def with_position(
     a broadcast of one offset row per range.  No single-task window over rows.
     """
     columns = df.columns
+    # One struct as the key: dozens of keys overflow the size of a generated method.
     copies = (
-        df.groupBy(*columns)
+        df.groupBy(F.struct(*columns).alias("_row"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
-        .drop("_copies")
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy"))
+        .select("_row.*", "_copy")
     )
     key = [*order, F.xxhash64(*[F.col(c) for c in columns]), F.col("_copy")]
     ranged = _fix_ranges(

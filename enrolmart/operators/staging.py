@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrolmart.functions.expr import coerce_double_sql, lower_columns
+from enrolmart.functions.expr import finite_sql, lower_columns, parse_double_sql
 from enrolmart.schemas import DIMENSIONS, MEASURES, STG_RENAMES
 
 
 def coerce_numeric(landed: DataFrame, measures=MEASURES) -> DataFrame:
-    """Coerce the measure columns that are present to double, in one projection.
+    """Coerce the measure columns that are present to double.
 
-    Unparseable values become NULL and the row is kept.  Columns are matched
-    case-insensitively and the output names are lower case.
+    Unparseable and infinite values become NULL and the row is kept.  Columns
+    are matched case-insensitively and the output names are lower case.
     """
     df = lower_columns(landed)
     wanted = {m.lower() for m in measures}
-    # One projection, as SQL text: 53 guarded casts parse once on the JVM.
-    return df.selectExpr(
-        *[f"{coerce_double_sql(c)} AS `{c}`" if c in wanted else f"`{c}`" for c in df.columns]
-    )
+    # SQL text: 53 guarded casts parse once on the JVM.  The check for infinity
+    # is a projection of its own, so each cast is evaluated (and generated) once.
+    for step in (parse_double_sql, lambda c: finite_sql(f"`{c}`")):
+        df = df.selectExpr(*[f"{step(c)} AS `{c}`" if c in wanted else f"`{c}`" for c in df.columns])
+    return df
 
 
 def typed_raw(landed: DataFrame) -> DataFrame:
