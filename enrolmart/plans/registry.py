@@ -17,7 +17,7 @@ from enrolmart.functions.expr import month_no, pct1, report_date
 from enrolmart.operators import profile, quality
 from enrolmart.plans import reports
 from enrolmart.plans.oracle import month_case, pct1_sql, with_chain
-from enrolmart.plans.relations import release
+from enrolmart.plans.relations import release, stored_raw
 from enrolmart.sources.readers import empty_columns
 from enrolmart.schemas import (
     CONTRACTS,
@@ -168,7 +168,7 @@ _MISSING_SQL = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in DIMENSIONS +
     ),
 )
 def q_rows_per_level(spark, sf_dir):
-    raw = release(spark, sf_dir).raw
+    raw = stored_raw(spark, sf_dir)
     return (
         raw.where(F.col("bene_geo_lvl").isNotNull())
         .groupBy("bene_geo_lvl")
@@ -257,7 +257,7 @@ _ALL_COLS = DIMENSIONS + MEASURES
     ),
 )
 def q_null_counts(spark, sf_dir):
-    return profile.null_counts(release(spark, sf_dir).raw)
+    return profile.null_counts(stored_raw(spark, sf_dir))
 
 
 @register(
@@ -274,7 +274,7 @@ def q_null_counts(spark, sf_dir):
 )
 def q_describe(spark, sf_dir):
     """All 53 measures; mean and std are rounded here for the comparison only."""
-    out = profile.describe(release(spark, sf_dir).raw, list(MEASURES))
+    out = profile.describe(stored_raw(spark, sf_dir), list(MEASURES))
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
@@ -348,7 +348,7 @@ def q_dq_not_null(spark, sf_dir):
 )
 def q_dq_not_null_broken(spark, sf_dir):
     """The raw measures, whose suppressed cells are missing."""
-    return quality.not_null(release(spark, sf_dir).raw, "raw", list(MEASURES))
+    return quality.not_null(stored_raw(spark, sf_dir), "raw", list(MEASURES))
 
 
 @register(
