@@ -47,9 +47,9 @@ STEP_TOKENS = 16 * 2048
 # Tokens gathered before windows are built (bounds a task's memory).
 POOL_TOKENS = 1 << 21
 # Distinct words kept per worker.
-CACHE_WORDS = 3 << 18
+CACHE_WORDS = 1 << 19
 # Texts tokenised together.
-_TEXTS = 1024
+_TEXTS = 512
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "

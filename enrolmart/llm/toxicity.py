@@ -67,7 +67,7 @@ IDENTITY_GROUPS = (
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 _LONGEST = 64
-_TEXTS = 1024
+_TEXTS = 512
 
 
 def words(text: str) -> list[str]:
