@@ -103,22 +103,25 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR, solo_words: int = SOLO_WOR
     places = _candidates(docs, divisor, solo_words).withColumn("hash", F.xxhash64("body"))
     maybe = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     again = staged(places.join(maybe, "hash"), "repeated-chunks")
-    once = again.groupBy("hash", "body").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")
+    # Written, so that both sides of the join are plain shuffles, whose skew can be split.
+    once = staged(
+        again.groupBy("hash", "body")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+        .where("n > 1")
+        .drop("n"),
+        "repeated-bodies",
     )
-    # By text first: a chunk that very many texts hold is dealt out by text here, and the join
-    # below feeds another grouping, so its skew can be split.
-    per_text = again.groupBy("doc_id", "text_md5", "hash", "body").agg(
+    held = again.join(once, ["hash", "body"]).withColumn("body", F.md5(F.col("body").cast("binary")))
+    # Within a text only the first occurrence can stay; elsewhere none.
+    per_text = held.groupBy("doc_id", "text_md5", "hash", "body", "first_id").agg(
         F.min("no").alias("first_no"), F.collect_set("no").alias("nos")
     )
-    held = per_text.join(once.where("n > 1").drop("n"), ["hash", "body"])
-    # Within a text only the first occurrence can stay; elsewhere none.
     gone = F.when(
         F.col("doc_id").eqNullSafe(F.col("first_id")),
         F.array_except("nos", F.array("first_no")),
     ).otherwise(F.col("nos"))
     return (
-        held.select("doc_id", "text_md5", F.explode(gone).alias("no"))
+        per_text.select("doc_id", "text_md5", F.explode(gone).alias("no"))
         .groupBy("doc_id", "text_md5")
         .agg(F.collect_set("no").alias("gone"))
     )
