@@ -30,11 +30,10 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,46 +49,25 @@ DISCOUNT = 0.5
 HOT_BYTES = 64
 # Distinct words a task counts before it hands them on; texts handled together.
 _FLUSH = 1 << 19
-_TEXTS = 512
+_TEXTS = 256
 
 
 def held_out(doc_id, mod: int = 7, rest: int = 2) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod == rest
 
 
-@dataclass
-class Coded:
-    """A few hundred texts by their distinct words."""
-
-    ids: list
-    words: pa.Array  # distinct words
-    codes: np.ndarray  # the texts' words in order, as places in ``words``
-    owner: np.ndarray  # the text of each
-    lens: np.ndarray  # words by text
-
-    @classmethod
-    def of(cls, ids: list, texts: pa.Array) -> Coded:
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        coded = split.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
-        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
-        empty = pc.index(coded.dictionary, "").as_py()  # beside leading and trailing white space
-        if empty >= 0:
-            keep = codes != empty
-            codes, owner = codes[keep], owner[keep]
-        return cls(ids, coded.dictionary, codes, owner, np.bincount(owner, minlength=len(texts)))
-
-
-def _texts(batches, training: bool = False):
-    """Coded texts, all of them or those not held out."""
+def words(raw: bytes) -> list[bytes]:
+    return raw.lower().split()  # bytes: folds and splits at ASCII only
+
+
+def _texts(batches):
+    """(doc ids, word lists) of a few hundred texts at a time."""
     for b in batches:
         ids = b.column("doc_id").to_pylist()
+        text = b.column("text")
         for i in range(0, len(ids), _TEXTS):
-            own, texts = ids[i : i + _TEXTS], b.column("text").slice(i, _TEXTS)
-            if training:
-                keep = [not held_out(d) for d in own]
-                own, texts = [d for d, k in zip(own, keep) if k], texts.filter(pa.array(keep, pa.bool_()))
-            yield Coded.of(own, texts)
+            part = text.slice(i, _TEXTS).cast(pa.binary()).to_pylist()
+            yield ids[i : i + _TEXTS], [words(t) for t in part]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -100,15 +78,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def out():
             return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                [
+                    pa.array(counts.keys(), pa.binary()).cast(pa.string()),
+                    pa.array(counts.values(), pa.int64()),
+                ],
                 ["word", "c"],
             )
 
-        for t in _texts(batches, training=True):
-            n = np.bincount(t.codes, minlength=len(t.words)).tolist()
-            counts.update({w: k for w, k in zip(t.words.to_pylist(), n) if k})
-            if t.ids:
-                counts[""] += len(t.ids)
+        for ids, texts in _texts(batches):
+            for doc_id, w in zip(ids, texts):
+                if not held_out(doc_id):
+                    counts.update(w)
+                    counts[b""] += 1
             if len(counts) >= _FLUSH:
                 yield out()
                 counts.clear()
@@ -124,7 +105,7 @@ class Tree:
     The first ``k`` words are the symbols of contexts and kept successors.
     """
 
-    number: dict[str, int]
+    number: dict[bytes, int]
     count: np.ndarray
     total: int  # N
     types: int  # V
@@ -151,15 +132,17 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def _stream(tree: Tree, t: Coded) -> tuple[np.ndarray, np.ndarray]:
+def _stream(tree: Tree, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers (-1: not hot) of the texts, each as end, words, end, -1; and their starts."""
-    get = tree.number.get
-    numbers = np.fromiter(map(get, t.words.to_pylist(), repeat(-1)), np.int64, len(t.words))
-    starts = np.cumsum(t.lens + 3) - t.lens - 3
-    arr = np.full(len(t.codes) + 3 * len(t.lens), -1)
-    arr[starts] = arr[starts + t.lens + 1] = get("", -1)
-    arr[np.arange(len(t.codes)) + 3 * t.owner + 1] = numbers[t.codes]
-    return arr, starts
+    end, get = tree.number.get(b"", -1), tree.number.get
+    flat: list[int] = []
+    starts = []
+    for w in texts:
+        starts.append(len(flat))
+        flat.append(end)
+        flat.extend(map(get, w, repeat(-1)))
+        flat.extend((end, -1))
+    return np.array(flat, np.int64), np.array(starts, np.int64)
 
 
 def _contexts(tree: Tree, arr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,8 +167,8 @@ def _sequence_counts(docs: DataFrame, shared, least: float) -> tuple[np.ndarray,
 
     def run(batches):
         tree = Tree(**shared.value)
-        for t in _texts(batches, training=True):
-            arr, _ = _stream(tree, t)
+        for ids, texts in _texts(batches):
+            arr, _ = _stream(tree, [w for i, w in zip(ids, texts) if not held_out(i)])
             if not len(arr):
                 continue
             sym, before, at2 = _contexts(tree, arr)
@@ -246,7 +229,7 @@ def grow(
     )
     count = hot["c"].to_numpy(np.int64)
     tree = Tree(
-        {w: i for i, w in enumerate(hot["word"])},
+        {w.encode(): i for i, w in enumerate(hot["word"])},
         count,
         total,
         types,
@@ -322,36 +305,36 @@ def _parts(docs: DataFrame, tree: Tree) -> DataFrame:
         tree, n_rows = Tree(**shared.value), 0
         first = TaskContext.get().partitionId() << 33
         log = np.append(np.log10(tree.count + 1.0), 0.0)  # the last: not hot
-        for t in _texts(batches):
-            n = len(t.ids)
-            arr, starts = _stream(tree, t)
-            ends = starts + t.lens + 2  # the separator after a text
-            gain, base, known = gains(tree, arr), log[arr], (arr >= 0).astype(np.int64)
-            for x in (gain, base, known):  # the end token before a text is context only
-                x[starts] = x[ends] = 0
-            rare = np.flatnonzero(arr[np.arange(len(t.codes)) + 3 * t.owner + 1] < 0)
-            pairs, counts = np.unique(
-                t.owner[rare] * len(t.words) + t.codes[rare], return_counts=True
-            )
-            owner, code = np.divmod(pairs, max(len(t.words), 1))
-            struct = pa.StructArray.from_arrays(
-                [t.words.take(pa.array(code)), pa.array(counts)], ["word", "n"]
-            )
-            offsets = np.searchsorted(owner, np.arange(n + 1))
+        for ids, texts in _texts(batches):
+            arr, starts = _stream(tree, texts)
+            lens = np.fromiter(map(len, texts), np.int64, len(texts))
+            gain = gains(tree, arr)
+            gain[starts] = 0.0  # the end token before a text is context only
+            gain[starts + lens + 2] = 0.0  # the separator after it
+            base = log[arr]
+            base[starts] = 0.0
+            known = (arr >= 0).astype(np.int64)
+            known[starts] = 0
+            rare = []
+            for w, s, n in zip(texts, starts.tolist(), lens.tolist()):
+                new = compress(w, (arr[s + 1 : s + 1 + n] < 0).tolist())
+                rare.append([{"word": x, "n": c} for x, c in Counter(new).items()])
+            struct = pa.struct([("word", pa.binary()), ("n", pa.int64())])
+            out = pa.struct([("word", pa.string()), ("n", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(first + n_rows, first + n_rows + n)),
-                    pa.array(t.ids, pa.int64()),
-                    pa.array([held_out(i) for i in t.ids], pa.bool_()),
-                    pa.array(t.lens + 1),
-                    pa.array(np.add.reduceat(known, starts) if n else known),
-                    pa.array(np.add.reduceat(base, starts) if n else base),
-                    pa.array(np.add.reduceat(gain, starts) if n else gain),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct),
+                    pa.array(np.arange(first + n_rows, first + n_rows + len(ids))),
+                    pa.array(ids, pa.int64()),
+                    pa.array([held_out(i) for i in ids]),
+                    pa.array(lens + 1),
+                    pa.array(np.add.reduceat(known, starts)),
+                    pa.array(np.add.reduceat(base, starts)),
+                    pa.array(np.add.reduceat(gain, starts)),
+                    pa.array(rare, pa.list_(struct)).cast(pa.list_(out)),
                 ],
                 [x.split()[0] for x in PART_SCHEMA.split(", ")],
             )
-            n_rows += n
+            n_rows += len(ids)
 
     return staged(docs.mapInArrow(run, PART_SCHEMA), "lm-parts")
 
