@@ -5,7 +5,7 @@ import pytest
 
 from enrolmart.llm import line_dedup as D
 
-from tests.llm.conftest import CLASHES
+from .conftest import CLASHES
 
 
 def brute_chunks(text):
