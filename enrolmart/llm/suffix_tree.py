@@ -2,21 +2,25 @@
 
 A text is its words (ASCII letters folded) and one end token.  The tree's
 root is the add-one unigram distribution over the training tokens.  A deeper
-state is the one or two tokens before the next one (the end token before the
-first); at most ``depth`` tokens.
-
-* Candidate contexts are token sequences whose share of the training tokens
-  is at least ``p_context``; a state keeps the successors whose joint share
-  is at least ``p_pair``.  Shares of sequences of one length sum to one, so
-  there are at most 1 / p of each: the proven size of what is broadcast.
-  The counts behind them cover every training token.
+state is the one to ``depth`` tokens before the next one (the end token
+before the first); never more than the text has.
+
+* Every sequence of the training texts is a candidate, every successor of it
+  counts, however rare: the tree grows with the corpus.
 * A candidate is retained if the Kullback-Leibler divergence of its
   next-token distribution from that of its longest proper suffix is at least
   ``min_divergence`` (and that suffix is retained).
-* Smoothing: kept successors are discounted by ``discount``; all others share
+* Smoothing: successors are discounted by ``discount``; all others share
   the rest of the mass in proportion to the suffix state's distribution.
 * Scoring uses the longest retained suffix of the tokens read so far.
 
+States and successors are tables, level by level; what they tell of each
+distinct sequence that occurs (context and next token) is joined with the
+texts.  Only sequences with a share of at least ``p_gram`` of all tokens, at
+most 1 / p of them, are broadcast, so no key of that join is common.
+Sequences are compared by 64-bit codes of their words; the codes of all
+training words are checked to differ.
+
 Word counts are exact and of any size: common words (a share of at least
 ``p_hot``) are looked up in a broadcast table, all others are joined by word.
 
@@ -29,7 +33,9 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
+from hashlib import blake2b
 from itertools import compress, repeat
 
 import numpy as np
@@ -41,8 +47,7 @@ from pyspark.sql import functions as F
 from enrolmart.llm.common import id_text, staged
 
 P_HOT = 1e-6
-P_CONTEXT = 1e-5
-P_PAIR = 1e-6
+P_GRAM = 1e-5
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
 # Longer words are never broadcast (bounds the table's bytes).
@@ -50,6 +55,8 @@ HOT_BYTES = 64
 # Distinct words a task counts before it hands them on; texts handled together.
 _FLUSH = 1 << 19
 _TEXTS = 256
+# What stands before the first end token of a text; no word has this code.
+_PAD = 0
 
 
 def held_out(doc_id, mod: int = 7, rest: int = 2) -> bool:
@@ -98,117 +105,173 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+class _Codes(dict):
+    """64-bit codes of words, kept for the words a task has met."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        self[word] = code = code if code != _PAD else 1
+        return code
+
+    def grams(self, texts: list[list[bytes]], depth: int) -> list[np.ndarray]:
+        """By token of the texts (their words and the end): its code and those of the ones before."""
+        if len(self) >= _FLUSH:
+            self.clear()
+        get, end = self.__getitem__, self[b""]
+        flat: list[int] = []
+        start = [_PAD] * (depth - 1) + [end]
+        for w in texts:
+            flat.extend(start)
+            flat.extend(map(get, w))
+            flat.append(end)
+        arr = np.array(flat, np.int64)
+        lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        at = np.arange(lens.sum()) + np.repeat(np.arange(1, len(texts) + 1) * depth, lens)
+        return [arr[at - j] for j in range(depth + 1)]
+
+
+def _names(depth: int) -> list[str]:
+    """Columns of a sequence: the next token, then the tokens before it, the last one first."""
+    return ["w", *(f"x{j}" for j in range(1, depth + 1))]
+
+
 @dataclass
 class Tree:
-    """What the tasks need: hot words by number (most frequent first) and the retained states.
-
-    The first ``k`` words are the symbols of contexts and kept successors.
-    """
+    """Hot words by number (most frequent first), hot sequences, and the tables of the levels."""
 
     number: dict[bytes, int]
     count: np.ndarray
     total: int  # N
     types: int  # V
-    k: int
-    # Depth 1: log10 of the rest weight by symbol (0: not retained), kept pairs and their gain.
-    rest1: np.ndarray | None = None
-    pair_key: np.ndarray | None = None
-    pair_gain: np.ndarray | None = None
-    # Depth 2: contexts s2 * k + s1 with their log10 rest weight, kept (context, word) and gain.
-    context: np.ndarray | None = None
-    rest2: np.ndarray | None = None
-    triple_key: np.ndarray | None = None
-    triple_gain: np.ndarray | None = None
+    depth: int = 0
+    # Hot sequences: their mixed codes in order, codes by column, and log10 P(next | state).
+    hot_mix: np.ndarray | None = None
+    hot_codes: list[np.ndarray] | None = None
+    hot_log: np.ndarray | None = None
+    # Per level: the sequences (log10 P as "lp") and the retained states (log10 rest weight as "lw").
+    levels: list[tuple[DataFrame, DataFrame]] = field(default_factory=list)
 
     def root(self, w: np.ndarray) -> np.ndarray:
         return (self.count[w] + 1) / (self.total + self.types + 1)
 
+    @property
+    def k(self) -> int:
+        return len(self.number)
+
+    def shared(self) -> dict:
+        """What the tasks need."""
+        names = ("number", "count", "total", "types", "depth", "hot_mix", "hot_codes", "hot_log")
+        return {x: getattr(self, x) for x in names}
+
+    @cached_property
+    def _numbers(self) -> dict[int, int]:
+        codes = _Codes()
+        return {codes[w]: i for w, i in self.number.items()}
+
+    @cached_property
+    def rest1(self) -> np.ndarray:
+        """log10 of the rest weight by hot word (0: not retained)."""
+        out = np.zeros(self.k)
+        for r in self.levels[0][1].where(F.col("x1").isin(list(self._numbers))).collect():
+            out[self._numbers[r.x1]] = r.lw
+        return out
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], float]:
+        """log10 P(next | state) of the pairs of hot words."""
+        hot = list(self._numbers)
+        rows = self.levels[0][0].where(F.col("x1").isin(hot) & F.col("w").isin(hot)).collect()
+        return {(self._numbers[r.x1], self._numbers[r.w]): r.lp for r in rows}
+
+
+def _mix(codes: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(len(codes[0]), np.uint64)
+    for c in codes:
+        out = (out ^ c.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _find(tree: Tree, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of sequences among the hot ones and whether they are there."""
+    if not len(tree.hot_mix):
+        return np.zeros(len(grams[0]), np.int64), np.zeros(len(grams[0]), bool)
+    mix = _mix(grams)
+    at = np.minimum(np.searchsorted(tree.hot_mix, mix), len(tree.hot_mix) - 1)
+    hit = tree.hot_mix[at] == mix
+    for hot, own in zip(tree.hot_codes, grams):
+        hit &= hot[at] == own
+    return at, hit
+
+
+def _check_codes(counts: DataFrame) -> None:
+    """Raises if two training words share a code."""
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in sorted ``keys`` and whether they are there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
-
-
-def _stream(tree: Tree, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers (-1: not hot) of the texts, each as end, words, end, -1; and their starts."""
-    end, get = tree.number.get(b"", -1), tree.number.get
-    flat: list[int] = []
-    starts = []
-    for w in texts:
-        starts.append(len(flat))
-        flat.append(end)
-        flat.extend(map(get, w, repeat(-1)))
-        flat.extend((end, -1))
-    return np.array(flat, np.int64), np.array(starts, np.int64)
-
-
-def _contexts(tree: Tree, arr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per place: the symbol there, the one before, and the number of the depth-2 context (-1: none)."""
-    sym = np.where(arr < tree.k, arr, -1)
-    before = np.concatenate(([-1], sym[:-1]))
-    at2 = np.full(len(arr), -1)
-    if tree.context is not None and len(tree.context):
-        before2 = np.concatenate(([-1], before[:-1]))
-        i = np.flatnonzero((before >= 0) & (before2 >= 0))
-        at, hit = _find(tree.context, before2[i] * tree.k + before[i])
-        at2[i[hit]] = at[hit]
-    return sym, before, at2
-
-
-def _sequence_counts(docs: DataFrame, shared, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of (state, symbol) that occur at least ``least`` times.
-
-    States are symbols, or the depth-2 contexts where the tree has them.
-    The result has at most N / least rows.
-    """
+    def run(batches):
+        for b in batches:
+            codes = _Codes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([codes[w] for w in b.column("word").cast(pa.binary()).to_pylist()], pa.int64())],
+                ["code"],
+            )
+
+    codes = counts.select("word").mapInArrow(run, "code long")
+    if not codes.groupBy("code").count().where("count > 1").isEmpty():
+        raise ValueError("two words share a 64-bit code")
+
+
+def _gram_counts(docs: DataFrame, depth: int) -> DataFrame:
+    """(w, x1.., n, m) of every sequence: its count in the training texts and in all texts."""
+    names = _names(depth)
 
     def run(batches):
-        tree = Tree(**shared.value)
+        codes = _Codes()
         for ids, texts in _texts(batches):
-            arr, _ = _stream(tree, [w for i, w in zip(ids, texts) if not held_out(i)])
-            if not len(arr):
-                continue
-            sym, before, at2 = _contexts(tree, arr)
-            state = before if tree.context is None else at2
-            ok = (state >= 0) & (sym >= 0)
-            # The first place of a text is the end token that precedes it, not a successor.
-            ok[1:] &= arr[:-1] >= -1
-            held.append(state[ok] * tree.k + sym[ok])
-            if sum(map(len, held)) >= 1 << 21:
-                yield out()
-        if held:
-            yield out()
-
-    def out():
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-
-    held: list[np.ndarray] = []
-    rows = (
-        docs.mapInArrow(run, "key long, n long")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least)
-        .toPandas()
-        .sort_values("key")
+            train = np.array([not held_out(i) for i in ids], np.int64)
+            n = np.repeat(train, [len(w) + 1 for w in texts])
+            arrays = [*codes.grams(texts, depth), n]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], [*names, "n"])
+
+    schema = ", ".join(f"{x} long" for x in (*names, "n"))
+    return (
+        docs.mapInArrow(run, schema)
+        .groupBy(*names)
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
     )
-    return rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
 
-def _states(owner, p, suffix, n_states, min_divergence):
-    """Rest weights and divergences of states with kept successors.
+def _level(grams: DataFrame, lower: DataFrame, level: int, min_divergence: float):
+    """The sequences of a level with their log10 probability and whether their state is retained.
 
-    ``owner``: the state of each kept successor; ``p``, ``suffix``: its
-    probability in the state and in the suffix state.
+    ``lower`` tells the same of the sequences one token shorter.
     """
-    rest = np.maximum(1 - np.bincount(owner, p, n_states), 1e-12)
-    weight = rest / np.maximum(1 - np.bincount(owner, suffix, n_states), 1e-12)
-    kl = np.bincount(owner, p * np.log(p / suffix), n_states) + rest * np.log(weight)
-    return weight, (kl >= min_divergence) & (np.bincount(owner, minlength=n_states) > 0)
+    names = _names(level)
+    context = names[1:]
+    n, size = F.col("n") - DISCOUNT, F.col("size")
+    rows = grams.join(lower.select(*names[:-1], "lp", "kept"), names[:-1])
+    rest = F.greatest(DISCOUNT * F.col("k") / size, F.lit(1e-12))
+    divergence = (F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("lw")
+    states = staged(
+        rows.where((F.col("n") > 0) & F.col("kept") & (F.col(names[-1]) != _PAD))
+        .groupBy(*context)
+        .agg(
+            F.sum("n").alias("size"),
+            F.count(F.lit(1)).alias("k"),
+            F.sum(n).alias("mass"),
+            F.sum(n * (F.log10(n) - F.col("lp"))).alias("gain"),
+            F.sum(F.pow(F.lit(10.0), "lp")).alias("covered"),
+        )
+        .withColumn("lw", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(1e-12))))
+        .where(divergence * F.lit(np.log(10.0)) >= min_divergence)
+        .select(*context, "size", "lw"),
+        "lm-states",
+    )
+    kept = F.col("lw").isNotNull()
+    own = F.when(F.col("n") > 0, F.log10(n) - F.log10(size)).otherwise(F.col("lw") + F.col("lp"))
+    out = rows.join(states, context, "left").select(
+        *grams.columns, F.when(kept, own).otherwise(F.col("lp")).alias("lp"), kept.alias("kept")
+    )
+    return staged(out, "lm-level"), states
 
 
 def grow(
@@ -216,127 +279,133 @@ def grow(
     counts: DataFrame,
     depth: int = 2,
     p_hot: float = P_HOT,
-    p_context: float = P_CONTEXT,
-    p_pair: float = P_PAIR,
+    p_gram: float = P_GRAM,
     min_divergence: float = MIN_DIVERGENCE,
 ) -> Tree:
-    """Learn the tree, one level (one pass over the training texts) at a time."""
+    """Learn the tree, one level at a time, until a level retains no state."""
+    if not isinstance(depth, int) or depth < 0:
+        raise ValueError(f"depth must be a whole number from 0, not {depth!r}")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     hot = (
         counts.where((F.col("c") >= p_hot * total) & (F.octet_length("word") <= HOT_BYTES))
         .toPandas()
         .sort_values(["c", "word"], ascending=[False, True])
     )
-    count = hot["c"].to_numpy(np.int64)
     tree = Tree(
-        {w.encode(): i for i, w in enumerate(hot["word"])},
-        count,
-        total,
-        types,
-        int((count >= p_context * total).sum()),
+        {w.encode(): i for i, w in enumerate(hot["word"])}, hot["c"].to_numpy(np.int64), total, types
     )
-    sc = docs.sparkSession.sparkContext
-    if depth < 1 or not tree.k:
+    if depth < 1 or not total:
         return tree
-    shared = sc.broadcast(vars(tree))
-    key, n = _sequence_counts(docs, shared, p_pair * total)
-    shared.destroy()
-    s, w = np.divmod(key, tree.k)
-    p = (n - DISCOUNT) / count[s]
-    weight, keep = _states(s, p, tree.root(w), tree.k, min_divergence)
-    tree.rest1 = np.where(keep, np.log10(weight), 0.0)
-    tree.pair_key = key[keep[s]]
-    tree.pair_gain = np.log10(p / tree.root(w))[keep[s]]
-    if depth < 2:
-        return tree
-
-    context = (n >= p_context * total) & keep[w]
-    tree.context, context_n = key[context], n[context]
-    shared = sc.broadcast(vars(tree))
-    key, n = _sequence_counts(docs, shared, p_pair * total)
-    shared.destroy()
-    at, w = np.divmod(key, tree.k)
-    p = (n - DISCOUNT) / context_n[at]
-    s1 = tree.context[at] % tree.k
-    suffix = tree.root(w) * 10 ** _gain1(tree, s1, w)
-    weight, keep = _states(at, p, suffix, len(tree.context), min_divergence)
-    gain = np.log10(p / tree.root(w))[keep[at]]
-    tree.triple_key = (np.cumsum(keep) - 1)[at][keep[at]] * tree.k + w[keep[at]]
-    tree.triple_gain = gain
-    tree.context, tree.rest2 = tree.context[keep], np.log10(weight[keep])
+    _check_codes(counts)
+    names = _names(depth)
+    grams = staged(_gram_counts(docs, depth), "lm-grams")
+    root = F.log10((F.sum("n") + 1) / F.lit(float(total + types + 1)))
+    lower = staged(
+        grams.groupBy("w").agg(root.alias("lp")).withColumn("kept", F.lit(True)), "lm-root"
+    )
+    for level in range(1, depth + 1):
+        rows = grams
+        if level < depth:
+            rows = grams.groupBy(*_names(level)).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        lower, states = _level(rows, lower, level, min_divergence)
+        tree.levels.append((lower, states))
+        tree.depth = level
+        if states.isEmpty():
+            break
+    names = _names(tree.depth)
+    tokens = grams.agg(F.sum("m")).first()[0]
+    # At most 1 / p_gram rows.
+    found = lower.where(F.col("m") >= p_gram * tokens).select(*names, "lp").toArrow()
+    codes = [found.column(x).to_numpy() for x in names]
+    tree.hot_mix, at = np.unique(_mix(codes), return_index=True)
+    tree.hot_codes = [x[at] for x in codes]
+    tree.hot_log = found.column("lp").to_numpy()[at]
     return tree
 
 
 def _gain1(tree: Tree, before: np.ndarray, sym: np.ndarray) -> np.ndarray:
-    """log10 P(next | state) - log10 P(next | root) in the depth-1 state (or the root)."""
-    gain = np.where(before >= 0, tree.rest1[np.maximum(before, 0)], 0.0)
-    i = np.flatnonzero((before >= 0) & (sym >= 0))
-    at, hit = _find(tree.pair_key, before[i] * tree.k + sym[i])
-    gain[i[hit]] = tree.pair_gain[at[hit]]
-    return gain
-
-
-def gains(tree: Tree, arr: np.ndarray) -> np.ndarray:
-    """By place: how far the longest suffix state beats the root, as log10."""
-    if tree.rest1 is None:
-        return np.zeros(len(arr))
-    sym, before, at2 = _contexts(tree, arr)
-    gain = _gain1(tree, before, sym)
-    i = np.flatnonzero(at2 >= 0)
-    if len(i):
-        at, hit = _find(tree.triple_key, at2[i] * tree.k + sym[i])
-        hit &= sym[i] >= 0
-        gain[i] += np.where(hit, 0.0, tree.rest2[at2[i]])
-        gain[i[hit]] = tree.triple_gain[at[hit]]
-    return gain
+    """log10 P(next | state) - log10 P(next | root) in the depth-1 state (or the root), hot words."""
+    root = np.log10(tree.root(sym))
+    return np.array(
+        [
+            tree.pairs.get((a, w), tree.rest1[a] + r) - r
+            for a, w, r in zip(before.tolist(), sym.tolist(), root.tolist())
+        ]
+    )
 
 
 PART_SCHEMA = (
     "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_log double, "
-    "gain double, rare array<struct<word:string,n:long>>"
+    "hot_gram double, rare array<struct<word:string,n:long>>"
 )
 
 
 def _parts(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Per row: what the broadcast tables tell, and the words they don't hold."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(tree))
+    """Per row: what the broadcast tables tell, and the words they don't hold.
+
+    Further rows, with ``w`` set, hold one sequence each that is not broadcast.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(tree.shared())
+    names = _names(tree.depth)
+    schema = pa.schema(
+        [
+            ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+            ("n_tokens", pa.int64()), ("hot_known", pa.int64()), ("hot_log", pa.float64()),
+            ("hot_gram", pa.float64()),
+            ("rare", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+            *((x, pa.int64()) for x in names),
+        ]
+    )
+
+    def batch(n, **columns):
+        return pa.RecordBatch.from_arrays(
+            [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema
+        )
 
     def run(batches):
-        tree, n_rows = Tree(**shared.value), 0
+        tree, n_rows, codes = Tree(**shared.value), 0, _Codes()
         first = TaskContext.get().partitionId() << 33
+        end, get = tree.number.get(b"", -1), tree.number.get
         log = np.append(np.log10(tree.count + 1.0), 0.0)  # the last: not hot
         for ids, texts in _texts(batches):
-            arr, starts = _stream(tree, texts)
-            lens = np.fromiter(map(len, texts), np.int64, len(texts))
-            gain = gains(tree, arr)
-            gain[starts] = 0.0  # the end token before a text is context only
-            gain[starts + lens + 2] = 0.0  # the separator after it
-            base = log[arr]
-            base[starts] = 0.0
-            known = (arr >= 0).astype(np.int64)
-            known[starts] = 0
+            lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+            starts = np.cumsum(lens) - lens
+            flat: list[int] = []
+            for w in texts:
+                flat.extend(map(get, w, repeat(-1)))
+                flat.append(end)
+            arr = np.array(flat, np.int64)
             rare = []
-            for w, s, n in zip(texts, starts.tolist(), lens.tolist()):
-                new = compress(w, (arr[s + 1 : s + 1 + n] < 0).tolist())
+            for w, s in zip(texts, starts.tolist()):
+                new = compress(w, (arr[s : s + len(w)] < 0).tolist())
                 rare.append([{"word": x, "n": c} for x, c in Counter(new).items()])
             struct = pa.struct([("word", pa.binary()), ("n", pa.int64())])
             out = pa.struct([("word", pa.string()), ("n", pa.int64())])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(first + n_rows, first + n_rows + len(ids))),
-                    pa.array(ids, pa.int64()),
-                    pa.array([held_out(i) for i in ids]),
-                    pa.array(lens + 1),
-                    pa.array(np.add.reduceat(known, starts)),
-                    pa.array(np.add.reduceat(base, starts)),
-                    pa.array(np.add.reduceat(gain, starts)),
-                    pa.array(rare, pa.list_(struct)).cast(pa.list_(out)),
-                ],
-                [x.split()[0] for x in PART_SCHEMA.split(", ")],
+            own = pa.array(np.arange(first + n_rows, first + n_rows + len(ids)))
+            known = np.zeros(len(arr))
+            if tree.depth:
+                grams = codes.grams(texts, tree.depth)
+                at, hit = _find(tree, grams)
+                known[hit] = tree.hot_log[at[hit]]
+                cold = np.repeat(own.to_numpy(), lens)[~hit]
+                yield batch(
+                    len(cold), row=pa.array(cold), **{x: pa.array(c[~hit]) for x, c in zip(names, grams)}
+                )
+            yield batch(
+                len(ids),
+                row=own,
+                doc_id=pa.array(ids, pa.int64()),
+                held_out=pa.array([held_out(i) for i in ids]),
+                n_tokens=pa.array(lens),
+                hot_known=pa.array(np.add.reduceat((arr >= 0).astype(np.int64), starts)),
+                hot_log=pa.array(np.add.reduceat(log[arr], starts)),
+                hot_gram=pa.array(np.add.reduceat(known, starts)),
+                rare=pa.array(rare, pa.list_(struct)).cast(pa.list_(out)),
             )
             n_rows += len(ids)
 
-    return staged(docs.mapInArrow(run, PART_SCHEMA), "lm-parts")
+    columns = "".join(f", {x} long" for x in names)
+    return staged(docs.mapInArrow(run, PART_SCHEMA + columns), "lm-parts")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **growth) -> DataFrame:
@@ -344,7 +413,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **gro
     docs = id_text(docs, id_col, text_col)
     counts = staged(word_counts(docs), "lm-words")
     tree = grow(docs, counts, **growth)
-    parts = _parts(docs, tree)
+    names = _names(tree.depth)
+    every = _parts(docs, tree)
+    parts = every.where(F.col("n_tokens").isNotNull()).drop(*names)
     rare = parts.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     found = (
         rare.join(counts, "word")
@@ -353,12 +424,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **gro
     )
     root = F.col("n_tokens") * F.log10(F.lit(float(tree.total + tree.types + 1)))
     base = F.col("hot_log") + F.coalesce("log", F.lit(0.0)) - root
-    return parts.drop("rare").join(found, "row", "left").select(
+    joined = parts.drop("rare").join(found, "row", "left")
+    full = base
+    if tree.depth:
+        cold = (
+            every.where(F.col("w").isNotNull())
+            .select("row", *names)
+            .join(tree.levels[-1][0].select(*names, "lp"), names)
+            .groupBy("row")
+            .agg(F.sum("lp").alias("cold_gram"))
+        )
+        joined = joined.join(cold, "row", "left")
+        full = F.col("hot_gram") + F.coalesce("cold_gram", F.lit(0.0))
+    return joined.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("hot_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("gain")).alias("score"),
+        full.alias("score"),
     )

@@ -130,3 +130,22 @@ def test_each_state_is_a_distribution(spark, toy):
         gain = L._gain1(tree, np.full(tree.k, before), known)
         p = tree.root(known) * 10**gain
         assert p.sum() + unseen * 10 ** tree.rest1[before] == pytest.approx(1, abs=1e-6)
+
+
+def test_rare_contexts_stay_however_large_the_corpus(spark):
+    """A sequence seen four times counts the same beside few and beside many other tokens."""
+    rare = [(d, "quince rowan sorrel tansy") for d in range(12)]
+
+    def gain(others):
+        rows = rare + [(100 + d, " ".join(f"w{(d * 7 + k) % 50}" for k in range(400))) for d in range(others)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return min(r.score - r.base_score for r in L.score(docs).collect() if r.doc_id < 100)
+
+    few, many = gain(3), gain(3000)  # 1.2 million tokens: under the former shares
+    assert many > few > 0
+
+
+def test_joined_sequences_score_like_broadcast_ones(spark, toy):
+    some = {r.doc_id: r.score for r in L.score(toy, p_gram=1e-9).collect()}
+    none = {r.doc_id: r.score for r in L.score(toy, p_gram=2.0).collect()}
+    assert none == pytest.approx(some, rel=1e-9)
