@@ -149,3 +149,15 @@ def test_joined_sequences_score_like_broadcast_ones(spark, toy):
     some = {r.doc_id: r.score for r in L.score(toy, p_gram=1e-9).collect()}
     none = {r.doc_id: r.score for r in L.score(toy, p_gram=2.0).collect()}
     assert none == pytest.approx(some, rel=1e-9)
+
+
+def test_deeper_states(spark):
+    """The word three back tells most."""
+    rng = np.random.default_rng(3)
+    rows = [(d, " ".join(f"{c} {m} n {c}{m}" for c, m in rng.choice(list("abcd"), (20, 2)))) for d in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    total = {d: sum(r.score for r in L.score(docs, depth=d).collect()) for d in (2, 3)}
+    assert total[3] > total[2] + 2000  # 4,000 words, one of four each
+    counts = L.staged(L.word_counts(docs), "t")
+    with pytest.raises(ValueError):
+        L.grow(docs, counts, depth=-1)
