@@ -108,7 +108,10 @@ def in_training(doc_id, mod: int = 3, rest: int = 1):
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_sample: int, id_col: str, text_col: str):
-    """(y, text) of at most max_sample training texts with a label."""
+    """(y, text) of at most max_sample training texts with a label, one per id.
+
+    Of rows that share an id, the one with the smallest text hash counts.
+    """
     held = (
         labels.select(col("doc_id").cast("long").alias("i"), col("toxic").cast("int").alias("y"))
         .where(F.col("y").isNotNull() & F.col("i").isNotNull() & in_training(F.col("i")))
@@ -122,7 +125,10 @@ def sample(docs: DataFrame, labels: DataFrame, max_sample: int, id_col: str, tex
         F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     # At most max_sample pairs of numbers are broadcast.
-    return texts.join(F.broadcast(held), F.col("doc_id") == F.col("i")).select("y", "text")
+    found = texts.join(F.broadcast(held), F.col("doc_id") == F.col("i"))
+    # Each task hands on one row per id, so an id with many rows weighs like any other.
+    first = F.min_by("text", F.md5(F.col("text").cast("binary")))
+    return found.groupBy("i").agg(F.max("y").alias("y"), first.alias("text")).select("y", "text")
 
 
 def _select(found: DataFrame, groups, max_features: int, min_g2: float, prefixes) -> list[str]:

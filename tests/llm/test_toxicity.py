@@ -91,3 +91,17 @@ def test_reject_keeps_columns(edge_docs):
     assert out.columns == edge_docs.columns
     gone = edge_docs.where(F.col("text").startswith("alpha")).count()
     assert gone and out.count() == edge_docs.count() - gone
+
+
+def test_sample_is_bounded_in_rows(frame):
+    """An id with many rows, equal and different, is one text of the sample."""
+    rows = [(d, f"text {d}") for d in range(40)]
+    rows += [(8, f"other text {k % 3}") for k in range(300)]
+    docs = frame(rows, "doc_id long, text string")
+    labels = frame([(d, d % 2) for d in range(40)], "doc_id long, toxic int")
+    ids = [d for d in range(40) if not held(d)]
+    assert not held(8)
+    got = X.sample(docs, labels, 100, "doc_id", "text").collect()
+    assert len(got) == len(ids) and X.sample(docs, labels, 10, "doc_id", "text").count() == 10
+    again = X.sample(docs.repartition(5), labels, 100, "doc_id", "text").collect()
+    assert Counter(got) == Counter(again)
