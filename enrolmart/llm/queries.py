@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from enrolmart.llm import (
     chat,
+    collocations,
     decontam,
+    divergence,
+    exact_dedup,
     line_dedup,
     packing,
     secrets,
@@ -100,6 +103,30 @@ QUERIES["op7_chat_formatting"] = op7_chat_formatting
 ORACLE["op7_chat_formatting"] = chat.SQL
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.op11(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_exact_dedup"] = op11_exact_dedup
+ORACLE["op11_exact_dedup"] = exact_dedup.SQL
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.op12(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_phrase_collocations"] = op12_phrase_collocations
+ORACLE["op12_phrase_collocations"] = collocations.SQL
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.op13(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_source_divergence"] = op13_source_divergence
+ORACLE["op13_source_divergence"] = divergence.SQL
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

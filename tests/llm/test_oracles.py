@@ -20,6 +20,9 @@ NAMES = [
     "op4_benchmark_decontamination",
     "op7_chat_formatting",
     "op8_url_filters",
+    "op11_exact_dedup",
+    "op12_phrase_collocations",
+    "op13_source_divergence",
 ]
 
 
@@ -37,6 +40,6 @@ def test_matches_sql(spark, name):
 
 def test_all_registered():
     names = list(entry().queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
