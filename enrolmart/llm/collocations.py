@@ -4,7 +4,7 @@ Everything is per language.  A phrase is a run of 2 to ``max_words`` words
 within a piece; a candidate has at least ``min_count`` occurrences.
 
 1. Words are counted.  No candidate holds a word rarer than ``min_count``.
-2. Each language is dealt into ``shards`` by document id.  A shard is mined
+2. Each language is dealt into ``shards`` by ranges of document ids.  A shard is mined
    completely at the local support ``ceil(min_count / shards)``, level by
    level: pairs, then longer phrases all of whose pairs are frequent in the
    shard.  A candidate reaches the local support in some shard, else it would
@@ -50,7 +50,9 @@ COVERED = 80
 # The filters' size: bits for each entry, at most so many in all (16 MB).
 BITS_EACH, MAX_BITS = 12, 1 << 27
 # Tokens handled together, distinct words a task counts or numbers at once, texts read at once.
-_CHUNK, _FLUSH, _TEXTS = 1 << 20, 1 << 19, 256
+_CHUNK, _FLUSH, _TEXTS = 1 << 20, 1 << 18, 256
+# Consecutive ids that go to one shard: neighbours' phrases meet in the task already.
+_IDS = 1 << 12
 # Parts in which a language is ranked before its first rows are ranked together.
 _RANKED_IN = 64
 
@@ -76,7 +78,7 @@ def _rows(batches):
 def _source(docs: DataFrame, shards: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(
         F.coalesce(col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        F.pmod(F.xxhash64(col(id_col)), F.lit(shards)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.floor(col(id_col).cast("long") / _IDS)), F.lit(shards)).cast("int").alias("shard"),
         F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"),
     )
 

@@ -68,21 +68,21 @@ def runs(source: DataFrame, block: int = BLOCK) -> DataFrame:
     """(lang, term, source, n, docs): postings, block by block, each block's sorted by term."""
 
     def spill(index):
-        rows = sorted(
-            (lang, term, src, n, docs[term])
-            for (lang, src), (counts, docs) in index.items()
-            for term, n in counts.items()
-        )
+        tables = []
+        for (lang, src), (counts, docs) in index.items():
+            n = len(counts)
+            columns = {
+                "lang": pa.repeat(pa.scalar(lang, pa.string()), n),
+                "term": pa.array(counts.keys(), pa.binary()).cast(pa.string()),
+                "source": pa.repeat(pa.scalar(src, pa.string()), n),
+                "n": pa.array(counts.values(), pa.int64()),
+                "docs": pa.array([docs[x] for x in counts], pa.int64()),
+            }
+            tables.append(pa.table(columns))
         index.clear()
-        for i in range(0, len(rows), 1 << 16):
-            lang, term, src, n, d = zip(*rows[i : i + (1 << 16)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
-                    pa.array(src, pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64()),
-                ],
-                ["lang", "term", "source", "n", "docs"],
-            )
+        if tables:
+            by = [(x, "ascending") for x in ("lang", "term", "source")]
+            yield from pa.concat_tables(tables).sort_by(by).combine_chunks().to_batches(1 << 16)
 
     def run(batches):
         index, size = defaultdict(lambda: (Counter(), Counter())), 0
@@ -91,12 +91,11 @@ def runs(source: DataFrame, block: int = BLOCK) -> DataFrame:
                 part = b.slice(i, _TEXTS)
                 lang, src = part.column("lang").to_pylist(), part.column("source").to_pylist()
                 for key, text in zip(zip(lang, src), part.column("text").cast(pa.binary()).to_pylist()):
-                    found = Counter(terms(text))
+                    found = terms(text)
                     counts, docs = index[key]
                     size -= len(counts)
-                    for term, n in found.items():
-                        counts[term] += n
-                    docs.update(found.keys())
+                    counts.update(found)
+                    docs.update(set(found))
                     size += len(counts)
                     if size >= block:
                         yield from spill(index)
