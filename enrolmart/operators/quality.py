@@ -87,6 +87,15 @@ def row_parity(source: DataFrame, target: DataFrame, name: str) -> DataFrame:
     ).select(F.lit(f"{name}.row_parity").alias("check"), "failed_rows")
 
 
+def observed_load(spark, name: str, source_rows: int, loaded_rows: int, minimum: int) -> DataFrame:
+    """(check, observed_rows, failed_rows) from counts that the writing jobs took: reads no row again."""
+    rows = [
+        (f"{name}.observed_parity", loaded_rows, abs(source_rows - loaded_rows)),
+        (f"{name}.observed_min_rows_{minimum}", loaded_rows, int(loaded_rows < minimum)),
+    ]
+    return spark.createDataFrame(rows, "check string, observed_rows bigint, failed_rows bigint")
+
+
 def missing_columns(df: DataFrame, relation: str, required: tuple[str, ...], severity: str) -> DataFrame:
     """Required columns absent from ``df`` (case-insensitive): metadata only.
 

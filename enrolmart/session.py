@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the package relies on: UTC month boundaries, ANSI casts, and AQE
@@ -150,6 +151,43 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (metadata only)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create one small file; False if it is there already."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    fs.mkdirs(p.getParent())
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def listing(spark: SparkSession, path: str) -> tuple:
     """(name, bytes, modification time) of the files at ``path``: changes when the data does."""
     fs, p = _fs(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,19 +81,25 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def observed_write(df: DataFrame, path: str) -> int:
+    """Write snappy Parquet; the number of rows, counted by the writing job itself."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("compression", "snappy").parquet(path)
+    return seen.get["rows"]
+
+
 def full_reload(spark: SparkSession, df: DataFrame, table: str, location: str, schema: T.StructType) -> int:
     """Create the table if missing, else replace its contents (and a changed schema).
 
-    The rows are written to a new folder under ``location`` and counted
-    there; only then does the table point to it, and the folder it pointed to
+    The rows are written to a new folder under ``location`` and counted on
+    the way; only then does the table point to it, and the folder it pointed to
     is removed.  A load that fails on the way leaves the table as it was.
     Returns the loaded row count.
     """
     new = f"{location.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     try:
-        rows.write.option("compression", "snappy").parquet(new)
-        count = spark.read.schema(schema).parquet(new).count()
+        count = observed_write(rows, new)
     except Exception:
         remove(spark, new)
         raise
