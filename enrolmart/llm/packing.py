@@ -29,8 +29,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import sys
 from bisect import bisect_right, insort
 from itertools import chain
+from types import ModuleType
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +73,10 @@ _LETTER_MARK = r"([a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([!-/:-@\[-`{-
 _WHOLE = "<[|]|\u0130"
 
 
+# The name under which a worker keeps the words it has met.
+_KEPT = "_enrolmart_packing_words"
+
+
 class Words:
     """Ids of words met so far, in growing arrays; forgotten together when there are too many."""
 
@@ -97,8 +104,9 @@ class WordEncoder:
         from tokenizers import normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
-        # The library's module outlives a task: later tasks of this worker go on with its words.
-        kept = tokenizers.__dict__.setdefault("_kept_by_spec", {})
+        # This module travels by value and ends with its task; one registered here outlives it,
+        # so later tasks of the worker go on with its words.
+        kept = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
         if spec not in kept:
             tok = tokenizers.Tokenizer.from_str(spec)
             # For words of letters alone the pattern that splits at letters has nothing to do.
@@ -112,7 +120,11 @@ class WordEncoder:
     def _learn(self, missing: list[str]) -> None:
         ascii_, letters, other = [], [], []
         for w in missing:
-            (other if not w.isalpha() else ascii_ if w.isascii() else letters).append(w)
+            if w.isascii():
+                (ascii_ if w.isalpha() else other).append(w)
+            else:
+                # Some letters are taken apart by NFC; the tokenizer splits at their marks.
+                (letters if normalize("NFC", w).isalpha() and w.isalpha() else other).append(w)
         ids = [[t.id for t in ts] for ts in map(self.tok.model.tokenize, ascii_)]
         ids += [e.ids for e in self.letters.encode_batch_fast(letters)]
         ids += [e.ids for e in self.tok.encode_batch_fast(other, add_special_tokens=False)]

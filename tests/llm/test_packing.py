@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -70,6 +71,36 @@ def test_words_equal_the_tokenizer(tok):
     assert [g.tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def encoded(tok, texts):
+    enc = P.WordEncoder(open(P.tokenizer_file(), encoding="utf-8").read())
+    got = [g.tolist() for g in enc(pa.array(texts))]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    return [t for t, g, w in zip(texts, got, want) if g != w]
+
+
+def test_letters_that_normalisation_takes_apart(tok):
+    """Every code point that NFC changes, alone, doubled and inside words."""
+    changed = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    assert len(changed) > 1000 and "\u095c" in changed
+    texts = [t for c in changed for t in (c, c + c, f"a{c}b", f"\u0938{c}\u0915", f"\u05d0{c}", f"x {c}y, {c}!")]
+    assert encoded(tok, texts) == []
+
+
+def test_random_unicode_texts(tok):
+    rnd = np.random.default_rng(11)
+    marks = [chr(c) for c in range(0x300, 0x370)] + list(" '.,0a\u0130\u03a3\u1e9e")
+    places = [(0x20, 0x250), (0x370, 0x600), (0x5D0, 0x780), (0x900, 0xE00), (0x1E00, 0x2100), (0x3040, 0x3100),
+              (0x4E00, 0x9FFF), (0xAC00, 0xD7A4), (0xF900, 0xFE00), (0x10000, 0x10FFFF)]
+    texts = []
+    for _ in range(20_000):
+        low, high = places[rnd.integers(len(places))]
+        chars = [chr(c) for c in rnd.integers(low, high, rnd.integers(1, 12))]
+        chars += [marks[k] for k in rnd.integers(0, len(marks), rnd.integers(0, 6))]
+        rnd.shuffle(chars)
+        texts.append("".join(chars))
+    assert encoded(tok, texts) == []
+
+
 def test_hierarchy():
     packer = P.Packer((64, 32, 16), step_tokens=128)
     rnd = np.random.default_rng(1)
