@@ -14,15 +14,22 @@ before the first); never more than the text has.
   the rest of the mass in proportion to the suffix state's distribution.
 * Scoring uses the longest retained suffix of the tokens read so far.
 
-States and successors are tables, level by level; what they tell of each
-distinct sequence that occurs (context and next token) is joined with the
-texts.  Only sequences with a share of at least ``p_gram`` of all tokens, at
-most 1 / p of them, are broadcast, so no key of that join is common.
-Sequences are compared by 64-bit codes of their words; the codes of all
-training words are checked to differ.
-
-Word counts are exact and of any size: common words (a share of at least
-``p_hot``) are looked up in a broadcast table, all others are joined by word.
+States live where their sequences are.  Each token travels once, with the
+tokens before it and the number of its text, in compressed blocks, to the part
+of its context; a part of about ``part_tokens`` tokens counts its sequences,
+tests its states level by level, scores its tokens and sends each text's sum
+back.  Nothing is looked up by token.
+
+* The word before the token chooses the part.  One with more tokens than half
+  a part is dealt on by the word before it; its own state, which then
+  lies in several parts, is counted first, by its distinct successors, and
+  sent to them.  All longer contexts lie in one part each: a pair of words
+  with a large share of all tokens is not split further.
+* At most ``hot_words`` words (all those from a power of two of occurrences
+  on) are broadcast with their counts and stand as numbers; each part asks for
+  the counts of its other words, which are joined by word code.
+* Word codes have 62 bits.  Those of all words of all texts are checked to
+  differ; if two do not, the next seed is drawn.
 
 Defined cases: a null or empty text is the end token alone; a null id counts
 as the empty text in the hold-out rule (not held out); repeated rows count
@@ -33,415 +40,518 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass, field
-from functools import cached_property
-from hashlib import blake2b
-from itertools import compress, repeat
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrolmart.llm.common import id_text, staged
 
-P_HOT = 1e-6
-P_GRAM = 1e-5
+HOT_WORDS = 1 << 20
+PART_TOKENS = 1 << 21
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
-# Longer words are never broadcast (bounds the table's bytes).
-HOT_BYTES = 64
-# Distinct words a task counts before it hands them on; texts handled together.
+_LEAST = 1e-12
+# Distinct words a task counts or codes before it forgets them; tokens and texts handled together.
 _FLUSH = 1 << 19
+_CHUNK = 1 << 20
 _TEXTS = 256
-# What stands before the first end token of a text; no word has this code.
-_PAD = 0
+# What stands before the first end token of a text; numbers and codes of words are not negative.
+_PAD = -1
+# Words that are not broadcast have a code with this bit, above all numbers.
+_RARE = 1 << 62
+# In the place of a context: a word's count is told, not a sequence.
+_COUNT = -2
 
 
 def held_out(doc_id, mod: int = 7, rest: int = 2) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod == rest
 
 
+def _is_held_out(doc_id: str, mod: int = 7, rest: int = 2) -> Column:
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod == rest
+
+
 def words(raw: bytes) -> list[bytes]:
     return raw.lower().split()  # bytes: folds and splits at ASCII only
 
 
 def _texts(batches):
-    """(doc ids, word lists) of a few hundred texts at a time."""
+    """(doc id, words) of the texts."""
     for b in batches:
         ids = b.column("doc_id").to_pylist()
         text = b.column("text")
         for i in range(0, len(ids), _TEXTS):
             part = text.slice(i, _TEXTS).cast(pa.binary()).to_pylist()
-            yield ids[i : i + _TEXTS], [words(t) for t in part]
+            yield from zip(ids[i : i + _TEXTS], map(words, part))
+
+
+def code(word: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(word, seed) >> 2 | _RARE
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over the training texts; the end token is the empty word."""
+def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """(word, code, c, m): occurrences in the training texts and in all; the end token is the empty word."""
 
     def run(batches):
-        counts = Counter()
+        train, other = Counter(), Counter()
 
         def out():
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(counts.keys(), pa.binary()).cast(pa.string()),
-                    pa.array(counts.values(), pa.int64()),
-                ],
-                ["word", "c"],
+            every = list(train.keys() | other.keys())
+            c = np.fromiter((train[w] for w in every), np.int64, len(every))
+            m = c + np.fromiter((other[w] for w in every), np.int64, len(every))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(every, pa.binary()).cast(pa.string()), pa.array(c), pa.array(m)], ["word", "c", "m"]
             )
+            train.clear()
+            other.clear()
+
+        for doc_id, w in _texts(batches):
+            counts = other if held_out(doc_id) else train
+            counts.update(w)
+            counts[b""] += 1
+            if len(train) + len(other) >= _FLUSH:
+                yield from out()
+        yield from out()
+
+    def coded(batches):
+        for b in batches:
+            codes = [code(w, seed) for w in b.column("word").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.int64())], ["word", "c", "m", "code"])
 
-        for ids, texts in _texts(batches):
-            for doc_id, w in zip(ids, texts):
-                if not held_out(doc_id):
-                    counts.update(w)
-                    counts[b""] += 1
-            if len(counts) >= _FLUSH:
-                yield out()
-                counts.clear()
-        yield out()
+    counted = docs.mapInArrow(run, "word string, c long, m long").groupBy("word")
+    summed = counted.agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
+    return summed.mapInArrow(coded, "word string, c long, m long, code long")
 
-    return docs.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
+def distinct_codes(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The written word counts under the first seed that gives every word a code of its own."""
+    seed = 0
+    while True:
+        counts = staged(word_counts(docs, seed), "lm-words")
+        if counts.groupBy("code").count().where("count > 1").isEmpty():
+            return counts, seed
+        seed += 1
 
-class _Codes(dict):
-    """64-bit codes of words, kept for the words a task has met."""
 
-    def __missing__(self, word: bytes) -> int:
-        code = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
-        self[word] = code = code if code != _PAD else 1
-        return code
-
-    def grams(self, texts: list[list[bytes]], depth: int) -> list[np.ndarray]:
-        """By token of the texts (their words and the end): its code and those of the ones before."""
-        if len(self) >= _FLUSH:
-            self.clear()
-        get, end = self.__getitem__, self[b""]
-        flat: list[int] = []
-        start = [_PAD] * (depth - 1) + [end]
-        for w in texts:
-            flat.extend(start)
-            flat.extend(map(get, w))
-            flat.append(end)
-        arr = np.array(flat, np.int64)
-        lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        at = np.arange(lens.sum()) + np.repeat(np.arange(1, len(texts) + 1) * depth, lens)
-        return [arr[at - j] for j in range(depth + 1)]
+@dataclass(frozen=True)
+class Shared:
+    """What all tasks know: the common words by code and by number, and how words are dealt to parts."""
 
+    codes: np.ndarray  # sorted
+    number: np.ndarray  # by place in codes: most frequent first
+    count: np.ndarray  # c by number
+    deals: np.ndarray  # by number: among how many the tokens after this word are dealt
+    total: int  # N
+    types: int  # V
+    parts: int
+    depth: int
+    seed: int
 
-def _names(depth: int) -> list[str]:
-    """Columns of a sequence: the next token, then the tokens before it, the last one first."""
-    return ["w", *(f"x{j}" for j in range(1, depth + 1))]
+    def part(self, before: np.ndarray, further: np.ndarray) -> np.ndarray:
+        """Parts of tokens by the word before and the one before that."""
+        deals = self.dealt(before)
+        h = _scramble(before) + _scramble(further) % deals
+        return (_scramble(h.view(np.int64)) % np.uint64(self.parts)).astype(np.int64)
 
+    def dealt(self, before: np.ndarray) -> np.ndarray:
+        deals = np.ones(len(before), np.uint64)
+        known = (before >= 0) & (before < len(self.deals))
+        deals[known] = self.deals[before[known]]
+        return deals
 
-@dataclass
-class Tree:
-    """Hot words by number (most frequent first), hot sequences, and the tables of the levels."""
+    def root(self, c: np.ndarray) -> np.ndarray:
+        return np.log10((c + 1.0) / (self.total + self.types + 1))
 
-    number: dict[bytes, int]
-    count: np.ndarray
-    total: int  # N
-    types: int  # V
-    depth: int = 0
-    # Hot sequences: their mixed codes in order, codes by column, and log10 P(next | state).
-    hot_mix: np.ndarray | None = None
-    hot_codes: list[np.ndarray] | None = None
-    hot_log: np.ndarray | None = None
-    # Per level: the sequences (log10 P as "lp") and the retained states (log10 rest weight as "lw").
-    levels: list[tuple[DataFrame, DataFrame]] = field(default_factory=list)
 
-    def root(self, w: np.ndarray) -> np.ndarray:
-        return (self.count[w] + 1) / (self.total + self.types + 1)
+def _scramble(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        y = (x.view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return y >> np.uint64(20)
 
-    @property
-    def k(self) -> int:
-        return len(self.number)
-
-    def shared(self) -> dict:
-        """What the tasks need."""
-        names = ("number", "count", "total", "types", "depth", "hot_mix", "hot_codes", "hot_log")
-        return {x: getattr(self, x) for x in names}
-
-    @cached_property
-    def _numbers(self) -> dict[int, int]:
-        codes = _Codes()
-        return {codes[w]: i for w, i in self.number.items()}
-
-    @cached_property
-    def rest1(self) -> np.ndarray:
-        """log10 of the rest weight by hot word (0: not retained)."""
-        out = np.zeros(self.k)
-        for r in self.levels[0][1].where(F.col("x1").isin(list(self._numbers))).collect():
-            out[self._numbers[r.x1]] = r.lw
-        return out
-
-    @cached_property
-    def pairs(self) -> dict[tuple[int, int], float]:
-        """log10 P(next | state) of the pairs of hot words."""
-        hot = list(self._numbers)
-        rows = self.levels[0][0].where(F.col("x1").isin(hot) & F.col("w").isin(hot)).collect()
-        return {(self._numbers[r.x1], self._numbers[r.w]): r.lp for r in rows}
-
-
-def _mix(codes: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros(len(codes[0]), np.uint64)
-    for c in codes:
-        out = (out ^ c.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-def _find(tree: Tree, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places of sequences among the hot ones and whether they are there."""
-    if not len(tree.hot_mix):
-        return np.zeros(len(grams[0]), np.int64), np.zeros(len(grams[0]), bool)
-    mix = _mix(grams)
-    at = np.minimum(np.searchsorted(tree.hot_mix, mix), len(tree.hot_mix) - 1)
-    hit = tree.hot_mix[at] == mix
-    for hot, own in zip(tree.hot_codes, grams):
-        hit &= hot[at] == own
-    return at, hit
-
-
-def _check_codes(counts: DataFrame) -> None:
-    """Raises if two training words share a code."""
 
-    def run(batches):
-        for b in batches:
-            codes = _Codes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([codes[w] for w in b.column("word").cast(pa.binary()).to_pylist()], pa.int64())],
-                ["code"],
-            )
+def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens: int) -> Shared | None:
+    """None if there is no text."""
+    exponent = F.floor(F.log2(F.col("m").cast("double"))).cast("int").alias("e")
+    sizes = counts.groupBy(exponent).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("m").alias("m"), F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v")
+    )
+    rows = sorted(sizes.collect(), reverse=True)  # at most 63
+    if not rows:
+        return None
+    least, k = 63, 0
+    for r in rows:
+        k += r.k
+        if k > hot_words:
+            break
+        least = r.e
+    # At most hot_words rows.
+    hot = counts.where(F.col("m") >= 2.0**least).select("code", "c", "m").toArrow()
+    m, c, codes = (hot.column(x).to_numpy() for x in ("m", "c", "code"))
+    order = np.lexsort((codes, -m))
+    by_code = np.argsort(codes[order])
+    tokens = sum(r.m for r in rows)
+    return Shared(
+        codes[order][by_code],
+        by_code,
+        c[order],
+        (m[order] // max(part_tokens // 2, 1) + 1).astype(np.uint64),
+        sum(r.c for r in rows),
+        sum(r.v for r in rows),
+        max(1, -(-tokens // part_tokens)),
+        depth,
+        seed,
+    )
 
-    codes = counts.select("word").mapInArrow(run, "code long")
-    if not codes.groupBy("code").count().where("count > 1").isEmpty():
-        raise ValueError("two words share a 64-bit code")
 
+class _Keys(dict):
+    """Numbers (of common words) or codes of the words a task has met."""
 
-def _gram_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(w, x1.., n, m) of every sequence: its count in the training texts and in all texts."""
-    names = _names(depth)
+    def __init__(self, know: Shared):
+        super().__init__()
+        self.know = know
 
-    def run(batches):
-        codes = _Codes()
-        for ids, texts in _texts(batches):
-            train = np.array([not held_out(i) for i in ids], np.int64)
-            n = np.repeat(train, [len(w) + 1 for w in texts])
-            arrays = [*codes.grams(texts, depth), n]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], [*names, "n"])
-
-    schema = ", ".join(f"{x} long" for x in (*names, "n"))
-    return (
-        docs.mapInArrow(run, schema)
-        .groupBy(*names)
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
-    )
+    def __missing__(self, word: bytes) -> int:
+        x = code(word, self.know.seed)
+        at = int(np.searchsorted(self.know.codes, x))
+        if at < len(self.know.codes) and self.know.codes[at] == x:
+            x = int(self.know.number[at])
+        self[word] = x
+        return x
 
 
-def _level(grams: DataFrame, lower: DataFrame, level: int, min_divergence: float):
-    """The sequences of a level with their log10 probability and whether their state is retained.
+@dataclass
+class _Chunk:
+    """Tokens of some texts: each with the ones before it, the last one first."""
+
+    ids: list
+    lens: np.ndarray
+    train: np.ndarray  # by text
+    word: np.ndarray
+    before: list[np.ndarray]
+
+    @property
+    def doc(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.ids)), self.lens)
 
-    ``lower`` tells the same of the sequences one token shorter.
+
+def _chunks(batches, know: Shared, chunk: int = _CHUNK):
+    keys = _Keys(know)
+    depth = max(know.depth, 2)  # parts are chosen by two words
+    ids, lens, flat = [], [], []
+
+    def made():
+        arr = np.array(flat, np.int64)
+        n = np.array(lens, np.int64)
+        at = np.arange(n.sum()) + np.repeat(np.arange(1, len(n) + 1) * depth, n)
+        train = np.array([not held_out(i) for i in ids])
+        return _Chunk(list(ids), n, train, arr[at], [arr[at - j] for j in range(1, depth + 1)])
+
+    for doc_id, w in _texts(batches):
+        end = keys[b""]
+        flat.extend([_PAD] * (depth - 1))
+        flat.append(end)
+        flat.extend(map(keys.__getitem__, w))
+        flat.append(end)
+        ids.append(doc_id)
+        lens.append(len(w) + 1)
+        if len(flat) >= chunk:
+            yield made()
+            ids, lens, flat = [], [], []
+            if len(keys) >= _FLUSH:
+                keys = _Keys(know)
+    if ids:
+        yield made()
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of every distinct row, and the number of each row's."""
+    number = np.zeros(len(columns[0]), np.int64)
+    for x in columns:
+        values, own = np.unique(x, return_inverse=True)
+        if len(values) > 1:
+            _, number = np.unique(number * len(values) + own, return_inverse=True)
+    first = np.zeros(number.max() + 1 if len(number) else 0, np.int64)
+    first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+    return first, number
+
+
+def _requests(docs: DataFrame, know) -> DataFrame:
+    """(p, a, b, n, c): what parts must be told.
+
+    With ``a = _COUNT``: the count of the word b.  Else: of the word b after
+    the dealt word a, whose training occurrences in the part are n.  ``c`` is
+    the word's count where it is common.
     """
-    names = _names(level)
-    context = names[1:]
+
+    def run(batches):
+        k = know.value
+        for x in _chunks(batches, k):
+            p = k.part(x.before[0], x.before[1])
+            rare = x.word >= _RARE
+            dealt = (k.dealt(x.before[0]) > 1) if k.depth else np.zeros(len(p), bool)
+            train = x.train[x.doc].astype(np.int64)
+            a = np.concatenate([np.full(rare.sum(), _COUNT, np.int64), x.before[0][dealt]])
+            b = np.concatenate([x.word[rare], x.word[dealt]])
+            q = np.concatenate([p[rare], p[dealt]])
+            n = np.concatenate([np.zeros(rare.sum(), np.int64), train[dealt]])
+            if not len(a):
+                continue
+            first, number = _distinct(q, a, b)
+            b = b[first]
+            common = b < _RARE
+            c = np.zeros(len(b), np.int64)
+            c[common] = k.count[b[common]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(q[first]), pa.array(a[first]), pa.array(b),
+                    pa.array(np.bincount(number, n, len(first)).astype(np.int64)), pa.array(c, mask=~common),
+                ],
+                ["p", "a", "b", "n", "c"],
+            )
+
+    asked = docs.mapInArrow(run, "p long, a long, b long, n long, c long")
+    return asked.groupBy("p", "a", "b").agg(F.sum("n").alias("n"), F.max("c").alias("c"))
+
+
+def _facts(asked: DataFrame, counts: DataFrame, know: Shared, min_divergence: float) -> DataFrame:
+    """(p, a, b, v, kept): a word's count, or log10 P(b | a) and whether the state a is retained."""
+    rare = asked.where(F.col("c").isNull()).select("b").distinct()
+    found = rare.join(counts.select(F.col("code").alias("b"), F.col("c").alias("rare_c")), "b")
+    told = asked.join(found, "b", "left").withColumn("c", F.coalesce("c", "rare_c", F.lit(0))).drop("rare_c")
+    of_words = told.where(F.col("a") == _COUNT).select(
+        "p", "a", "b", F.col("c").cast("double").alias("v"), F.lit(False).alias("kept")
+    )
+    root = F.log10((F.col("c") + 1) / F.lit(float(know.total + know.types + 1)))
+    after = told.where(F.col("a") != _COUNT).withColumn("root", root)
+    next_ = after.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("root").alias("root")).where("n > 0")
     n, size = F.col("n") - DISCOUNT, F.col("size")
-    rows = grams.join(lower.select(*names[:-1], "lp", "kept"), names[:-1])
-    rest = F.greatest(DISCOUNT * F.col("k") / size, F.lit(1e-12))
-    divergence = (F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("lw")
-    states = staged(
-        rows.where((F.col("n") > 0) & F.col("kept") & (F.col(names[-1]) != _PAD))
-        .groupBy(*context)
+    rest = F.greatest(DISCOUNT * F.col("k") / size, F.lit(_LEAST))
+    states = (
+        next_.groupBy("a")
         .agg(
             F.sum("n").alias("size"),
             F.count(F.lit(1)).alias("k"),
             F.sum(n).alias("mass"),
-            F.sum(n * (F.log10(n) - F.col("lp"))).alias("gain"),
-            F.sum(F.pow(F.lit(10.0), "lp")).alias("covered"),
+            F.sum(n * (F.log10(n) - F.col("root"))).alias("gain"),
+            F.sum(F.pow(F.lit(10.0), "root")).alias("covered"),
+        )
+        .withColumn("lw", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(_LEAST))))
+        .withColumn(
+            "kept",
+            ((F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("lw")) * F.lit(float(np.log(10.0)))
+            >= min_divergence,
         )
-        .withColumn("lw", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(1e-12))))
-        .where(divergence * F.lit(np.log(10.0)) >= min_divergence)
-        .select(*context, "size", "lw"),
-        "lm-states",
+        .select("a", "size", "lw", "kept")
     )
-    kept = F.col("lw").isNotNull()
-    own = F.when(F.col("n") > 0, F.log10(n) - F.log10(size)).otherwise(F.col("lw") + F.col("lp"))
-    out = rows.join(states, context, "left").select(
-        *grams.columns, F.when(kept, own).otherwise(F.col("lp")).alias("lp"), kept.alias("kept")
+    kept = F.coalesce("kept", F.lit(False))
+    own = F.when(F.col("n").isNotNull(), F.log10(n) - F.log10(size)).otherwise(F.col("lw") + F.col("root"))
+    of_states = (
+        after.select("p", "a", "b", "root")
+        .join(next_.select("a", "b", "n"), ["a", "b"], "left")
+        .join(states, "a", "left")
+        .select("p", "a", "b", F.when(kept, own).otherwise(F.col("root")).alias("v"), kept.alias("kept"))
     )
-    return staged(out, "lm-level"), states
+    return of_words.unionByName(of_states)
 
 
-def grow(
-    docs: DataFrame,
-    counts: DataFrame,
-    depth: int = 2,
-    p_hot: float = P_HOT,
-    p_gram: float = P_GRAM,
-    min_divergence: float = MIN_DIVERGENCE,
-) -> Tree:
-    """Learn the tree, one level at a time, until a level retains no state."""
-    if not isinstance(depth, int) or depth < 0:
-        raise ValueError(f"depth must be a whole number from 0, not {depth!r}")
-    total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    hot = (
-        counts.where((F.col("c") >= p_hot * total) & (F.octet_length("word") <= HOT_BYTES))
-        .toPandas()
-        .sort_values(["c", "word"], ascending=[False, True])
-    )
-    tree = Tree(
-        {w.encode(): i for i, w in enumerate(hot["word"])}, hot["c"].to_numpy(np.int64), total, types
-    )
-    if depth < 1 or not total:
-        return tree
-    _check_codes(counts)
-    names = _names(depth)
-    grams = staged(_gram_counts(docs, depth), "lm-grams")
-    root = F.log10((F.sum("n") + 1) / F.lit(float(total + types + 1)))
-    lower = staged(
-        grams.groupBy("w").agg(root.alias("lp")).withColumn("kept", F.lit(True)), "lm-root"
-    )
-    for level in range(1, depth + 1):
-        rows = grams
-        if level < depth:
-            rows = grams.groupBy(*_names(level)).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
-        lower, states = _level(rows, lower, level, min_divergence)
-        tree.levels.append((lower, states))
-        tree.depth = level
-        if states.isEmpty():
-            break
-    names = _names(tree.depth)
-    tokens = grams.agg(F.sum("m")).first()[0]
-    # At most 1 / p_gram rows.
-    found = lower.where(F.col("m") >= p_gram * tokens).select(*names, "lp").toArrow()
-    codes = [found.column(x).to_numpy() for x in names]
-    tree.hot_mix, at = np.unique(_mix(codes), return_index=True)
-    tree.hot_codes = [x[at] for x in codes]
-    tree.hot_log = found.column("lp").to_numpy()[at]
-    return tree
-
-
-def _gain1(tree: Tree, before: np.ndarray, sym: np.ndarray) -> np.ndarray:
-    """log10 P(next | state) - log10 P(next | root) in the depth-1 state (or the root), hot words."""
-    root = np.log10(tree.root(sym))
-    return np.array(
-        [
-            tree.pairs.get((a, w), tree.rest1[a] + r) - r
-            for a, w, r in zip(before.tolist(), sym.tolist(), root.tolist())
-        ]
-    )
+_ZSTD = "zstd"
 
 
-PART_SCHEMA = (
-    "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_log double, "
-    "hot_gram double, rare array<struct<word:string,n:long>>"
-)
+def _packed(rows: np.ndarray) -> bytes:
+    """Whole numbers by byte place, compressed."""
+    return pa.compress(np.ascontiguousarray(rows.view(np.uint8).reshape(-1, 8).T).tobytes(), _ZSTD, asbytes=True)
 
 
-def _parts(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Per row: what the broadcast tables tell, and the words they don't hold.
+def _unpacked(raw: bytes, count: int) -> np.ndarray:
+    plain = np.frombuffer(pa.decompress(raw, 8 * count, _ZSTD), np.uint8)
+    return np.ascontiguousarray(plain.reshape(8, count).T).view(np.int64).ravel()
 
-    Further rows, with ``w`` set, hold one sequence each that is not broadcast.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(tree.shared())
-    names = _names(tree.depth)
-    schema = pa.schema(
-        [
-            ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-            ("n_tokens", pa.int64()), ("hot_known", pa.int64()), ("hot_log", pa.float64()),
-            ("hot_gram", pa.float64()),
-            ("rare", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
-            *((x, pa.int64()) for x in names),
-        ]
-    )
-
-    def batch(n, **columns):
-        return pa.RecordBatch.from_arrays(
-            [columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema
-        )
 
-    def run(batches):
-        tree, n_rows, codes = Tree(**shared.value), 0, _Codes()
-        first = TaskContext.get().partitionId() << 33
-        end, get = tree.number.get(b"", -1), tree.number.get
-        log = np.append(np.log10(tree.count + 1.0), 0.0)  # the last: not hot
-        for ids, texts in _texts(batches):
-            lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-            starts = np.cumsum(lens) - lens
-            flat: list[int] = []
-            for w in texts:
-                flat.extend(map(get, w, repeat(-1)))
-                flat.append(end)
-            arr = np.array(flat, np.int64)
-            rare = []
-            for w, s in zip(texts, starts.tolist()):
-                new = compress(w, (arr[s : s + len(w)] < 0).tolist())
-                rare.append([{"word": x, "n": c} for x, c in Counter(new).items()])
-            struct = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-            out = pa.struct([("word", pa.string()), ("n", pa.int64())])
-            own = pa.array(np.arange(first + n_rows, first + n_rows + len(ids)))
-            known = np.zeros(len(arr))
-            if tree.depth:
-                grams = codes.grams(texts, tree.depth)
-                at, hit = _find(tree, grams)
-                known[hit] = tree.hot_log[at[hit]]
-                cold = np.repeat(own.to_numpy(), lens)[~hit]
-                yield batch(
-                    len(cold), row=pa.array(cold), **{x: pa.array(c[~hit]) for x, c in zip(names, grams)}
-                )
-            yield batch(
-                len(ids),
-                row=own,
-                doc_id=pa.array(ids, pa.int64()),
-                held_out=pa.array([held_out(i) for i in ids]),
-                n_tokens=pa.array(lens),
-                hot_known=pa.array(np.add.reduceat((arr >= 0).astype(np.int64), starts)),
-                hot_log=pa.array(np.add.reduceat(log[arr], starts)),
-                hot_gram=pa.array(np.add.reduceat(known, starts)),
-                rare=pa.array(rare, pa.list_(struct)).cast(pa.list_(out)),
-            )
-            n_rows += len(ids)
+_BLOCKS = (
+    "p long, size long, first long, block binary, ids array<long>, lens array<long>, known array<long>, logs array<double>"
+)
 
-    columns = "".join(f", {x} long" for x in names)
-    return staged(docs.mapInArrow(run, PART_SCHEMA + columns), "lm-parts")
 
+def _blocks(docs: DataFrame, know) -> DataFrame:
+    """(p, size, first, block, ...): tokens by part, with the numbers of their texts from ``first`` on.
+
+    One block of a chunk carries what its texts' common words tell: ids,
+    lengths, known tokens and sums of log10(c + 1).
+    """
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **growth) -> DataFrame:
+    def run(batches):
+        k = know.value
+        row = TaskContext.get().partitionId() << 33
+        for turn, x in enumerate(_chunks(batches, k)):
+            doc = x.doc
+            c = np.full(len(doc), -1, np.int64)
+            common = x.word < _RARE
+            c[common] = k.count[x.word[common]]
+            known = np.bincount(doc, c > 0, len(x.ids)).astype(np.int64)
+            logs = np.bincount(doc, np.log10(np.maximum(c, 0) + 1.0), len(x.ids))
+            p = k.part(x.before[0], x.before[1])
+            order = np.argsort((p << 40) | (x.before[0] & ((1 << 40) - 1)), kind="stable")
+            rows = np.stack([*x.before[: k.depth], x.word, 2 * doc + x.train[doc]])[:, order]
+            cut = np.flatnonzero(np.append(True, p[order][1:] != p[order][:-1]))
+            ends = np.append(cut[1:], len(order))
+            mine = turn % len(cut)
+            for i, (a, z) in enumerate(zip(cut.tolist(), ends.tolist())):
+                told = [x.ids, x.lens, known, logs] if i == mine else [None] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p[order[a]]], pa.int64()), pa.array([z - a], pa.int64()), pa.array([row], pa.int64()),
+                        pa.array([_packed(np.ascontiguousarray(rows[:, a:z]).ravel())], pa.binary()),
+                        *(pa.array([t], pa.list_(pa.float64() if j == 3 else pa.int64())) for j, t in enumerate(told)),
+                    ],
+                    [f.split()[0] for f in _BLOCKS.split(", ")],
+                )
+            row += len(x.ids)
+
+    return docs.mapInArrow(run, _BLOCKS)
+
+
+def levels(
+    before: list[np.ndarray], word: np.ndarray, train: np.ndarray, root: np.ndarray, min_divergence: float, told=None
+) -> np.ndarray:
+    """log10 P of every token in the longest retained state of the part.
+
+    ``train`` says how often a token counts.  ``told`` (rows, their log10 P,
+    whether their state is retained) are rows with a first state that lies in
+    several parts; all rows of such a state have one.
+    """
+    lp, kept, context = root, np.ones(len(word), bool), np.zeros(len(word), np.int64)
+    for level, x in enumerate(before):
+        _, context = _distinct(context, x)
+        first, sequence = _distinct(context, word)
+        of = context[first]
+        n = np.bincount(sequence, train, len(first))
+        states = int(context.max()) + 1 if len(context) else 0
+        suffix = lp[first]
+        own = (n > 0) & kept[first] & (x[first] != _PAD)
+        at, m, s = of[own], n[own] - DISCOUNT, suffix[own]
+
+        def per_state(values):
+            return np.bincount(at, values, states)
+
+        size, k = per_state(n[own]), np.bincount(at, minlength=states)
+        some = np.maximum(size, 1)
+        rest = np.maximum(DISCOUNT * k / some, _LEAST)
+        weight = np.log10(rest / np.maximum(1 - per_state(10.0**s), _LEAST))
+        gain = per_state(m * (np.log10(m) - s))
+        divergence = ((gain - np.log10(some) * per_state(m)) / some + rest * weight) * np.log(10.0)
+        retained = (size > 0) & (divergence >= min_divergence)
+        value = np.where(n > 0, np.log10(np.maximum(n - DISCOUNT, _LEAST)) - np.log10(some[of]), weight[of] + suffix)
+        value = np.where(retained[of], value, suffix)
+        if level == 0 and told is not None:
+            rows, log, is_kept = told
+            value[sequence[rows]] = log
+            retained[context[rows]] = is_kept
+        lp, kept = value[sequence], retained[context]
+    return lp
+
+
+_SUMS = "row long, doc_id long, n_tokens long, known long, log double, full double"
+
+
+def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) -> DataFrame:
+    """Each part's sums by text."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        k = know.value
+        width = k.depth + 2
+        rows, number = [], []
+        for size, first, block in zip(*(left.column(x).to_pylist() for x in ("size", "first", "block"))):
+            x = _unpacked(block, size * width).reshape(width, size)
+            rows.append(x)
+            number.append((x[-1] >> 1) + first)
+        out = {x.split()[0]: [] for x in _SUMS.split(", ")}
+        for first, ids, lens, known, logs in zip(
+            *(left.column(x).to_pylist() for x in ("first", "ids", "lens", "known", "logs"))
+        ):
+            if ids is not None:
+                zero = [0.0] * len(ids)
+                for x, y in zip(out, (range(first, first + len(ids)), ids, lens, known, logs, zero)):
+                    out[x].extend(y)
+        if rows:
+            x = np.concatenate(rows, axis=1)
+            number = np.concatenate(number)
+            word, train = x[-2], (x[-1] & 1).astype(np.float64)
+            a, b, v = (right.column(c).to_numpy() for c in ("a", "b", "v"))
+            is_kept = right.column("kept").to_numpy()
+            counts = a == _COUNT
+            order = np.argsort(b[counts])
+            codes, told_c = b[counts][order], v[counts][order]
+            # Rows of the dealt states, which count nothing and belong to no text.
+            pairs = ~counts if k.depth else np.zeros(len(a), bool)
+            extra = int(pairs.sum())
+            word = np.append(word, b[pairs])
+            c = np.zeros(len(word))
+            common = word < _RARE
+            c[common] = k.count[word[common]]
+            if len(codes):
+                at = np.minimum(np.searchsorted(codes, word[~common]), len(codes) - 1)
+                c[~common] = np.where(codes[at] == word[~common], told_c[at], 0)
+            before = [
+                np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)
+            ]
+            told = (np.arange(len(word) - extra, len(word)), v[pairs], is_kept[pairs]) if extra else None
+            lp = levels(before, word, np.append(train, np.zeros(extra)), k.root(c), min_divergence, told)
+            tokens = len(number)
+            texts, at = np.unique(number, return_inverse=True)
+            rare = ~common[:tokens]
+            sums = [
+                np.bincount(at, (c[:tokens] > 0) & rare, len(texts)).astype(np.int64),
+                np.bincount(at, np.where(rare, np.log10(c[:tokens] + 1), 0.0), len(texts)),
+                np.bincount(at, lp[:tokens], len(texts)),
+            ]
+            arrays = [pa.array(texts), pa.nulls(len(texts), pa.int64()), pa.array(np.zeros(len(texts), np.int64))]
+            arrays += [pa.array(s) for s in sums]
+        else:
+            arrays = [pa.array([], f) for f in (*[pa.int64()] * 4, *[pa.float64()] * 2)]
+        kinds = [f.type for f in arrays]
+        plain = [pa.array(out[n], t) for n, t in zip(out, kinds)]
+        return pa.table([pa.chunked_array([y, z]) for y, z in zip(plain, arrays)], list(out))
+
+    return blocks.groupBy("p").cogroup(facts.groupBy("p")).applyInArrow(run, _SUMS)
+
+
+def score(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    depth: int = 2,
+    min_divergence: float = MIN_DIVERGENCE,
+    hot_words: int = HOT_WORDS,
+    part_tokens: int = PART_TOKENS,
+) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    if not isinstance(depth, int) or depth < 0:
+        raise ValueError(f"depth must be a whole number from 0, not {depth!r}")
     docs = id_text(docs, id_col, text_col)
-    counts = staged(word_counts(docs), "lm-words")
-    tree = grow(docs, counts, **growth)
-    names = _names(tree.depth)
-    every = _parts(docs, tree)
-    parts = every.where(F.col("n_tokens").isNotNull()).drop(*names)
-    rare = parts.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
-    found = (
-        rare.join(counts, "word")
-        .groupBy("row")
-        .agg(F.sum("n").alias("known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("log"))
+    counts, seed = distinct_codes(docs)
+    known = shared(counts, seed, depth, hot_words, part_tokens)
+    total, types = (known.total, known.types) if known else (0, 0)
+    if known is None:
+        sums = docs.sparkSession.createDataFrame([], _SUMS)
+    else:
+        know = docs.sparkSession.sparkContext.broadcast(known)
+        asked = staged(_requests(docs, know), "lm-requests")
+        sums = _scored(_blocks(docs, know), _facts(asked, counts, known, min_divergence), know, min_divergence)
+    rows = sums.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n_tokens", "known", "log", "full"))
     )
-    root = F.col("n_tokens") * F.log10(F.lit(float(tree.total + tree.types + 1)))
-    base = F.col("hot_log") + F.coalesce("log", F.lit(0.0)) - root
-    joined = parts.drop("rare").join(found, "row", "left")
-    full = base
-    if tree.depth:
-        cold = (
-            every.where(F.col("w").isNotNull())
-            .select("row", *names)
-            .join(tree.levels[-1][0].select(*names, "lp"), names)
-            .groupBy("row")
-            .agg(F.sum("lp").alias("cold_gram"))
-        )
-        joined = joined.join(cold, "row", "left")
-        full = F.col("hot_gram") + F.coalesce("cold_gram", F.lit(0.0))
-    return joined.select(
+    root = F.col("n_tokens") * F.log10(F.lit(float(total + types + 1)))
+    return rows.select(
         "doc_id",
-        "held_out",
+        _is_held_out("doc_id").alias("held_out"),
         "n_tokens",
-        (F.col("hot_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        full.alias("score"),
+        F.col("known").alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("log") - root).alias("base_score"),
+        F.col("full").alias("score"),
     )

@@ -118,18 +118,24 @@ def test_longest_suffix_states_by_definition(spark, toy):
         assert got[d] == pytest.approx(want, rel=1e-9), d
 
 
-def test_each_state_is_a_distribution(spark, toy):
-    from enrolmart.llm.common import id_text, staged
-
-    docs = id_text(toy)
-    counts = staged(L.word_counts(docs), "t")
-    tree = L.grow(docs, counts)
-    known = np.arange(tree.k)
-    unseen = 1 / (tree.total + tree.types + 1)
-    for before in range(tree.k):
-        gain = L._gain1(tree, np.full(tree.k, before), known)
-        p = tree.root(known) * 10**gain
-        assert p.sum() + unseen * 10 ** tree.rest1[before] == pytest.approx(1, abs=1e-6)
+def test_each_state_is_a_distribution():
+    """What a state gives all words and one unknown word sums to one, at every level."""
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 12, 4000) % rng.integers(1, 12, 4000)
+    x = [words[1:-1], words[:-2]]
+    w = words[2:]
+    c = np.bincount(w, minlength=12)
+    contexts = np.unique(np.stack(x), axis=1)
+    every = np.append(np.flatnonzero(c), 99)  # 99: unknown
+    asked = [np.repeat(y, len(every)) for y in contexts]
+    word = np.append(w, np.tile(every, contexts.shape[1]))
+    before = [np.append(y, z) for y, z in zip(x, asked)]
+    train = np.append(np.ones(len(w)), np.zeros(len(asked[0])))
+    count = np.append(c, np.zeros(100))[word]
+    root = np.log10((count + 1) / (len(w) + (c > 0).sum() + 1))
+    for depth in (0, 1, 2):
+        lp = L.levels(before[:depth], word, train, root, 0.0)[len(w) :]
+        assert (10**lp).reshape(-1, len(every)).sum(1) == pytest.approx(np.ones(contexts.shape[1]))
 
 
 def test_rare_contexts_stay_however_large_the_corpus(spark):
@@ -145,10 +151,25 @@ def test_rare_contexts_stay_however_large_the_corpus(spark):
     assert many > few > 0
 
 
-def test_joined_sequences_score_like_broadcast_ones(spark, toy):
-    some = {r.doc_id: r.score for r in L.score(toy, p_gram=1e-9).collect()}
-    none = {r.doc_id: r.score for r in L.score(toy, p_gram=2.0).collect()}
-    assert none == pytest.approx(some, rel=1e-9)
+@pytest.mark.parametrize("layout", [{"part_tokens": 300}, {"hot_words": 3}, {"part_tokens": 50, "hot_words": 0}])
+def test_parts_and_rare_words_change_nothing(spark, toy, layout):
+    """Dealt states, words that are asked for, and both."""
+    whole = {r.doc_id: tuple(r) for r in L.score(toy).collect()}
+    parts = {r.doc_id: tuple(r) for r in L.score(toy, **layout).collect()}
+    assert whole.keys() == parts.keys()
+    for d, r in whole.items():
+        assert parts[d][:5] == r[:5]
+        assert parts[d][5:] == pytest.approx(r[5:], rel=1e-9)
+
+
+def test_words_that_share_a_code(spark, toy, monkeypatch):
+    """The next seed is drawn."""
+    want = {r.doc_id: r.score for r in L.score(toy).collect()}
+    plain = L.code
+    monkeypatch.setattr(L, "code", lambda w, seed: L._RARE if seed == 0 else plain(w, seed))
+    counts, seed = L.distinct_codes(L.id_text(toy))
+    assert seed == 1
+    assert {r.doc_id: r.score for r in L.score(toy).collect()} == pytest.approx(want, rel=1e-9)
 
 
 def test_deeper_states(spark):
@@ -158,6 +179,5 @@ def test_deeper_states(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     total = {d: sum(r.score for r in L.score(docs, depth=d).collect()) for d in (2, 3)}
     assert total[3] > total[2] + 2000  # 4,000 words, one of four each
-    counts = L.staged(L.word_counts(docs), "t")
     with pytest.raises(ValueError):
-        L.grow(docs, counts, depth=-1)
+        L.score(docs, depth=-1)
