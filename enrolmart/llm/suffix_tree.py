@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from enrolmart.llm.common import id_text, staged
 
 HOT_WORDS = 1 << 20
-PART_TOKENS = 1 << 21
+PART_TOKENS = 1 << 20
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
 _LEAST = 1e-12
@@ -209,19 +209,21 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
 
 
 class _Keys(dict):
-    """Numbers (of common words) or codes of the words a task has met."""
+    """Numbers (of common words) or codes of the words a task has met; None stands before a text."""
 
     def __init__(self, know: Shared):
-        super().__init__()
+        super().__init__({None: _PAD})
         self.know = know
 
-    def __missing__(self, word: bytes) -> int:
-        x = code(word, self.know.seed)
-        at = int(np.searchsorted(self.know.codes, x))
-        if at < len(self.know.codes) and self.know.codes[at] == x:
-            x = int(self.know.number[at])
-        self[word] = x
-        return x
+    def of(self, tokens: list) -> np.ndarray:
+        know = self.know
+        missing = list(set(tokens).difference(self))
+        x = np.fromiter((code(w, know.seed) for w in missing), np.int64, len(missing))
+        if len(know.codes):
+            at = np.minimum(np.searchsorted(know.codes, x), len(know.codes) - 1)
+            x = np.where(know.codes[at] == x, know.number[at], x)
+        self.update(zip(missing, x.tolist()))
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
 @dataclass
@@ -245,17 +247,16 @@ def _chunks(batches, know: Shared, chunk: int = _CHUNK):
     ids, lens, flat = [], [], []
 
     def made():
-        arr = np.array(flat, np.int64)
+        arr = keys.of(flat)
         n = np.array(lens, np.int64)
         at = np.arange(n.sum()) + np.repeat(np.arange(1, len(n) + 1) * depth, n)
         train = np.array([not held_out(i) for i in ids])
         return _Chunk(list(ids), n, train, arr[at], [arr[at - j] for j in range(1, depth + 1)])
 
+    start, end = [None] * (depth - 1) + [b""], b""
     for doc_id, w in _texts(batches):
-        end = keys[b""]
-        flat.extend([_PAD] * (depth - 1))
-        flat.append(end)
-        flat.extend(map(keys.__getitem__, w))
+        flat.extend(start)
+        flat.extend(w)
         flat.append(end)
         ids.append(doc_id)
         lens.append(len(w) + 1)
@@ -269,15 +270,31 @@ def _chunks(batches, know: Shared, chunk: int = _CHUNK):
 
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of every distinct row, and the number of each row's."""
-    number = np.zeros(len(columns[0]), np.int64)
-    for x in columns:
-        values, own = np.unique(x, return_inverse=True)
-        if len(values) > 1:
-            _, number = np.unique(number * len(values) + own, return_inverse=True)
-    first = np.zeros(number.max() + 1 if len(number) else 0, np.int64)
-    first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
-    return first, number
+    """A place of every distinct row, and the number of each row's.
+
+    Rows are sorted by a hash; if it does not tell all of them apart, by themselves.
+    """
+    h = np.zeros(len(columns[0]), np.uint64)
+    with np.errstate(over="ignore"):
+        for x in columns:
+            h = (h ^ x.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    order = np.argsort(h)
+    first, number = _runs(order, h[order])
+    if all((x[first][number] == x).all() for x in columns):
+        return first, number
+    order = np.lexsort(columns)
+    return _runs(order, *[x[order] for x in columns])
+
+
+def _runs(order: np.ndarray, *sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in sorted_:
+        new[1:] |= x[1:] != x[:-1]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def _requests(docs: DataFrame, know) -> DataFrame:
@@ -395,7 +412,7 @@ def _blocks(docs: DataFrame, know) -> DataFrame:
             known = np.bincount(doc, c > 0, len(x.ids)).astype(np.int64)
             logs = np.bincount(doc, np.log10(np.maximum(c, 0) + 1.0), len(x.ids))
             p = k.part(x.before[0], x.before[1])
-            order = np.argsort((p << 40) | (x.before[0] & ((1 << 40) - 1)), kind="stable")
+            order = np.argsort((p << 40) | (x.before[0] & ((1 << 40) - 1)))
             rows = np.stack([*x.before[: k.depth], x.word, 2 * doc + x.train[doc]])[:, order]
             cut = np.flatnonzero(np.append(True, p[order][1:] != p[order][:-1]))
             ends = np.append(cut[1:], len(order))
@@ -478,8 +495,9 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
                 for x, y in zip(out, (range(first, first + len(ids)), ids, lens, known, logs, zero)):
                     out[x].extend(y)
         if rows:
-            x = np.concatenate(rows, axis=1)
-            number = np.concatenate(number)
+            left = None
+            x, number = np.concatenate(rows, axis=1), np.concatenate(number)
+            rows.clear()
             word, train = x[-2], (x[-1] & 1).astype(np.float64)
             a, b, v = (right.column(c).to_numpy() for c in ("a", "b", "v"))
             is_kept = right.column("kept").to_numpy()

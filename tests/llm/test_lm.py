@@ -162,6 +162,19 @@ def test_parts_and_rare_words_change_nothing(spark, toy, layout):
         assert parts[d][5:] == pytest.approx(r[5:], rel=1e-9)
 
 
+def test_rows_are_told_apart_whatever_their_hash():
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(-2, 9, 500), rng.integers(0, 9, 500) * 2**61
+    for columns in ([a], [a, b], [a[:0], b[:0]], [a[:1]]):
+        first, number = L._distinct(*columns)
+        rows = list(zip(*[c.tolist() for c in columns]))
+        assert len(first) == len(set(rows))
+        assert [rows[first[n]] for n in number] == rows
+    order = np.lexsort([a, b])
+    first, number = L._runs(order, a[order], b[order])
+    assert (a[first][number] == a).all() and (b[first][number] == b).all()
+
+
 def test_words_that_share_a_code(spark, toy, monkeypatch):
     """The next seed is drawn."""
     want = {r.doc_id: r.score for r in L.score(toy).collect()}
