@@ -20,8 +20,8 @@ of its context; a part of about ``part_tokens`` tokens counts its sequences,
 tests its states level by level, scores its tokens and sends each text's sum
 back.  Nothing is looked up by token.
 
-* The word before the token chooses the part.  One with more tokens than half
-  a part is dealt on by the word before it; its own state, which then
+* The word before the token chooses the part.  One with more tokens than a
+  quarter of a part is dealt on by the word before it; its own state, which then
   lies in several parts, is counted first, by its distinct successors, and
   sent to them.  All longer contexts lie in one part each: a pair of words
   with a large share of all tokens is not split further.
@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrolmart.llm.common import id_text, staged
@@ -66,6 +66,8 @@ _PAD = -1
 _RARE = 1 << 62
 # In the place of a context: a word's count is told, not a sequence.
 _COUNT = -2
+# In the place of a word: the context's own state is told.
+_STATE = -3
 
 
 def held_out(doc_id, mod: int = 7, rest: int = 2) -> bool:
@@ -199,7 +201,7 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
         codes[order][by_code],
         by_code,
         c[order],
-        (m[order] // max(part_tokens // 2, 1) + 1).astype(np.uint64),
+        (m[order] // max(part_tokens // 4, 1) + 1).astype(np.uint64),
         sum(r.c for r in rows),
         sum(r.v for r in rows),
         max(1, -(-tokens // part_tokens)),
@@ -336,20 +338,32 @@ def _requests(docs: DataFrame, know) -> DataFrame:
 
 
 def _facts(asked: DataFrame, counts: DataFrame, know: Shared, min_divergence: float) -> DataFrame:
-    """(p, a, b, v, kept): a word's count, or log10 P(b | a) and whether the state a is retained."""
+    """(p, a, b, v, w, kept): what parts are told.
+
+    With ``a = _COUNT``: v is the count of the word b.  With ``b = _STATE``: of
+    the dealt state a its training occurrences, the log10 of its rest weight
+    and whether it is retained.  Else: how often b follows a in the training
+    texts, and log10 P(b) of the root.
+    """
     rare = asked.where(F.col("c").isNull()).select("b").distinct()
     found = rare.join(counts.select(F.col("code").alias("b"), F.col("c").alias("rare_c")), "b")
     told = asked.join(found, "b", "left").withColumn("c", F.coalesce("c", "rare_c", F.lit(0))).drop("rare_c")
+    none = F.lit(None).cast("double")
     of_words = told.where(F.col("a") == _COUNT).select(
-        "p", "a", "b", F.col("c").cast("double").alias("v"), F.lit(False).alias("kept")
+        "p", "a", "b", F.col("c").cast("double").alias("v"), none.alias("w"), F.lit(False).alias("kept")
     )
     root = F.log10((F.col("c") + 1) / F.lit(float(know.total + know.types + 1)))
-    after = told.where(F.col("a") != _COUNT).withColumn("root", root)
-    next_ = after.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("root").alias("root")).where("n > 0")
+    every = F.sum("n").over(Window.partitionBy("a", "b"))
+    after = told.where(F.col("a") != _COUNT).withColumn("root", root).withColumn("every", every)
+    of_pairs = after.select(
+        "p", "a", "b", F.col("every").cast("double").alias("v"), F.col("root").alias("w"), F.lit(False).alias("kept")
+    )
+    next_ = told.where(F.col("a") != _COUNT).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max(root).alias("root"))
     n, size = F.col("n") - DISCOUNT, F.col("size")
     rest = F.greatest(DISCOUNT * F.col("k") / size, F.lit(_LEAST))
     states = (
-        next_.groupBy("a")
+        next_.where("n > 0")
+        .groupBy("a")
         .agg(
             F.sum("n").alias("size"),
             F.count(F.lit(1)).alias("k"),
@@ -357,23 +371,36 @@ def _facts(asked: DataFrame, counts: DataFrame, know: Shared, min_divergence: fl
             F.sum(n * (F.log10(n) - F.col("root"))).alias("gain"),
             F.sum(F.pow(F.lit(10.0), "root")).alias("covered"),
         )
-        .withColumn("lw", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(_LEAST))))
+        .withColumn("w", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(_LEAST))))
         .withColumn(
             "kept",
-            ((F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("lw")) * F.lit(float(np.log(10.0)))
+            ((F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("w")) * F.lit(float(np.log(10.0)))
             >= min_divergence,
         )
-        .select("a", "size", "lw", "kept")
     )
-    kept = F.coalesce("kept", F.lit(False))
-    own = F.when(F.col("n").isNotNull(), F.log10(n) - F.log10(size)).otherwise(F.col("lw") + F.col("root"))
-    of_states = (
-        after.select("p", "a", "b", "root")
-        .join(next_.select("a", "b", "n"), ["a", "b"], "left")
-        .join(states, "a", "left")
-        .select("p", "a", "b", F.when(kept, own).otherwise(F.col("root")).alias("v"), kept.alias("kept"))
+    # One row for each dealt word and part.
+    where = asked.where(F.col("a") != _COUNT).select("p", "a").distinct()
+    of_states = where.join(states, "a").select(
+        "p", "a", F.lit(_STATE).cast("long").alias("b"), F.col("size").cast("double").alias("v"), "w", "kept"
     )
-    return of_words.unionByName(of_states)
+    return of_words.unionByName(of_pairs).unionByName(of_states)
+
+
+def _dealt_values(a, b, v, w, kept) -> tuple[np.ndarray, np.ndarray]:
+    """log10 P(b | a) of the rows of pairs, and whether their state is retained."""
+    of = b == _STATE
+    state, size, weight, retained = a[of], v[of], w[of], kept[of]
+    order = np.argsort(state)
+    pairs = (a != _COUNT) & ~of
+    at = np.searchsorted(state[order], a[pairs]) if len(state) else np.zeros(0, np.int64)
+    at = np.minimum(at, max(len(state) - 1, 0))
+    n, root = v[pairs], w[pairs]
+    if not len(state):
+        return root, np.zeros(len(root), bool)
+    at = order[at]
+    is_kept = retained[at] & (state[at] == a[pairs])
+    own = np.where(n > 0, np.log10(np.maximum(n - DISCOUNT, _LEAST)) - np.log10(size[at]), weight[at] + root)
+    return np.where(is_kept, own, root), is_kept
 
 
 _ZSTD = "zstd"
@@ -499,13 +526,12 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
             x, number = np.concatenate(rows, axis=1), np.concatenate(number)
             rows.clear()
             word, train = x[-2], (x[-1] & 1).astype(np.float64)
-            a, b, v = (right.column(c).to_numpy() for c in ("a", "b", "v"))
-            is_kept = right.column("kept").to_numpy()
+            a, b, v, w, kept = (right.column(c).to_numpy() for c in ("a", "b", "v", "w", "kept"))
             counts = a == _COUNT
             order = np.argsort(b[counts])
             codes, told_c = b[counts][order], v[counts][order]
             # Rows of the dealt states, which count nothing and belong to no text.
-            pairs = ~counts if k.depth else np.zeros(len(a), bool)
+            pairs = ~counts & (b != _STATE)
             extra = int(pairs.sum())
             word = np.append(word, b[pairs])
             c = np.zeros(len(word))
@@ -517,7 +543,7 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
             before = [
                 np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)
             ]
-            told = (np.arange(len(word) - extra, len(word)), v[pairs], is_kept[pairs]) if extra else None
+            told = (np.arange(len(word) - extra, len(word)), *_dealt_values(a, b, v, w, kept)) if extra else None
             lp = levels(before, word, np.append(train, np.zeros(extra)), k.root(c), min_divergence, told)
             tokens = len(number)
             texts, at = np.unique(number, return_inverse=True)
