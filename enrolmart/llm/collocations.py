@@ -29,7 +29,6 @@ result.
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -49,7 +48,7 @@ SHARDS, MAX_SHARDS = 9, 16
 COVERED = 80
 # The filters' size: bits for each entry, at most so many in all (16 MB).
 BITS_EACH, MAX_BITS = 12, 1 << 27
-# Tokens handled together, distinct words a task counts or numbers at once, texts read at once.
+# Tokens handled together, distinct words a task counts at once, texts read at once.
 _CHUNK, _FLUSH, _TEXTS = 1 << 20, 1 << 18, 256
 # Consecutive ids that go to one shard: neighbours' phrases meet in the task already.
 _IDS = 1 << 12
@@ -191,65 +190,51 @@ def _in_shard(h: np.ndarray, shard) -> np.ndarray:
     return (h & ~np.uint64(MAX_SHARDS - 1)) | shard
 
 
-class _Numbers(dict):
-    """Numbers of the words a task has met, their hashes; 0 is the end of a piece."""
-
-    def __init__(self):
-        super().__init__({_STOP: 0})
-        self.words, self.hashes = [_STOP], array("Q", [0])
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.words)
-        self.words.append(word)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return n
-
-
 @dataclass
 class _Chunk:
     """Tokens of some texts, one after the other, each text ending with the end of a piece."""
 
-    ids: np.ndarray
+    tokens: list[bytes]
     doc: np.ndarray  # by token: its text
     langs: list[str]  # by text
     shards: np.ndarray  # by text
-    numbers: _Numbers
 
     def __post_init__(self):
+        coded = pa.array(self.tokens, pa.binary()).dictionary_encode()
+        distinct, ids = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
         known = {x: _hash(x.encode()) for x in set(self.langs)}
         lang = np.array([known[x] for x in self.langs], np.uint64)
-        self.hashes = np.frombuffer(self.numbers.hashes, np.uint64)[self.ids]
+        self.is_word = ids != distinct.index(_STOP)
+        self.hashes = hashes[ids]
         self.one = _mix(lang[self.doc], self.hashes)
         self.shard = self.shards[self.doc]
 
     def longer(self, h: np.ndarray, n: int) -> np.ndarray:
         """Hashes of the phrases of n words from those of n - 1 that begin at the same tokens."""
-        return _mix(h[: len(self.ids) - n + 1], self.hashes[n - 1 :])
+        return _mix(h[: len(self.tokens) - n + 1], self.hashes[n - 1 :])
 
     def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join([self.numbers.words[i] for i in self.ids[at : at + n].tolist()])
+        return b" ".join(self.tokens[at : at + n])
 
 
 def _chunks(batches, chunk: int):
-    numbers = _Numbers()
     flat, lens, langs, shards = [], [], [], []
 
     def made():
         doc = np.repeat(np.arange(len(lens)), lens)
-        return _Chunk(np.array(flat, np.int64), doc, list(langs), np.array(shards, np.uint64), numbers)
+        return _Chunk(flat, doc, langs, np.array(shards, np.uint64))
 
     for lang, shard, text in _rows(batches):
         before = len(flat)
-        flat.extend(map(numbers.__getitem__, tokens(text)))
-        flat.append(0)
+        flat.extend(tokens(text))
+        flat.append(_STOP)
         lens.append(len(flat) - before)
         langs.append(lang)
         shards.append(shard)
         if len(flat) >= chunk:
             yield made()
             flat, lens, langs, shards = [], [], [], []
-            if len(numbers) >= _FLUSH:
-                numbers = _Numbers()
     if flat:
         yield made()
 
@@ -271,7 +256,7 @@ def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int
 
     def run(batches):
         for x in _chunks(batches, chunk):
-            ok = (x.ids != 0) & frequent.value.holds(x.one)
+            ok = x.is_word & frequent.value.holds(x.one)
             h = x.one
             for n in range(2, max(lengths) + 1):
                 h = x.longer(h, n)
@@ -295,7 +280,7 @@ def _global_counts(source: DataFrame, max_words: int, candidates, chunk: int) ->
 
     def run(batches):
         for x in _chunks(batches, chunk):
-            h, ok, words = x.one, None, x.ids != 0
+            h, ok, words = x.one, None, x.is_word
             for n in range(2, max_words + 1):
                 h = x.longer(h, n)
                 # All phrases within a candidate are candidates.
@@ -304,8 +289,11 @@ def _global_counts(source: DataFrame, max_words: int, candidates, chunk: int) ->
                 at = np.flatnonzero(ok)
                 if not len(at):
                     break
-                _, first, count = np.unique(h[at], return_index=True, return_counts=True)
-                at = at[first].tolist()
+                order = np.argsort(h[at])
+                run_ = h[at][order]
+                new = np.flatnonzero(np.append(True, run_[1:] != run_[:-1]))
+                count = np.diff(np.append(new, len(run_)))
+                at = at[order[new]].tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([x.langs[d] for d in x.doc[at].tolist()], pa.string()),

@@ -20,8 +20,8 @@ of its context; a part of about ``part_tokens`` tokens counts its sequences,
 tests its states level by level, scores its tokens and sends each text's sum
 back.  Nothing is looked up by token.
 
-* The word before the token chooses the part.  One with more tokens than a
-  quarter of a part is dealt on by the word before it; its own state, which then
+* The word before the token chooses the part.  One with more tokens than half
+  a part is dealt on by the word before it; its own state, which then
   lies in several parts, is counted first, by its distinct successors, and
   sent to them.  All longer contexts lie in one part each: a pair of words
   with a large share of all tokens is not split further.
@@ -56,7 +56,7 @@ PART_TOKENS = 1 << 20
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
 _LEAST = 1e-12
-# Distinct words a task counts or codes before it forgets them; tokens and texts handled together.
+# Distinct words a task counts before it hands them on; tokens and texts handled together.
 _FLUSH = 1 << 19
 _CHUNK = 1 << 20
 _TEXTS = 256
@@ -201,7 +201,7 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
         codes[order][by_code],
         by_code,
         c[order],
-        (m[order] // max(part_tokens // 4, 1) + 1).astype(np.uint64),
+        (m[order] // max(part_tokens // 2, 1) + 1).astype(np.uint64),
         sum(r.c for r in rows),
         sum(r.v for r in rows),
         max(1, -(-tokens // part_tokens)),
@@ -210,22 +210,15 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
     )
 
 
-class _Keys(dict):
-    """Numbers (of common words) or codes of the words a task has met; None stands before a text."""
-
-    def __init__(self, know: Shared):
-        super().__init__({None: _PAD})
-        self.know = know
-
-    def of(self, tokens: list) -> np.ndarray:
-        know = self.know
-        missing = list(set(tokens).difference(self))
-        x = np.fromiter((code(w, know.seed) for w in missing), np.int64, len(missing))
-        if len(know.codes):
-            at = np.minimum(np.searchsorted(know.codes, x), len(know.codes) - 1)
-            x = np.where(know.codes[at] == x, know.number[at], x)
-        self.update(zip(missing, x.tolist()))
-        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+def _keys(tokens: list, know: Shared) -> np.ndarray:
+    """Numbers (of common words) or codes of words; None stands before a text."""
+    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    x = np.fromiter((code(w, know.seed) for w in distinct), np.int64, len(distinct))
+    if len(know.codes):
+        at = np.minimum(np.searchsorted(know.codes, x), len(know.codes) - 1)
+        x = np.where(know.codes[at] == x, know.number[at], x)
+    return np.append(x, _PAD)[coded.indices.fill_null(len(x)).to_numpy()]
 
 
 @dataclass
@@ -244,12 +237,11 @@ class _Chunk:
 
 
 def _chunks(batches, know: Shared, chunk: int = _CHUNK):
-    keys = _Keys(know)
     depth = max(know.depth, 2)  # parts are chosen by two words
     ids, lens, flat = [], [], []
 
     def made():
-        arr = keys.of(flat)
+        arr = _keys(flat, know)
         n = np.array(lens, np.int64)
         at = np.arange(n.sum()) + np.repeat(np.arange(1, len(n) + 1) * depth, n)
         train = np.array([not held_out(i) for i in ids])
@@ -265,8 +257,6 @@ def _chunks(batches, know: Shared, chunk: int = _CHUNK):
         if len(flat) >= chunk:
             yield made()
             ids, lens, flat = [], [], []
-            if len(keys) >= _FLUSH:
-                keys = _Keys(know)
     if ids:
         yield made()
 
@@ -454,7 +444,7 @@ def _blocks(docs: DataFrame, know) -> DataFrame:
                     ],
                     [f.split()[0] for f in _BLOCKS.split(", ")],
                 )
-            row += len(x.ids)
+            row += len(x.ids)  # so chunks of the task differ in their first number
 
     return docs.mapInArrow(run, _BLOCKS)
 
@@ -499,71 +489,81 @@ def levels(
     return lp
 
 
-_SUMS = "row long, doc_id long, n_tokens long, known long, log double, full double"
+# What a part tells of the texts of one chunk: their places in it, known rare tokens, sums of log10.
+_SUMS = (
+    "first long, size long, texts binary, known binary, log binary, full binary, "
+    "ids array<long>, lens array<long>, hot_known array<long>, logs array<double>"
+)
+_RESULT = "doc_id long, n_tokens long, known long, log double, full double"
 
 
 def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) -> DataFrame:
-    """Each part's sums by text."""
+    """Each part's sums by text, packed by chunk."""
+    names = [x.split()[0] for x in _SUMS.split(", ")]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         k = know.value
         width = k.depth + 2
-        rows, number = [], []
-        for size, first, block in zip(*(left.column(x).to_pylist() for x in ("size", "first", "block"))):
-            x = _unpacked(block, size * width).reshape(width, size)
-            rows.append(x)
-            number.append((x[-1] >> 1) + first)
-        out = {x.split()[0]: [] for x in _SUMS.split(", ")}
-        for first, ids, lens, known, logs in zip(
-            *(left.column(x).to_pylist() for x in ("first", "ids", "lens", "known", "logs"))
-        ):
-            if ids is not None:
-                zero = [0.0] * len(ids)
-                for x, y in zip(out, (range(first, first + len(ids)), ids, lens, known, logs, zero)):
-                    out[x].extend(y)
-        if rows:
-            left = None
-            x, number = np.concatenate(rows, axis=1), np.concatenate(number)
-            rows.clear()
-            word, train = x[-2], (x[-1] & 1).astype(np.float64)
-            a, b, v, w, kept = (right.column(c).to_numpy() for c in ("a", "b", "v", "w", "kept"))
-            counts = a == _COUNT
-            order = np.argsort(b[counts])
-            codes, told_c = b[counts][order], v[counts][order]
-            # Rows of the dealt states, which count nothing and belong to no text.
-            pairs = ~counts & (b != _STATE)
-            extra = int(pairs.sum())
-            word = np.append(word, b[pairs])
-            c = np.zeros(len(word))
-            common = word < _RARE
-            c[common] = k.count[word[common]]
-            if len(codes):
-                at = np.minimum(np.searchsorted(codes, word[~common]), len(codes) - 1)
-                c[~common] = np.where(codes[at] == word[~common], told_c[at], 0)
-            before = [
-                np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)
-            ]
-            told = (np.arange(len(word) - extra, len(word)), *_dealt_values(a, b, v, w, kept)) if extra else None
-            lp = levels(before, word, np.append(train, np.zeros(extra)), k.root(c), min_divergence, told)
-            tokens = len(number)
-            texts, at = np.unique(number, return_inverse=True)
-            rare = ~common[:tokens]
-            sums = [
-                np.bincount(at, (c[:tokens] > 0) & rare, len(texts)).astype(np.int64),
-                np.bincount(at, np.where(rare, np.log10(c[:tokens] + 1), 0.0), len(texts)),
-                np.bincount(at, lp[:tokens], len(texts)),
-            ]
-            arrays = [pa.array(texts), pa.nulls(len(texts), pa.int64()), pa.array(np.zeros(len(texts), np.int64))]
-            arrays += [pa.array(s) for s in sums]
-        else:
-            arrays = [pa.array([], f) for f in (*[pa.int64()] * 4, *[pa.float64()] * 2)]
-        kinds = [f.type for f in arrays]
-        plain = [pa.array(out[n], t) for n, t in zip(out, kinds)]
-        return pa.table([pa.chunked_array([y, z]) for y, z in zip(plain, arrays)], list(out))
+        sizes, firsts = left.column("size").to_pylist(), left.column("first").to_numpy()
+        info = [left.column(x) for x in ("ids", "lens", "known", "logs")]
+        blocks = zip(sizes, left.column("block"))
+        x = np.concatenate([_unpacked(b.as_py(), n * width).reshape(width, n) for n, b in blocks], axis=1)
+        word, train = x[-2], (x[-1] & 1).astype(np.float64)
+        text = x[-1] >> 1
+        a, b, v, w, kept = (right.column(c).to_numpy() for c in ("a", "b", "v", "w", "kept"))
+        counts = a == _COUNT
+        order = np.argsort(b[counts])
+        codes, told_c = b[counts][order], v[counts][order]
+        # Rows of the dealt states, which count nothing and belong to no text.
+        pairs = ~counts & (b != _STATE)
+        extra = int(pairs.sum())
+        word = np.append(word, b[pairs])
+        c = np.zeros(len(word))
+        common = word < _RARE
+        c[common] = k.count[word[common]]
+        if len(codes):
+            at = np.minimum(np.searchsorted(codes, word[~common]), len(codes) - 1)
+            c[~common] = np.where(codes[at] == word[~common], told_c[at], 0)
+        before = [np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)]
+        x = None
+        told = (np.arange(len(word) - extra, len(word)), *_dealt_values(a, b, v, w, kept)) if extra else None
+        lp = levels(before, word, np.append(train, np.zeros(extra)), k.root(c), min_divergence, told)
+        packed = []
+        start = 0
+        for n in sizes:
+            own = slice(start, start + n)
+            start += n
+            texts, at = np.unique(text[own], return_inverse=True)
+            rare = ~common[own]
+            known = np.bincount(at, (c[own] > 0) & rare, len(texts)).astype(np.int64)
+            log = np.bincount(at, np.where(rare, np.log10(c[own] + 1), 0.0), len(texts))
+            full = np.bincount(at, lp[own], len(texts))
+            packed.append((len(texts), *(_packed(y.view(np.int64)) for y in (texts, known, log, full))))
+        columns = [pa.array(y, t) for y, t in zip(zip(*packed), (pa.int64(), *[pa.binary()] * 4))]
+        return pa.table([pa.array(firsts, pa.int64()), *columns, *info], names)
 
     return blocks.groupBy("p").cogroup(facts.groupBy("p")).applyInArrow(run, _SUMS)
 
 
+def _summed(sums: DataFrame) -> DataFrame:
+    """One row per text, from what all parts tell of its chunk."""
+
+    def run(parts: pa.Table) -> pa.Table:
+        told = next(r for r in parts.select(["ids", "lens", "hot_known", "logs"]).to_pylist() if r["ids"] is not None)
+        n = len(told["ids"])
+        known, log, full = np.array(told["hot_known"], np.int64), np.array(told["logs"]), np.zeros(n)
+        for size, *packed in zip(*(parts.column(x) for x in ("size", "texts", "known", "log", "full"))):
+            texts, k, g, f = (_unpacked(y.as_py(), size.as_py()) for y in packed)
+            known[texts] += k
+            log[texts] += g.view(np.float64)
+            full[texts] += f.view(np.float64)
+        arrays = [pa.array(told["ids"], pa.int64()), pa.array(told["lens"], pa.int64())]
+        arrays += [pa.array(y) for y in (known, log, full)]
+        return pa.table(arrays, [x.split()[0] for x in _RESULT.split(", ")])
+
+    return sums.groupBy("first").applyInArrow(run, _RESULT)
+
+
 def score(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -581,14 +581,12 @@ def score(
     known = shared(counts, seed, depth, hot_words, part_tokens)
     total, types = (known.total, known.types) if known else (0, 0)
     if known is None:
-        sums = docs.sparkSession.createDataFrame([], _SUMS)
+        rows = docs.sparkSession.createDataFrame([], _RESULT)
     else:
         know = docs.sparkSession.sparkContext.broadcast(known)
         asked = staged(_requests(docs, know), "lm-requests")
-        sums = _scored(_blocks(docs, know), _facts(asked, counts, known, min_divergence), know, min_divergence)
-    rows = sums.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), *(F.sum(x).alias(x) for x in ("n_tokens", "known", "log", "full"))
-    )
+        facts = _facts(asked, counts, known, min_divergence)
+        rows = _summed(_scored(_blocks(docs, know), facts, know, min_divergence))
     root = F.col("n_tokens") * F.log10(F.lit(float(total + types + 1)))
     return rows.select(
         "doc_id",
