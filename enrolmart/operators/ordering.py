@@ -9,9 +9,11 @@ This is the DataFrame form of counting per partition, then prefix-summing.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from enrolmart.session import checkpoint_root
 
@@ -53,6 +55,11 @@ def with_position(
     combined), one range shuffle with a local sort, one checkpoint write, and
     a broadcast of one offset row per range.  No single-task window over rows.
     """
+    return _numbered(_ranged(df, order, n_ranges), name)
+
+
+def _ranged(df: DataFrame, order: list[Column], n_ranges: int | None, inside=None) -> DataFrame:
+    """The rows in fixed, sorted ranges of ``order``, with ``_id``; ``inside`` works on each sorted range."""
     columns = df.columns
     # One struct as the key: dozens of keys overflow the size of a generated method.
     copies = (
@@ -62,34 +69,61 @@ def with_position(
         .select("_row.*", "_copy")
     )
     key = [*order, F.xxhash64(*[F.col(c) for c in columns]), F.col("_copy")]
-    ranged = _fix_ranges(
-        _by_range(copies, n_ranges, key)
-        .sortWithinPartitions(*key)
-        .drop("_copy")
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
+    rows = _by_range(copies, n_ranges, key).sortWithinPartitions(*key).drop("_copy")
+    if inside is not None:
+        rows = inside(rows)
+    return _fix_ranges(rows.withColumn("_id", F.monotonically_increasing_id()))
+
+
+def _numbered(ranged: DataFrame, name: str, carried: str | None = None, into: str | None = None) -> DataFrame:
+    """Positions of ranged rows; ``into`` of a range's first row becomes ``carried`` of the row before it."""
     rng = F.shiftright("_id", _LOCAL_BITS)
     local = F.col("_id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    by_range = Window.orderBy("_rng")
+    ends = [F.count(F.lit(1)).alias("_cnt")]
+    if carried:
+        ends.append(F.max_by(F.struct(F.col(carried).alias("v")), "_id").alias("_last"))
     # One row per range: bounded by the number of ranges, safe to broadcast.
-    offsets = (
-        ranged.groupBy(rng.alias("_rng"))
-        .agg(F.count(F.lit(1)).alias("_cnt"))
-        .withColumn(
-            "_off",
-            F.coalesce(
-                F.sum("_cnt").over(
-                    Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .select("_rng", "_off")
+    offsets = ranged.groupBy(rng.alias("_rng")).agg(*ends)
+    offsets = offsets.select(
+        "_rng",
+        F.coalesce(
+            F.sum("_cnt").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_off"),
+        *([F.lag("_last").over(by_range).getField("v").alias("_halo")] if carried else []),
     )
     out = ranged.withColumn("_rng", rng).join(F.broadcast(offsets), "_rng")
     out = out.withColumn(name, (local + F.col("_off") + F.lit(1)).cast("bigint"))
+    if carried:
+        out = out.withColumn(into, F.when(local == 0, F.col("_halo")).otherwise(F.col(into))).drop("_halo")
     return out.drop("_rng", "_off", "_id")
 
 
+def with_previous(
+    df: DataFrame, order: list[Column], value: str, into: str, name: str = "pos", n_ranges: int | None = None
+) -> DataFrame:
+    """``with_position``, and in ``into`` the ``value`` of the row before in that order (NULL for the first).
+
+    Each sorted range shifts its own values on the way to the checkpoint; the
+    last value of a range goes to the first row of the next with the
+    ranges' offsets.  No join of the rows with themselves.
+    """
+    out = T.StructType([*df.schema.fields, T.StructField(into, df.schema[value].dataType, True)])
+    at = df.columns.index(value)
+
+    def shifted(batches):
+        last = None
+        for b in batches:
+            if b.num_rows:
+                own = b.column(at)
+                moved = pa.concat_arrays([pa.array([last], own.type), own.slice(0, b.num_rows - 1)])
+                last = own[b.num_rows - 1].as_py()
+                yield pa.RecordBatch.from_arrays([*b.columns, moved], [*b.schema.names, into])
+
+    ranged = _ranged(df, order, n_ranges, lambda rows: rows.mapInArrow(shifted, out))
+    return _numbered(ranged, name, value, into)
+
+
 def _running_counts(batches):
     """Per (key, value, count) row of a sorted range: the key's running count, and the range."""
     rng, last, total = TaskContext.get().partitionId(), None, 0

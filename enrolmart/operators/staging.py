@@ -33,7 +33,7 @@ def typed_raw(landed: DataFrame) -> DataFrame:
 # A year that is present but not an integer stops the job, whatever the
 # session's ANSI setting (a plain cast raises in the warehouse); a missing
 # year stays NULL and is reported by the not-null check.
-_STRICT_YEAR = (
+STRICT_YEAR = (
     "coalesce(try_cast(year AS INT), "
     "CASE WHEN year IS NOT NULL THEN raise_error(concat('invalid year: ', year)) END)"
 )
@@ -44,7 +44,7 @@ def stg(raw: DataFrame) -> DataFrame:
     cols = []
     for src, dst in STG_RENAMES:
         if src == "year":
-            cols.append(F.expr(_STRICT_YEAR).alias(dst))
+            cols.append(F.expr(STRICT_YEAR).alias(dst))
         else:
             cols.append(F.col(src).alias(dst))
     return raw.select(*cols)

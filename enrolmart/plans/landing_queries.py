@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from enrolmart.operators import quality
+from enrolmart.operators import quality, sketches
+from enrolmart.operators.marts import national
 from enrolmart.operators.staging import typed_raw
 from enrolmart.plans.io_queries import EARLIER, GAP_PAGE, LATEST, PAGE_SIZE, _PAGES, _table_name
 from enrolmart.plans.oracle import with_chain
 from enrolmart.plans.registry import MIN_RAW_ROWS, register
 from enrolmart.plans.relations import release
 from enrolmart.schemas import BY_STATE, DIMENSIONS, MEASURES, RAW
-from enrolmart.session import scratch_dir
-from enrolmart.sources import layouts, pages, readers, snapshots, writers
+from enrolmart.session import scratch_dir, scratch_family
+from enrolmart.sources import catalog, layouts, pages, readers, snapshots, writers
 
 BUCKETS = 8
 # What the broken inputs below leave of a record.
@@ -271,3 +272,45 @@ def q_year_slice_stored(spark, sf_dir):
     path = scratch_dir(spark, "years")
     layouts.write_years(release(spark, sf_dir).raw, path)
     return layouts.latest_year(spark, path).select(*[f.name for f in RAW.fields])
+
+
+# --- stored sketches, catalog views ------------------------------------------
+
+_SKETCHED = ("bene_state_abrvtn", "bene_county_desc", "month", "tot_benes", "aged_tot_benes")
+
+
+@register(
+    "distinct_sketches",
+    with_chain(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS within_bound FROM typed" for c in _SKETCHED
+        )
+    ),
+)
+def q_distinct_sketches(spark, sf_dir):
+    """Distinct counts of two stored releases from their merged sketches, beside the exact ones."""
+    root, raw = scratch_dir(spark, "sketched"), release(spark, sf_dir).raw
+    parts = {EARLIER: raw.where("month = 'Year'"), LATEST: raw.where("month <> 'Year' OR month IS NULL")}
+    for label, rows in parts.items():
+        snapshots.publish(rows, root, label)
+        sketches.write_sketches(snapshots.read(spark, root, label), root, label, list(_SKETCHED))
+    estimates = sketches.distinct_estimates(spark, root, list(parts))
+    both = snapshots.read(spark, root, EARLIER).unionByName(snapshots.read(spark, root, LATEST))
+    exact = both.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).unpivot([], list(_SKETCHED), "column_name", "exact")
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    return exact.join(estimates, "column_name").select(
+        "column_name", "exact", (off <= F.col("exact") * sketches.error_bound() + 1).alias("within_bound")
+    )
+
+
+@register("catalog_view_national", with_chain("SELECT * FROM national"))
+def q_catalog_view_national(spark, sf_dir):
+    """The national mart over a staging view that the catalog keeps."""
+    raw = release(spark, sf_dir).raw
+    names = catalog.create_views(spark, raw, _view_name(), scratch_dir(spark, "table"))
+    return national(spark.table(names["stg"]))
+
+
+def _view_name() -> str:
+    """A name whose views and table ``clear_scratch`` drops."""
+    return scratch_family("catalog", {"raw": "table", "stg": "view", "monthly": "view", "annual": "view"})

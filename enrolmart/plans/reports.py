@@ -8,7 +8,7 @@ partition by date.  Orderings over unreduced data use ``with_position``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrolmart.functions.expr import (
@@ -19,7 +19,7 @@ from enrolmart.functions.expr import (
     signed_thousands_label,
     whole_millions_label,
 )
-from enrolmart.operators.ordering import with_position
+from enrolmart.operators.ordering import with_position, with_previous
 from enrolmart.schemas import ANNUAL_MONTH, PROGRAM_SERIES, RACE_SERIES
 
 
@@ -234,13 +234,14 @@ def stack_race(raw: DataFrame) -> DataFrame:
     return _stack(national_by_desc(raw), list(RACE_SERIES))
 
 
-def total_enrollment(raw: DataFrame) -> DataFrame:
-    """Monthly rows of every level with a date, in text order of (year, month).
+def _text_order() -> list[Column]:
+    names = ("year", "month", "bene_geo_lvl", "bene_state_abrvtn", "bene_county_desc")
+    return [F.col(c).asc_nulls_last() for c in names]
 
-    Ties within (year, month) are broken by the raw key so the position is
-    deterministic; the position is computed without a single-task window.
-    """
-    rows = raw.where(F.col("month") != ANNUAL_MONTH).select(
+
+def _monthly(raw: DataFrame) -> DataFrame:
+    """The monthly rows of all levels with their report date."""
+    return raw.where(F.col("month") != ANNUAL_MONTH).select(
         "year",
         "month",
         "bene_geo_lvl",
@@ -249,8 +250,15 @@ def total_enrollment(raw: DataFrame) -> DataFrame:
         "tot_benes",
         report_date("year", "month").alias("report_date"),
     )
-    order = [F.col(c).asc_nulls_last() for c in ("year", "month", "bene_geo_lvl", "bene_state_abrvtn", "bene_county_desc")]
-    return with_position(rows, order)
+
+
+def total_enrollment(raw: DataFrame) -> DataFrame:
+    """Monthly rows of every level with a date, in text order of (year, month).
+
+    Ties within (year, month) are broken by the raw key so the position is
+    deterministic; the position is computed without a single-task window.
+    """
+    return with_position(_monthly(raw), _text_order())
 
 
 def monthly_change(national: DataFrame) -> DataFrame:
@@ -311,13 +319,13 @@ def monthly_change_text_order(raw: DataFrame) -> DataFrame:
 def monthly_change_text_order_all(raw: DataFrame) -> DataFrame:
     """The literal form over all levels: each row against the row before it in text order.
 
-    Rows are numbered in (year, month) text order, ties by the raw key; the
-    row before is joined by its number, so no task orders all rows.
+    Rows are numbered in (year, month) text order, ties by the raw key; each
+    range of that order hands its last value to the next one, so no task orders
+    all rows and no row is joined.
     """
-    rows = total_enrollment(raw).drop("report_date")
-    before = rows.select((F.col("pos") + 1).alias("_pos"), F.col("tot_benes").alias("_before"))
-    return rows.join(before, F.col("pos") == F.col("_pos"), "left").select(
-        *rows.columns,
+    rows = with_previous(_monthly(raw), _text_order(), "tot_benes", "_before").drop("report_date")
+    return rows.select(
+        *[c for c in rows.columns if c != "_before"],
         F.coalesce(F.col("tot_benes") - F.col("_before"), F.col("tot_benes")).alias("monthly_new_benes"),
     )
 

@@ -101,6 +101,13 @@ def scratch_name(kind: str, label: str) -> str:
     return name
 
 
+def scratch_family(label: str, kinds: dict[str, str]) -> str:
+    """A unique prefix of tables and views ``<prefix>_<suffix>`` (dropped by ``clear_scratch``)."""
+    name = f"enrolmart_{label}_{uuid.uuid4().hex[:10]}"
+    _TABLES.extend((kind, f"{name}_{suffix}") for suffix, kind in kinds.items())
+    return name
+
+
 def note_views(names) -> None:
     """Temporary views for ``clear_scratch`` to drop."""
     _TABLES.extend(("view", n) for n in names)

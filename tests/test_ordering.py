@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from enrolmart.operators.ordering import exact_quantiles, with_position
+from enrolmart.operators.ordering import exact_quantiles, with_position, with_previous
 
 
 def test_with_position_matches_sort(spark):
@@ -68,3 +68,22 @@ def test_range_count_follows_the_setting(spark):
             assert len([p for p in out.rdd.glom().collect() if p]) == n
     finally:
         spark.conf.set(key, before)
+
+
+def test_with_previous_carries_over_the_ranges(spark):
+    rows = [(i % 7, f"k{(i * 37) % 101:03d}", None if i % 11 == 0 else i) for i in range(500)] + [(1, "same", 5)] * 40
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    order = [F.col("a").asc(), F.col("b").desc(), F.col("c").asc_nulls_last()]
+    for n in (1, 6, 40):
+        out = sorted(with_previous(df, order, "c", "before", n_ranges=n).collect(), key=lambda r: r.pos)
+        assert [r.pos for r in out] == list(range(1, 541))
+        assert sorted(map(repr, [(r.a, r.b, r.c) for r in out])) == sorted(map(repr, rows))
+        assert [r.before for r in out] == [None, *[r.c for r in out[:-1]]]
+    assert with_previous(df.limit(0), order, "c", "before").collect() == []
+
+
+def test_with_previous_joins_no_rows(spark):
+    df = spark.range(100).select("id", (F.col("id") * 3).alias("v"))
+    out = with_previous(df, [F.col("id")], "v", "before", n_ranges=4)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in p and p.count("BroadcastHashJoin") == 1
