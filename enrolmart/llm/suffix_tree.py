@@ -26,8 +26,11 @@ back.  Nothing is looked up by token.
   sent to them.  All longer contexts lie in one part each: a pair of words
   with a large share of all tokens is not split further.
 * At most ``hot_words`` words (all those from a power of two of occurrences
-  on) are broadcast with their counts and stand as numbers; each part asks for
-  the counts of its other words, which are joined by word code.
+  on) are broadcast with their counts and stand as numbers.  A Bloom filter of
+  at most ``FILTER_BITS`` holds the other words that occur more than once: one
+  that is not in it occurs here alone and needs no asking.  Each part asks for
+  the counts of the rest (and of what the filter takes for them), which are
+  joined by word code.
 * Word codes have 62 bits.  Those of all words of all texts are checked to
   differ; if two do not, the next seed is drawn.
 
@@ -49,9 +52,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from enrolmart.llm.collocations import Bloom, bloom
 from enrolmart.llm.common import id_text, staged
 
 HOT_WORDS = 1 << 20
+FILTER_BITS = 1 << 27
 PART_TOKENS = 1 << 20
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
@@ -153,6 +158,13 @@ class Shared:
     parts: int
     depth: int
     seed: int
+    again: Bloom  # codes of the other words that occur more than once
+
+    def asked(self, word: np.ndarray) -> np.ndarray:
+        """Which words' counts a part must be told."""
+        out = word >= _RARE
+        out[out] = self.again.holds(word[out].view(np.uint64))
+        return out
 
     def part(self, before: np.ndarray, further: np.ndarray) -> np.ndarray:
         """Parts of tokens by the word before and the one before that."""
@@ -197,6 +209,9 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
     order = np.lexsort((codes, -m))
     by_code = np.argsort(codes[order])
     tokens = sum(r.m for r in rows)
+    others = counts.where((F.col("m") > 1) & (F.col("m") < 2.0**least)).select("code")
+    several = sum(r.k for r in rows if r.e >= 1 and r.e < least)
+    again = bloom(others, lambda b: b.column("code").to_numpy(zero_copy_only=False).view(np.uint64), several, FILTER_BITS)
     return Shared(
         codes[order][by_code],
         by_code,
@@ -207,6 +222,7 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
         max(1, -(-tokens // part_tokens)),
         depth,
         seed,
+        again,
     )
 
 
@@ -301,7 +317,7 @@ def _requests(docs: DataFrame, know) -> DataFrame:
         k = know.value
         for x in _chunks(batches, k):
             p = k.part(x.before[0], x.before[1])
-            rare = x.word >= _RARE
+            rare = k.asked(x.word)
             dealt = (k.dealt(x.before[0]) > 1) if k.depth else np.zeros(len(p), bool)
             train = x.train[x.doc].astype(np.int64)
             a = np.concatenate([np.full(rare.sum(), _COUNT, np.int64), x.before[0][dealt]])
@@ -313,12 +329,15 @@ def _requests(docs: DataFrame, know) -> DataFrame:
             first, number = _distinct(q, a, b)
             b = b[first]
             common = b < _RARE
-            c = np.zeros(len(b), np.int64)
+            n = np.bincount(number, n, len(first)).astype(np.int64)
+            # A word that occurs once: its count is that of its only pair.
+            once = ~common & ~k.asked(b)
+            c = np.where(once, n, 0)
             c[common] = k.count[b[common]]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(q[first]), pa.array(a[first]), pa.array(b),
-                    pa.array(np.bincount(number, n, len(first)).astype(np.int64)), pa.array(c, mask=~common),
+                    pa.array(n), pa.array(c, mask=~common & ~once),
                 ],
                 ["p", "a", "b", "n", "c"],
             )
@@ -521,9 +540,13 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
         c = np.zeros(len(word))
         common = word < _RARE
         c[common] = k.count[word[common]]
-        if len(codes):
-            at = np.minimum(np.searchsorted(codes, word[~common]), len(codes) - 1)
-            c[~common] = np.where(codes[at] == word[~common], told_c[at], 0)
+        # A word that nobody asked for occurs once: here, in a training text or not.
+        once = ~common & ~k.asked(word)
+        c[: len(train)][once[: len(train)]] = train[once[: len(train)]]
+        rest = ~common & ~once
+        if len(codes) and rest.any():
+            at = np.minimum(np.searchsorted(codes, word[rest]), len(codes) - 1)
+            c[rest] = np.where(codes[at] == word[rest], told_c[at], 0)
         before = [np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)]
         x = None
         told = (np.arange(len(word) - extra, len(word)), *_dealt_values(a, b, v, w, kept)) if extra else None
