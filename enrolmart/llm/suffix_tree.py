@@ -63,7 +63,7 @@ DISCOUNT = 0.5
 _LEAST = 1e-12
 # Distinct words a task counts before it hands them on; tokens and texts handled together.
 _FLUSH = 1 << 19
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _TEXTS = 256
 # What stands before the first end token of a text; numbers and codes of words are not negative.
 _PAD = -1
