@@ -188,31 +188,32 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
     regex = F.lit(rule.regex)
 
     def placed(v):
-        """Running sums of the gaps between matches and the matches give the places."""
-        folded = F.aggregate(
-            F.sequence(F.lit(0), F.size(v["m"]) - 1),
-            F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts")),
-            lambda acc, i: F.struct(
-                (
-                    acc["at"] + F.length(F.get(v["gaps"], i)) + F.length(F.get(v["m"], i))
-                ).cast("long").alias("at"),
-                F.array_append(
-                    acc["starts"], (acc["at"] + F.length(F.get(v["gaps"], i))).cast("long")
-                ).alias("starts"),
+        """The places are running sums over gaps and matches, by doubling steps: every step
+        adds to each sum the one as many matches before it, so n matches take log n passes."""
+        n = F.size(v["m"])
+        sizes = F.transform(
+            v["m"], lambda m, i: (F.length(F.get(v["gaps"], i)) + F.length(m)).cast("long")
+        )
+        steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda step: step < n)
+        ends = F.aggregate(
+            steps,
+            sizes,
+            lambda sums, step: F.transform(
+                sums,
+                lambda x, i: x + F.when(i >= step, F.get(sums, i - step)).otherwise(F.lit(0)),
             ),
-            lambda acc: acc["starts"],
         )
         return let(
-            folded,
-            lambda starts: F.filter(
+            ends,
+            lambda ends: F.filter(
                 F.transform(
                     v["m"],
                     lambda m, i: F.when(
-                        F.length(F.get(v["g"], i)) >= rule.least,
+                        F.length(F.get(v["g"], i) if rule.group else m) >= rule.least,
                         F.struct(
-                            F.get(starts, i).alias("start"),
+                            (F.get(ends, i) - F.length(m)).cast("long").alias("start"),
                             F.lit(number).alias("kind_no"),
-                            (F.get(starts, i) + F.length(m)).cast("long").alias("end"),
+                            F.get(ends, i).alias("end"),
                         ),
                     ),
                 ),
@@ -220,11 +221,13 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
             ),
         )
 
-    found = F.struct(
+    parts = [
         F.regexp_extract_all(text, regex, F.lit(0)).alias("m"),
-        F.regexp_extract_all(text, regex, F.lit(rule.group)).alias("g"),
         F.split(text, rule.regex, -1).alias("gaps"),
-    )
+    ]
+    if rule.group:
+        parts.append(F.regexp_extract_all(text, regex, F.lit(rule.group)).alias("g"))
+    found = F.struct(*parts)
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")
     return F.when(F.rlike(text, regex), let(found, placed)).otherwise(none)
 

@@ -85,3 +85,10 @@ def test_every_match_satisfies_its_query():
                 folded = m.group().lower()
                 grams = {folded[i : i + 3] for i in range(len(folded) - 2)}
                 assert any(c <= grams for c in S.trigram_query(rule.regex))
+
+
+def test_many_matches_in_one_text(frame):
+    """The work grows with the matches, not with their square."""
+    text = " ".join(f"{k:020x}" for k in range(60_000))
+    got = check(frame([(1, text)], "doc_id long, text string", 1))
+    assert [len(spans) for _, _, spans in got] == [60_000]
