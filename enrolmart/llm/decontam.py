@@ -60,15 +60,17 @@ class Matcher:
             size = min(window, len(ids))
             for i in range(len(ids) - size + 1 if size else 0):
                 owners[size][tuple(ids[i : i + size])].add(place[name])
+        windows_of = {size: np.array(list(of), np.int64) for size, of in owners.items()}
         rng = np.random.default_rng(0)
-        self.value = rng.integers(1, 1 << 63, len(self.vocabulary) + 1, np.uint64)
+        while True:  # new values for the words until no two windows share a hash
+            self.value = self._values(rng, len(self.vocabulary) + 1)
+            hashes_of = {n: self._hash(self.value[w.T]) for n, w in windows_of.items()}
+            if all(len(np.unique(h)) == len(h) for h in hashes_of.values()):
+                break
         self.sizes = []  # (size, sorted hashes, windows, owners' offsets, owners)
         for size, of in owners.items():
-            windows = np.array(list(of), np.int64)
-            hashes = self._hash(self.value[windows.T])
+            windows, hashes = windows_of[size], hashes_of[size]
             order = np.argsort(hashes)
-            if len(np.unique(hashes)) < len(hashes):
-                raise ValueError("two benchmark windows share a hash: use another factor")
             own = [sorted(x) for x in of.values()]
             own = [own[i] for i in order]
             self.sizes.append(
@@ -81,6 +83,10 @@ class Matcher:
                 )
             )
 
+    @staticmethod
+    def _values(rng, n: int) -> np.ndarray:
+        return rng.integers(1, 1 << 63, n, np.uint64)
+
     @staticmethod
     def _hash(columns) -> np.ndarray:
         total = np.zeros_like(columns[0])

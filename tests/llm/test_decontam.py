@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from enrolmart.llm import decontam as D
@@ -96,3 +97,19 @@ def test_remove(docs, bench):
     assert {r.doc_id for r in whole.collect()} == {d for d, _ in DOCS} - bad
     cut = {r.doc_id: r.text for r in D.remove(docs, bench, mode="spans").collect()}
     assert cut[1] == "intro  outro" and cut[3] == DOCS[2][1] and cut[2] == DOCS[1][1]
+
+
+def test_windows_that_share_a_hash(monkeypatch):
+    """New values are drawn until no two windows do."""
+    draw, calls = D.Matcher._values, []
+
+    def values(rng, n):
+        calls.append(n)
+        return np.ones(n, np.uint64) if len(calls) < 3 else draw(rng, n)
+
+    monkeypatch.setattr(D.Matcher, "_values", staticmethod(values))
+    m = D.Matcher([("a", [b"x", b"y"]), ("b", [b"y", b"x"])], 2)
+    assert len(calls) == 3
+    assert [(n, list(hit), [m.names[k] for k in items]) for n, hit, items in m.match([b"q x y"])] == [
+        (3, [False, True, True], ["a"])
+    ]
