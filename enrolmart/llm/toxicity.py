@@ -2,7 +2,8 @@
 
 Features are the words of a text (letters and digits, case folded) and the
 proper prefixes of a few lengths (stems that endings follow), each present
-or not.  A bounded sample of the
+or not.  A run of more than ``LONG`` letters, as scripts without spaces have
+them, also counts by each three characters in a row.  A bounded sample of the
 labelled training texts (``max_sample``, smallest id hashes first) selects
 the features whose presence depends on the label (log-likelihood
 ratio), and always
@@ -15,6 +16,11 @@ swapped for another one of its group, and z is the score before the logistic
 function.  The last term punishes a score that changes with the group named,
 so neutral mentions don't count as toxic.
 
+The groups are the fixed ones and those found in the sampled texts: words
+that stand in for each other (their most frequent pair of neighbours is the
+same), that are mostly used in texts which are not toxic, and whose label
+rates differ all the same (``stand_ins``).
+
 Only the text enters a score.  Scoring passes over every whole text once,
 looking up distinct words, and needs no shuffle.
 
@@ -27,13 +33,14 @@ the share of toxic labels (0 if there are none).
 
 from __future__ import annotations
 
+import hashlib
 import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrolmart.llm.common import col, map_rows, staged
@@ -66,16 +73,28 @@ IDENTITY_GROUPS = (
 )
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
-_LONGEST = 64
+# Letters in a row beyond which a word's name is a digest and its parts count as well.
+LONG = 64
 _TEXTS = 512
+# Groups found in the texts: uses that a word and its frame need, words a group, groups.
+MIN_USES = 30
+MIN_FRAMED = 5
+GROUP_WORDS = 8
+MAX_GROUPS = 64
+# The chi-square bound (one degree of freedom, 5 %) from which label rates differ.
+RATES_DIFFER = 3.84
 
 
 def words(text: str) -> list[str]:
-    return [w[:_LONGEST] for w in _WORD.findall(text.lower())]
+    return _WORD.findall(text.lower())
 
 
 def features(word: str, prefixes=PREFIXES) -> list[str]:
-    return ["=" + word] + ["^" + word[:n] for n in prefixes if len(word) > n]
+    starts = ["^" + word[:n] for n in prefixes if len(word) > n]
+    if len(word) <= LONG:
+        return ["=" + word, *starts]
+    whole = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    return ["#" + whole, *starts, *{"~" + word[i : i + 3] for i in range(len(word) - 2)}]
 
 
 def _features_of(ws, prefixes) -> set[str]:
@@ -131,6 +150,74 @@ def sample(docs: DataFrame, labels: DataFrame, max_sample: int, id_col: str, tex
     return found.groupBy("i").agg(F.max("y").alias("y"), first.alias("text")).select("y", "text")
 
 
+def stand_ins(
+    found: DataFrame,
+    known=IDENTITY_GROUPS,
+    min_uses: int = MIN_USES,
+    min_framed: int = MIN_FRAMED,
+    max_groups: int = MAX_GROUPS,
+) -> tuple[tuple[str, ...], ...]:
+    """Groups of words of the (y, text) sample that stand in for each other.
+
+    A word's frame is its most frequent pair of neighbours in a sentence, which at least
+    min_framed texts hold.  Words of one frame are a group.  Words of fewer than min_uses
+    uses, or with at least half of them in toxic texts (what insults are), are no members;
+    groups in which no two label rates differ are left out.  Ties go to the smaller word.
+    """
+
+    def run(batches):
+        for b in batches:
+            for y, text in zip(*(c.to_pylist() for c in b.columns)):
+                seen = set()
+                for s in _SENTENCE.split(text):
+                    ws = ["", *words(s), ""]
+                    seen.update((a, w, z) for a, w, z in zip(ws, ws[1:], ws[2:]) if len(w) <= LONG)
+                cols = list(zip(*sorted(seen))) or [(), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.string()) for c in cols), pa.array([y] * len(seen), pa.int32())],
+                    ["before", "w", "after", "y"],
+                )
+
+    framed = (
+        found.mapInArrow(run, "before string, w string, after string, y int")
+        .groupBy("before", "w", "after")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t"))
+    )
+    best = F.struct("n", "before", "after")
+    named = sorted({w for g in known for w in g})
+    members = (
+        framed.groupBy("w")
+        .agg(F.sum("n").alias("uses"), F.sum("t").alias("toxic"), F.max(best).alias("frame"))
+        .where((F.col("uses") >= min_uses) & (F.col("frame.n") >= min_framed))
+        .where(2 * F.col("toxic") < F.col("uses"))
+        .where(~F.col("w").isin(named))
+    )
+    # The most used words of a frame: a bounded group, whatever the frame's number of words.
+    order = Window.partitionBy("frame.before", "frame.after").orderBy(F.desc("uses"), "w")
+    rows = (
+        members.withColumn("k", F.row_number().over(order))
+        .where(F.col("k") <= GROUP_WORDS)
+        .groupBy("frame.before", "frame.after")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("w", "uses", "toxic"))).alias("g"),
+            F.sum("uses").alias("all"),
+        )
+        .where(F.size("g") > 1)
+        .collect()  # fewer rows than the bounded sample has frequent words
+    )
+
+    def differ(g) -> bool:
+        low = min(g, key=lambda r: r["toxic"] / r["uses"])
+        high = max(g, key=lambda r: r["toxic"] / r["uses"])
+        n, t = low["uses"] + high["uses"], low["toxic"] + high["toxic"]
+        gap = high["toxic"] / high["uses"] - low["toxic"] / low["uses"]
+        spread = t / n * (1 - t / n) * (1 / low["uses"] + 1 / high["uses"])
+        return spread > 0 and gap * gap / spread >= RATES_DIFFER
+
+    groups = sorted((-r["all"], tuple(m["w"] for m in r["g"])) for r in rows if differ(r["g"]))
+    return tuple(g for _, g in groups[:max_groups])
+
+
 def _select(found: DataFrame, groups, max_features: int, min_g2: float, prefixes) -> list[str]:
     """Features that depend on the label; the identity terms among all features come first."""
 
@@ -172,18 +259,59 @@ def _select(found: DataFrame, groups, max_features: int, min_g2: float, prefixes
     return [r["f"] for r in rows]
 
 
-def fit(
+class Problem:
+    """The sum to minimise over the weights and, last, the bias.
+
+    ``own`` holds each text's features, ``pairs`` the features that a text has and its
+    counterfactual has not, and the other way round.
+    """
+
+    def __init__(self, y, own, pairs, size: int, l2: float, fairness: float):
+        self.y, self.size, self.l2, self.fairness = y, size, l2, fairness
+        self.doc = np.repeat(np.arange(len(y)), [len(s) for s in own])
+        self.feature = np.fromiter(chain.from_iterable(own), np.int64, len(self.doc))
+        self.pairs = len(pairs)
+        lens = [len(side) for p in pairs for side in p]
+        self.pair = np.repeat(np.repeat(np.arange(len(pairs)), 2), lens).astype(np.int64)
+        self.sign = np.repeat(np.tile([1.0, -1.0], len(pairs)), lens)
+        self.changed = np.fromiter(
+            chain.from_iterable(side for p in pairs for side in p), np.int64, sum(lens)
+        )
+
+    def __call__(self, at: np.ndarray) -> tuple[float, np.ndarray]:
+        """The value and its gradient."""
+        w, bias, n, k = at[:-1], at[-1], len(self.y), self.size
+        z = np.bincount(self.doc, w[self.feature], n) + bias
+        p = 1 / (1 + np.exp(-z))
+        value = (np.logaddexp(0, z) - self.y * z).mean() + self.l2 / 2 * (w @ w)
+        g = np.append(
+            np.bincount(self.feature, (p - self.y)[self.doc], k) / n + self.l2 * w,
+            (p - self.y).mean(),
+        )
+        if self.pairs:
+            gap = np.bincount(self.pair, self.sign * w[self.changed], self.pairs)
+            value += self.fairness * (gap @ gap) / self.pairs
+            moved = np.bincount(self.changed, self.sign * gap[self.pair], k)
+            g[:k] += self.fairness * 2 / self.pairs * moved
+        return value, g
+
+
+def problem(
     found: DataFrame,
-    groups=IDENTITY_GROUPS,
+    groups=None,
     fairness: float = FAIRNESS,
     l2: float = L2,
     max_features: int = MAX_FEATURES,
     min_g2: float = MIN_G2,
     prefixes: tuple[int, ...] = PREFIXES,
-    steps: int = 600,
-) -> tuple[dict[str, float], float]:
-    """Weights by feature and the bias, from the (y, text) of ``sample``."""
+) -> tuple[list[str], Problem]:
+    """The selected features and the problem in them, from the (y, text) of ``sample``.
+
+    ``groups`` are the groups to swap within; if None, the fixed ones and ``stand_ins``.
+    """
     found = staged(found, "toxicity-sample")
+    if groups is None:
+        groups = IDENTITY_GROUPS + stand_ins(found)
     names = _select(found, groups, max_features, min_g2, prefixes)
     place = {f: i for i, f in enumerate(names)}
 
@@ -191,41 +319,39 @@ def fit(
         for b in batches:
             for y, text in zip(*(c.to_pylist() for c in b.columns)):
                 own, others = examples(text, groups, prefixes)
-                sets = [sorted(place[f] for f in s if f in place) for s in (own, *others)]
+                own = {place[f] for f in own if f in place}
+                others = [{place[f] for f in o if f in place} for o in others]
+                pairs = [[sorted(own - o), sorted(o - own)] for o in others if o != own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([y], pa.int32()), pa.array([sets], pa.list_(pa.list_(pa.int32())))],
-                    ["y", "sets"],
+                    [
+                        pa.array([y], pa.int32()),
+                        pa.array([sorted(own)], pa.list_(pa.int32())),
+                        pa.array([pairs], pa.list_(pa.list_(pa.list_(pa.int32())))),
+                    ],
+                    ["y", "own", "pairs"],
                 )
 
-    # One row per sampled text, with its few selected features.
-    rows = found.mapInArrow(run, "y int, sets array<array<int>>").toArrow()
+    # One row per sampled text, with its few selected features and what swaps change of them.
+    rows = found.mapInArrow(run, "y int, own array<int>, pairs array<array<array<int>>>").toArrow()
     y = rows.column("y").to_numpy().astype(float)
-    sets = rows.column("sets").to_pylist()
+    pairs = list(chain.from_iterable(rows.column("pairs").to_pylist()))
+    return names, Problem(y, rows.column("own").to_pylist(), pairs, len(names), l2, fairness)
+
+
+def fit(found: DataFrame, steps: int = 600, **options) -> tuple[dict[str, float], float]:
+    """Weights by feature and the bias, from the (y, text) of ``sample``."""
+    names, target = problem(found, **options)
+    y = target.y
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return {}, np.log((share + 1e-9) / (1 - share + 1e-9))
-    doc = np.repeat(np.arange(len(y)), [len(s[0]) for s in sets])
-    feature = np.fromiter(chain.from_iterable(s[0] for s in sets), np.int64, len(doc))
-    pairs = [(s[0], other) for s in sets for other in s[1:]]
-    # Rows of x - x' in coordinates: pair, feature, sign.
-    at = [(p, f, 1.0) for p, (a, b) in enumerate(pairs) for f in set(a).difference(b)]
-    at += [(p, f, -1.0) for p, (a, b) in enumerate(pairs) for f in set(b).difference(a)]
-    pair, changed, sign = (np.array(c, t) for c, t in zip(zip(*at), (int, int, float))) if at else (
-        np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    )
-    n, k = len(y), len(names)
-    w, bias = np.zeros(k), float(np.log(y.mean() / (1 - y.mean())))
-    m, v = np.zeros(k + 1), np.zeros(k + 1)
+    at = np.append(np.zeros(len(names)), np.log(y.mean() / (1 - y.mean())))
+    m, v = np.zeros(len(at)), np.zeros(len(at))
     for step in range(1, steps + 1):  # Adam on the whole sample
-        p = 1 / (1 + np.exp(-(np.bincount(doc, w[feature], n) + bias)))
-        g = np.append(np.bincount(feature, (p - y)[doc], k) / n + l2 * w, (p - y).mean())
-        if len(pairs):
-            gap = np.bincount(pair, sign * w[changed], len(pairs))
-            g[:k] += fairness * 2 / len(pairs) * np.bincount(changed, sign * gap[pair], k)
+        g = target(at)[1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w, bias = w - move[:k], bias - move[k]
-    return {f: float(x) for f, x in zip(names, w)}, float(bias)
+        at = at - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return {f: float(x) for f, x in zip(names, at)}, float(at[-1])
 
 
 class Scorer:

@@ -105,3 +105,64 @@ def test_sample_is_bounded_in_rows(frame):
     assert len(got) == len(ids) and X.sample(docs, labels, 10, "doc_id", "text").count() == 10
     again = X.sample(docs.repartition(5), labels, 100, "doc_id", "text").collect()
     assert Counter(got) == Counter(again)
+
+
+def test_gradient_is_that_of_the_value():
+    """Against the sum written out, and its differences in every direction."""
+    rng = np.random.default_rng(5)
+    k, n = 7, 12
+    own = [sorted(rng.choice(k, rng.integers(0, 5), replace=False).tolist()) for _ in range(n)]
+    y = rng.integers(0, 2, n).astype(float)
+    pairs = [[[0, 2], [3]], [[1], []], [[], [4, 5]]]
+    target = X.Problem(y, own, pairs, k, 0.01, 0.7)
+    at = rng.normal(size=k + 1)
+
+    def value(v):
+        z = [sum(v[f] for f in s) + v[-1] for s in own]
+        loss = sum(np.log(1 + np.exp(-t if label else t)) for t, label in zip(z, y)) / n
+        gap = [sum(v[f] for f in a) - sum(v[f] for f in b) for a, b in pairs]
+        return loss + 0.01 / 2 * sum(x * x for x in v[:-1]) + 0.7 * sum(g * g for g in gap) / len(gap)
+
+    got, gradient = target(at)
+    assert got == pytest.approx(value(at))
+    step = 1e-6 * np.eye(k + 1)
+    want = [(value(at + e) - value(at - e)) / 2e-6 for e in step]
+    assert np.allclose(gradient, want, atol=1e-6)
+
+
+def test_stand_ins_are_found(spark):
+    """Invented group names that share their neighbours, one of them named more often in
+    toxic texts; the insults share neighbours too and are no group."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for d in range(1500):
+        toxic = bool(rng.random() < 0.3)
+        name = "zarn" if rng.random() < (0.6 if toxic else 0.3) else "vell"
+        said = f"these {rng.choice(['blib', 'blob'])} people." if toxic and rng.random() < 0.7 else "nothing."
+        rows.append((int(toxic), f"our {name} neighbours came. {said} word{d % 90} more"))
+    found = spark.createDataFrame(rows, "y int, text string").repartition(3)
+    assert X.stand_ins(found) == (("vell", "zarn"),)
+    names, target = X.problem(found)
+    assert target.pairs == len(rows)  # a ring of two has one counterfactual each, both ways equal
+    weights = {}
+    for fairness in (0.0, 5.0):
+        w, _ = X.fit(found, fairness=fairness)
+        z = [sum(w.get(f, 0.0) for f in X.features(t)) for t in ("zarn", "vell")]
+        weights[fairness] = abs(z[0] - z[1])
+        assert sum(w.get(f, 0.0) for f in X.features("blib")) > 1
+    assert weights[5.0] < 0.25 * weights[0.0]
+
+
+def test_long_runs_count_whole(spark, frame):
+    """A toxic run of letters behind more than LONG others reaches the score."""
+    rng = np.random.default_rng(1)
+    letters = list("abcdefghij")
+    rows, labels = [], []
+    for d in range(900):
+        own = "".join(rng.choice(letters, 150))
+        toxic = d % 3 == 0
+        rows.append((d, own + ("xyzzy" if toxic else "") + "".join(rng.choice(letters, 20))))
+        labels.append((d, int(toxic)))
+    got = X.op5(frame(rows, "doc_id long, text string"), frame(labels, "doc_id long, toxic int"))
+    out = [(r.predicted, labels[r.doc_id][1]) for r in got.collect() if r.held_out]
+    assert len(out) > 200 and all(p == y for p, y in out)
