@@ -12,7 +12,10 @@ the cluster by the pigeonhole rule: of b blocks of bits, two fingerprints
 that differ in m bits agree in at least b - m blocks, so for every choice
 of b - m blocks the fingerprints are grouped by those blocks' bits and each
 group's subtrie is joined with itself.  b grows with the number of distinct
-fingerprints, which keeps the groups small at any input size.
+fingerprints, which keeps groups of evenly spread ones small.  Groups that
+are larger all the same (templates that agree in many bits) are split by the
+same rule over the bits that their mask leaves, until none has more than
+``_LARGEST`` rows: distinct fingerprints that differ in few bits are few.
 
 Inside a group, node pairs are traversed together, differing bits are
 accumulated, and a pair is pruned as soon as it exceeds the error budget or
@@ -49,6 +52,10 @@ _FRONTIER = 1 << 18
 _BATCH = 1 << 17
 # Groups are kept to about this many uniformly spread fingerprints.
 _GROUP = 512
+# Groups with more fingerprints are split (at most 1 << 15 fit in 15 free bits).
+_LARGEST = 1 << 15
+# Keys that hold more than this share of all rows are answered by broadcast, so at most so many.
+_HOT_KEYS = 100_000
 
 
 def simhash(raw: bytes, shingle: int = SHINGLE) -> int:
@@ -193,20 +200,60 @@ def masks(n: int, max_bits: int) -> list[int]:
     return [sum(part[i] for i in c) for c in combinations(range(blocks), blocks - max_bits)]
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): a spanning set of the pairs of distinct ``fp`` at most max_bits apart."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks(distinct.count(), max_bits)]
-    keyed = distinct.select(
-        "fp",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k"))
-                    for t, m in enumerate(signed)
-                ]
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def finer(mask: int, max_bits: int) -> list[int]:
+    """``mask`` with one of max_bits + 1 parts of the bits that it leaves out, for each part.
+
+    Two values that agree under ``mask`` and differ in at most max_bits bits
+    agree under one of the results, as one of the parts holds no differing bit.
+    """
+    free = [i for i in range(64) if not mask >> i & 1]
+    parts = [free[i :: max_bits + 1] for i in range(max_bits + 1)]
+    return [mask | sum(1 << i for i in part) for part in parts if part] or [mask]
+
+
+def groups(distinct: DataFrame, max_bits: int, total: int, largest: int | None = None) -> DataFrame:
+    """(mask, k, fp): groups of at most ``largest`` rows; pairs within max_bits share one.
+
+    ``largest`` is at least 1 << max_bits: a larger group differs in more
+    than max_bits bits, so that none of ``finer``'s parts is empty.
+    """
+    largest = max(largest or _LARGEST, 1 << max_bits)
+    first = F.explode(F.array(*[F.lit(_signed(m)) for m in masks(total, max_bits)]))
+    keyed = distinct.select("fp", first.alias("mask"))
+    keyed, done = keyed.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("k"), "fp"), None
+    while True:
+        sizes = keyed.groupBy("mask", "k").agg(F.count(F.lit(1)).alias("n"))
+        hot = staged(sizes.where(F.col("n") > largest).select("mask", "k"), "hot-groups")
+        found = [r["mask"] for r in hot.select("mask").distinct().collect()]  # not the groups
+        if not found:
+            return keyed if done is None else done.union(keyed)
+        small = keyed.join(hot, ["mask", "k"], "left_anti")
+        done = small if done is None else done.union(small)
+        # Every round fixes more bits: groups with none left hold one fingerprint.
+        table = distinct.sparkSession.createDataFrame(
+            [(m, _signed(f)) for m in found for f in finer(m % (1 << 64), max_bits)],
+            "mask long, finer long",
+        )
+        split = (
+            keyed.join(hot, ["mask", "k"], "left_semi")
+            .join(F.broadcast(table), "mask")  # max_bits + 1 rows a mask
+            .select(
+                F.col("finer").alias("mask"),
+                F.col("fp").bitwiseAND(F.col("finer")).alias("k"),
+                "fp",
             )
-        ).alias("g"),
-    ).select("g.t", "g.k", "fp")
+        )
+        # Different masks may be refined to the same one.
+        keyed = staged(split.distinct(), "split-groups")
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, total: int | None = None) -> DataFrame:
+    """(a, b): a spanning set of the pairs of distinct ``fp`` at most max_bits apart."""
+    keyed = groups(distinct, max_bits, distinct.count() if total is None else total)
     # The trie's order is that of the unsigned value: flip the sign bit to sort.
     order = F.col("fp").bitwiseXOR(F.lit(-(1 << 63)))
 
@@ -237,8 +284,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             yield join(held)
 
     return (
-        keyed.repartition("t", "k")
-        .sortWithinPartitions("t", "k", order)
+        keyed.repartition("mask", "k")
+        .sortWithinPartitions("mask", "k", order)
         .mapInArrow(run, "a long, b long")
     )
 
@@ -296,14 +343,35 @@ def near_dups(
     fingerprint, names a component even where ids are null.
     """
     fps = staged(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = components(links(classes.select("fp"), max_bits))
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root")
-    )
-    ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id", "root")
-    return fps.join(named, "fp").select("doc_id", "text_md5", "fp", "component_id", "root")
+    rows = F.count(F.lit(1)).alias("n")
+    classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), rows), "classes")
+    total = classes.count()
+    roots = components(links(classes.select("fp"), max_bits, total))
+    root = F.coalesce("root", "fp").alias("root")  # the smallest of a component is no node
+    rooted = classes.join(roots, classes.fp == roots.node, "left")
+    rooted = staged(rooted.select("fp", "rep", F.col("n").alias("rows"), root), "rooted")
+    ids = staged(rooted.groupBy("root").agg(F.min("rep").alias("component_id"), rows), "components")
+    named = join_dealt(rooted, ids, "root", total)
+    named = named.select("fp", F.col("rows").alias("n"), "component_id", "root")
+    out = join_dealt(fps, staged(named, "named"), "fp")
+    return out.select("doc_id", "text_md5", "fp", "component_id", "root")
+
+
+def join_dealt(rows: DataFrame, named: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """``rows`` joined with ``named``, which has every key once and in ``n`` its number of rows.
+
+    Keys of more than 1 / _HOT_KEYS of all rows, hence at most _HOT_KEYS of
+    them, are broadcast, so that no key's rows meet in one task; the others
+    are joined as usual.
+    """
+    if total is None:
+        total = named.agg(F.sum("n")).first()[0] or 0
+    least = max(_GROUP, total // _HOT_KEYS)
+    hot = F.broadcast(named.where(F.col("n") > least).drop("n"))
+    cold = named.where(F.col("n") <= least).drop("n")
+    rest = rows.join(hot.select(key), key, "left_anti")
+    both = rows.join(hot, key)
+    return both.union(rest.join(cold, key).select(*both.columns))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

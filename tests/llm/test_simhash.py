@@ -108,6 +108,46 @@ def test_masks_cover_every_pair(n):
         assert any(flips & m == 0 for m in masks)
 
 
+@pytest.mark.parametrize("largest", [16, 40])
+def test_hot_block_is_split(spark, largest):
+    """A third of all rows agree in most masks; some of them are near each other."""
+    rng = np.random.default_rng(largest)
+    template = int(rng.integers(0, 1 << 62))
+    hot = [template ^ int(x) << 40 for x in rng.integers(0, 1 << 20, 60)]
+    hot += [x ^ 0b101 << 44 for x in hot[:10]]
+    fps = sorted(set(hot) | {int(x) for x in rng.integers(0, 1 << 62, 140)} | {0, 1, 3})
+    frame = spark.createDataFrame([(x,) for x in fps], "fp long")
+    found = S.groups(frame, 4, len(fps), largest).collect()
+    sizes = {}
+    for r in found:
+        assert r.fp & r.mask == r.k
+        sizes.setdefault((r.mask, r.k), []).append(r.fp)
+    assert max(map(len, sizes.values())) <= largest
+    together = {(a, b) for g in sizes.values() for a in g for b in g}
+    near = {(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 4}
+    assert len(near) > len(fps) and near <= together
+
+
+def test_split_groups_give_the_same_components(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = {(r.doc_id, r.component_id) for r in S.op9(docs).collect()}
+    monkeypatch.setattr(S, "_LARGEST", 16)
+    monkeypatch.setattr(S, "_GROUP", 2)
+    assert {(r.doc_id, r.component_id) for r in S.op9(docs).collect()} == whole
+
+
+def test_hot_fingerprints_and_components(spark, monkeypatch):
+    """Keys above the share are broadcast, the others joined: the rows are those of one join."""
+    monkeypatch.setattr(S, "_GROUP", 3)
+    rows = spark.createDataFrame([(i, i % 7 if i < 60 else 1) for i in range(90)], "x long, key long")
+    named = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("top"))
+    want = {(r.key, r.x, r.top) for r in rows.join(named, "key").collect()}
+    for hot_keys in (1, 10, 100):
+        monkeypatch.setattr(S, "_HOT_KEYS", hot_keys)
+        got = S.join_dealt(rows, named, "key").collect()
+        assert {(r.key, r.x, r.top) for r in got} == want and len(got) == 90
+
+
 def test_long_chain_component(spark):
     edges = spark.range(0, 400).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = {r.node: r.root for r in S.components(edges).collect()}
