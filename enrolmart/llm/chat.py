@@ -3,11 +3,11 @@
 Every turn becomes a segment ``<|im_start|>role``, line feed, text,
 ``<|im_end|>``, line feed; a conversation's segments in turn order are its
 stream.  Every assistant turn is an example of its own: the stream up to and
-including that turn, of which only the reply's text is trainable.  All
-examples of a conversation are prefixes of one stream, so they are kept as
-offsets into it: as many rows as turns, where copied prefixes would grow with
-the square of a conversation's length.  ``examples`` has one row per
-assistant turn, its context an offset; ``expand`` writes prefixes out.
+including that turn, of which only the reply's text is trainable.
+``segments`` keeps places in the stream, ``examples`` writes each prefix out
+next to its target.  Written prefixes grow with the square of a
+conversation's length: they pass through the task that holds the stream one
+by one, and only what is read from them goes on.
 
 Control strings inside texts and roles are escaped by one more backslash
 after their first character (``</s>`` becomes ``<\\/s>``, ``<\\/s>`` becomes
@@ -143,38 +143,38 @@ def streams(formatted: DataFrame) -> DataFrame:
     )
 
 
-def expand(formatted: DataFrame) -> DataFrame:
-    """(conv_id, example, context, target): one row per assistant turn, prefixes written out."""
-    one = streams(formatted).select("conv_id", "stream", F.posexplode("masks").alias("example", "m"))
+def _exploded(written: DataFrame) -> DataFrame:
+    one = written.select("conv_id", "stream", F.posexplode("masks").alias("example", "m"))
     first, last = F.col("m.loss_start").cast("int"), F.col("m.loss_end").cast("int")
     return one.select(
         "conv_id",
         "example",
         F.substring(F.col("stream"), F.lit(1), first).alias("context"),
         F.substring(F.col("stream"), first + 1, last - first).alias("target"),
-    )
+        "m.loss_start",
+        "m.loss_end",
+    ).withColumn("context_chars", F.length("context").cast("long"))
 
 
 def examples(formatted: DataFrame) -> DataFrame:
-    """One row per assistant turn: conv_id, context_chars, target, loss_start, loss_end.
+    """One row per assistant turn: conv_id, example, context, target, loss_start, loss_end,
+    context_chars.
 
-    The context is the first context_chars characters of the conversation's stream, the
-    target the escaped text under the loss mask, cut out of the turn's own segment.
+    The context is the conversation's stream up to the reply, written out, and the target
+    the escaped text under the loss mask; both are cut out of the stream.
     """
-    first = (F.col("loss_start") - F.col("start") + 1).cast("int")
-    size = (F.col("loss_end") - F.col("loss_start")).cast("int")
-    return formatted.where(F.col("loss_start").isNotNull()).select(
-        "conv_id",
-        F.col("loss_start").alias("context_chars"),
-        F.substring(F.col("segment"), first, size).alias("target"),
-        "loss_start",
-        "loss_end",
-    )
+    return _exploded(streams(formatted))
+
+
+def expand(formatted: DataFrame) -> DataFrame:
+    """(conv_id, example, context, target): the texts of ``examples``."""
+    return examples(formatted).select("conv_id", "example", "context", "target")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """(conv_id, stream, turns array<struct<role, text>>, replies array<string>, n_examples,
-    context_chars): turns parsed from the written streams, replies from the examples."""
+    context_chars): turns parsed from the written streams, replies and contexts from the
+    examples."""
     roles = F.regexp_extract_all("stream", F.lit(TURN), F.lit(1))
     texts = F.regexp_extract_all("stream", F.lit(TURN), F.lit(2))
     turns = F.zip_with(
@@ -182,24 +182,21 @@ def read_back(formatted: DataFrame) -> DataFrame:
         texts,
         lambda r, t: F.struct(unescape_role(r).alias("role"), unescape(t).alias("text")),
     )
-    found = examples(formatted)
-    # Turns and examples meet in one grouping by conversation.
-    rows = formatted.select(
-        "conv_id", F.struct("start", "segment").alias("said"), F.lit(None).alias("example")
-    ).union(
+    written = streams(formatted)
+    found = _exploded(written)
+    # Streams and what their examples tell meet in one grouping by conversation.
+    rows = written.select("conv_id", "stream", F.lit(None).alias("example")).union(
         found.select(
             "conv_id",
             F.lit(None),
-            F.struct("loss_start", unescape(F.col("target")).alias("reply"), "context_chars"),
+            F.struct("example", unescape(F.col("target")).alias("reply"), "context_chars"),
         )
     )
     gathered = rows.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list("said")).alias("said"),
+        F.max("stream").alias("stream"),
         F.sort_array(F.collect_list("example")).alias("examples"),
     )
     return gathered.select(
-        "conv_id", F.array_join(F.col("said.segment"), "").alias("stream"), "examples"
-    ).select(
         "conv_id",
         "stream",
         turns.alias("turns"),

@@ -100,3 +100,28 @@ def test_one_example_per_reply(frame, rows):
         own = [r for r in written if r.conv_id == c]
         assert told[c].n_examples == len(own)
         assert told[c].context_chars == sum(len(r.context) for r in own)
+
+
+def test_examples_hold_their_contexts(frame, rows, monkeypatch):
+    few = [r for r in rows if r[0] is not None and (r[0] < 20 or r[0] in (101, 103))]
+    few += [(200, 0, "user", "alone"), (201, 0, "assistant", "first"), (201, 1, "assistant", "")]
+    df = frame(few, SCHEMA)
+    streams = {r.conv_id: r.stream for r in C.streams(C.segments(df)).collect()}
+    # A conversation of 5000 turns: 2500 prefixes of its stream.
+    found = C.examples(C.segments(df.where("conv_id <> 103"))).collect()
+    for r in found:
+        stream = streams[r.conv_id]
+        assert r.context == stream[: r.loss_start] and r.context_chars == len(r.context)
+        assert r.target == stream[r.loss_start : r.loss_end]
+        assert stream[r.loss_end :].startswith(C.CLOSE + "\n")
+    assert len(found) == sum(r[2] == "assistant" for r in few if r[0] != 103)
+    # The query reads its columns from the written examples.
+    exploded = C._exploded
+    cut = lambda w: exploded(w).withColumn("context_chars", F.length(F.concat("context", F.lit("!"))).cast("long"))
+    told = {r.conv_id: r for r in C.op7(df).collect()}
+    monkeypatch.setattr(C, "_exploded", cut)
+    more = {r.conv_id: r for r in C.op7(df).collect()}
+    for c, r in told.items():
+        assert more[c].context_chars == r.context_chars + r.n_examples
+    assert told[103].n_examples == 2500
+    assert told[200].n_examples == 0 and told[200].context_chars == 0 and told[200].loss_chars == 0
