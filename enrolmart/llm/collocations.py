@@ -48,8 +48,9 @@ SHARDS, MAX_SHARDS = 9, 16
 COVERED = 80
 # The filters' size: bits for each entry, at most so many in all (16 MB).
 BITS_EACH, MAX_BITS = 12, 1 << 27
-# Tokens handled together, distinct words a task counts at once, texts read at once.
-_CHUNK, _FLUSH, _TEXTS = 1 << 20, 1 << 18, 256
+# Tokens handled together (some 45 MB in Python; what they yield is one batch for the JVM),
+# distinct words a task counts at once, texts read at once.
+_CHUNK, _FLUSH, _TEXTS = 1 << 18, 1 << 18, 256
 # Consecutive ids that go to one shard: neighbours' phrases meet in the task already.
 _IDS = 1 << 12
 # Parts in which a language is ranked before its first rows are ranked together.

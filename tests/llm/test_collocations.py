@@ -135,3 +135,24 @@ def test_filter_holds_all_its_keys(spark):
     assert held.holds(keys).all()
     others = spark.range(5000, 10000).select(F.xxhash64("id").alias("key")).toArrow().column("key").to_numpy()
     assert held.holds(others.view("uint64")).mean() < 0.05
+
+
+def test_a_task_holds_a_small_chunk():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batches(n=300):
+        for k in range(0, 3600, n):
+            texts = [" ".join(f"w{i * j % 9973}" for j in range(400)) for i in range(k, k + n)]
+            columns = [pa.array(["en"] * n), pa.array([1] * n, pa.int32()), pa.array(texts)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "shard", "text"])
+
+    tracemalloc.start()
+    try:
+        held = sum(int(x.is_word.sum()) for x in collocations._chunks(batches(), collocations._CHUNK))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held == 3600 * 400
+    assert peak < 80e6  # 143 MB with chunks four times as long
