@@ -29,8 +29,11 @@ back.  Nothing is looked up by token.
   on) are broadcast with their counts and stand as numbers.  A Bloom filter of
   at most ``FILTER_BITS`` holds the other words that occur more than once: one
   that is not in it occurs here alone and needs no asking.  Each part asks for
-  the counts of the rest (and of what the filter takes for them), which are
-  joined by word code.
+  the counts of the rest (and of what the filter takes for them).
+* What a task asks for its parts meets in packed blocks at owners, one for
+  ``OWNED`` parts: a rare word's count and all pairs with it have one owner, so
+  it adds pairs up, looks counts up and answers each part in one block.  The
+  dealt words' own states (at most two a part) are summed and broadcast.
 * Word codes have 62 bits.  Those of all words of all texts are checked to
   differ; if two do not, the next seed is drawn.
 
@@ -49,7 +52,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from enrolmart.llm.collocations import Bloom, bloom
@@ -71,8 +74,9 @@ _PAD = -1
 _RARE = 1 << 62
 # In the place of a context: a word's count is told, not a sequence.
 _COUNT = -2
-# In the place of a word: the context's own state is told.
-_STATE = -3
+# Parts for each owner of what parts ask; what a task asks is handed on at so many.
+OWNED = 4
+_ASKED = 1 << 20
 
 
 def held_out(doc_id, mod: int = 7, rest: int = 2) -> bool:
@@ -159,6 +163,7 @@ class Shared:
     depth: int
     seed: int
     again: Bloom  # codes of the other words that occur more than once
+    least: int  # words with fewer than 2 ** least occurrences are not broadcast
 
     def asked(self, word: np.ndarray) -> np.ndarray:
         """Which words' counts a part must be told."""
@@ -178,6 +183,11 @@ class Shared:
         deals[known] = self.deals[before[known]]
         return deals
 
+    def owner(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Who answers for b after a: rare words have one owner, pairs of common ones another each."""
+        h = _scramble(b) + np.where(b < _RARE, _scramble(a), np.uint64(0))
+        return (_scramble(h.view(np.int64)) % np.uint64(-(-self.parts // OWNED))).astype(np.int64)
+
     def root(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 1.0) / (self.total + self.types + 1))
 
@@ -223,6 +233,7 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
         depth,
         seed,
         again,
+        least,
     )
 
 
@@ -305,111 +316,142 @@ def _runs(order: np.ndarray, *sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order[new], number
 
 
+def _met(rows: np.ndarray) -> np.ndarray:
+    """Distinct (a, b, p) with the sum of n."""
+    first, number = _distinct(*rows[:3])
+    out = rows[:, first]
+    out[3] = np.bincount(number, rows[3], len(first))
+    return out
+
+
+def _cuts(keys: np.ndarray) -> zip:
+    """(key, start, end) of the runs of sorted keys."""
+    cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return zip(keys[cut].tolist(), cut.tolist(), np.append(cut[1:], len(keys)).tolist())
+
+
 def _requests(docs: DataFrame, know) -> DataFrame:
-    """(p, a, b, n, c): what parts must be told.
+    """(q, size, block): what parts must be told, for the owner q: (a, b, p, n), packed.
 
     With ``a = _COUNT``: the count of the word b.  Else: of the word b after
-    the dealt word a, whose training occurrences in the part are n.  ``c`` is
-    the word's count where it is common.
+    the dealt word a.  ``n`` are the training occurrences in the part p.
     """
 
     def run(batches):
         k = know.value
+
+        def out(asked):
+            rows = _met(np.concatenate(asked, axis=1))
+            q = k.owner(rows[0], rows[1])
+            order = np.lexsort((rows[2], rows[1], rows[0], q))
+            rows, q = rows[:, order], q[order]
+            for owner, start, end in _cuts(q):
+                block = _packed(rows[:, start:end].ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([owner]), pa.array([end - start]), pa.array([block], pa.binary())], ["q", "size", "block"]
+                )
+
+        held = []
         for x in _chunks(batches, k):
             p = k.part(x.before[0], x.before[1])
             rare = k.asked(x.word)
             dealt = (k.dealt(x.before[0]) > 1) if k.depth else np.zeros(len(p), bool)
             train = x.train[x.doc].astype(np.int64)
             a = np.concatenate([np.full(rare.sum(), _COUNT, np.int64), x.before[0][dealt]])
-            b = np.concatenate([x.word[rare], x.word[dealt]])
-            q = np.concatenate([p[rare], p[dealt]])
-            n = np.concatenate([np.zeros(rare.sum(), np.int64), train[dealt]])
-            if not len(a):
-                continue
-            first, number = _distinct(q, a, b)
-            b = b[first]
-            common = b < _RARE
-            n = np.bincount(number, n, len(first)).astype(np.int64)
-            # A word that occurs once: its count is that of its only pair.
-            once = ~common & ~k.asked(b)
-            c = np.where(once, n, 0)
-            c[common] = k.count[b[common]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(q[first]), pa.array(a[first]), pa.array(b),
-                    pa.array(n), pa.array(c, mask=~common & ~once),
-                ],
-                ["p", "a", "b", "n", "c"],
-            )
+            b, q, n = (np.concatenate([y[rare], y[dealt]]) for y in (x.word, p, train))
+            held.append(_met(np.stack([a, b, q, n])))
+            if sum(y.shape[1] for y in held) >= _ASKED:
+                yield from out(held)
+                held = []
+        if held:
+            yield from out(held)
+
+    return docs.mapInArrow(run, "q long, size long, block binary")
 
-    asked = docs.mapInArrow(run, "p long, a long, b long, n long, c long")
-    return asked.groupBy("p", "a", "b").agg(F.sum("n").alias("n"), F.max("c").alias("c"))
 
+_ANSWERS = "p long, size long, block binary, a long, n double, k double, mass double, gain double, covered double"
 
-def _facts(asked: DataFrame, counts: DataFrame, know: Shared, min_divergence: float) -> DataFrame:
-    """(p, a, b, v, w, kept): what parts are told.
 
-    With ``a = _COUNT``: v is the count of the word b.  With ``b = _STATE``: of
-    the dealt state a its training occurrences, the log10 of its rest weight
-    and whether it is retained.  Else: how often b follows a in the training
-    texts, and log10 P(b) of the root.
+def _answers(asked: DataFrame, counts: DataFrame, know) -> DataFrame:
+    """(p, size, block, ...): what parts are told: (a, b, v, c), packed.
+
+    c is the count of the word b and v, after a dealt word a, how often b
+    follows it in the training texts.  Rows without p hold what the owner's
+    pairs add to the state a.
     """
-    rare = asked.where(F.col("c").isNull()).select("b").distinct()
-    found = rare.join(counts.select(F.col("code").alias("b"), F.col("c").alias("rare_c")), "b")
-    told = asked.join(found, "b", "left").withColumn("c", F.coalesce("c", "rare_c", F.lit(0))).drop("rare_c")
-    none = F.lit(None).cast("double")
-    of_words = told.where(F.col("a") == _COUNT).select(
-        "p", "a", "b", F.col("c").cast("double").alias("v"), none.alias("w"), F.lit(False).alias("kept")
-    )
-    root = F.log10((F.col("c") + 1) / F.lit(float(know.total + know.types + 1)))
-    every = F.sum("n").over(Window.partitionBy("a", "b"))
-    after = told.where(F.col("a") != _COUNT).withColumn("root", root).withColumn("every", every)
-    of_pairs = after.select(
-        "p", "a", "b", F.col("every").cast("double").alias("v"), F.col("root").alias("w"), F.lit(False).alias("kept")
-    )
-    next_ = told.where(F.col("a") != _COUNT).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max(root).alias("root"))
-    n, size = F.col("n") - DISCOUNT, F.col("size")
-    rest = F.greatest(DISCOUNT * F.col("k") / size, F.lit(_LEAST))
-    states = (
-        next_.where("n > 0")
-        .groupBy("a")
-        .agg(
-            F.sum("n").alias("size"),
-            F.count(F.lit(1)).alias("k"),
-            F.sum(n).alias("mass"),
-            F.sum(n * (F.log10(n) - F.col("root"))).alias("gain"),
-            F.sum(F.pow(F.lit(10.0), "root")).alias("covered"),
-        )
-        .withColumn("w", F.log10(rest / F.greatest(1 - F.col("covered"), F.lit(_LEAST))))
-        .withColumn(
-            "kept",
-            ((F.col("gain") - F.log10(size) * F.col("mass")) / size + rest * F.col("w")) * F.lit(float(np.log(10.0)))
-            >= min_divergence,
+    names = [x.split()[0] for x in _ANSWERS.split(", ")]
+
+    def owned(batches):
+        k = know.value
+        for x in batches:
+            codes = x.column("code").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(k.owner(codes, codes)), *x.columns], ["q", "code", "c"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        k = know.value
+        blocks = [_unpacked(y.as_py(), 4 * n).reshape(4, n) for n, y in zip(left.column("size").to_pylist(), left.column("block"))]
+        a, b, p, n = _met(np.concatenate([np.zeros((4, 0), np.int64), *blocks], axis=1))
+        first, pair = _distinct(a, b)
+        every = np.bincount(pair, n, len(first)).astype(np.int64)
+        word = b[first]
+        # A word that is not found occurs once: its count is that of its only pair.
+        c = every.copy()
+        common = word < _RARE
+        c[common] = k.count[word[common]]
+        codes, of_codes = (right.column(x).to_numpy() for x in ("code", "c"))
+        if len(codes):
+            order = np.argsort(codes)
+            at = order[np.minimum(np.searchsorted(codes, word, sorter=order), len(codes) - 1)]
+            c = np.where(codes[at] == word, of_codes[at], c)
+        # What the pairs add to the dealt states.
+        own = (a[first] != _COUNT) & (every > 0)
+        state, at = np.unique(a[first][own], return_inverse=True)
+        root, m = k.root(c[own]), every[own] - DISCOUNT
+        values = (every[own], np.ones(len(m)), m, m * (np.log10(m) - root), 10.0**root)
+        sums = [np.bincount(at, y, len(state)).astype(float) for y in values]
+        order = np.lexsort((b, a, p))
+        rows = np.stack([a, b, every[pair], c[pair]])[:, order]
+        told = [(q, z - i, _packed(rows[:, i:z].ravel())) for q, i, z in _cuts(p[order])]
+        columns = [pa.array([t[j] for t in told], y) for j, y in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+        columns = [pa.concat_arrays([x, pa.nulls(len(state), x.type)]) for x in columns]
+        columns += [pa.concat_arrays([pa.nulls(len(told), x.type), x]) for x in map(pa.array, (state, *sums))]
+        return pa.table(columns, names)
+
+    others = counts.where((F.col("m") > 1) & (F.col("m") < 2.0**know.value.least)).select("code", "c")
+    others = others.mapInArrow(owned, "q long, code long, c long")
+    return asked.groupBy("q").cogroup(others.groupBy("q")).applyInArrow(run, _ANSWERS)
+
+
+@dataclass(frozen=True)
+class States:
+    """The dealt words' own states: words in order, training occurrences, log10 of the rest weight."""
+
+    word: np.ndarray
+    size: np.ndarray
+    weight: np.ndarray
+    kept: np.ndarray
+
+    def values(self, a: np.ndarray, n: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(b | a) of pairs that occur n times, and whether their state is retained."""
+        if not len(self.word):
+            return root, np.zeros(len(root), bool)
+        at = np.minimum(np.searchsorted(self.word, a), len(self.word) - 1)
+        is_kept = self.kept[at] & (self.word[at] == a)
+        own = np.where(
+            n > 0, np.log10(np.maximum(n - DISCOUNT, _LEAST)) - np.log10(self.size[at]), self.weight[at] + root
         )
-    )
-    # One row for each dealt word and part.
-    where = asked.where(F.col("a") != _COUNT).select("p", "a").distinct()
-    of_states = where.join(states, "a").select(
-        "p", "a", F.lit(_STATE).cast("long").alias("b"), F.col("size").cast("double").alias("v"), "w", "kept"
-    )
-    return of_words.unionByName(of_pairs).unionByName(of_states)
-
-
-def _dealt_values(a, b, v, w, kept) -> tuple[np.ndarray, np.ndarray]:
-    """log10 P(b | a) of the rows of pairs, and whether their state is retained."""
-    of = b == _STATE
-    state, size, weight, retained = a[of], v[of], w[of], kept[of]
-    order = np.argsort(state)
-    pairs = (a != _COUNT) & ~of
-    at = np.searchsorted(state[order], a[pairs]) if len(state) else np.zeros(0, np.int64)
-    at = np.minimum(at, max(len(state) - 1, 0))
-    n, root = v[pairs], w[pairs]
-    if not len(state):
-        return root, np.zeros(len(root), bool)
-    at = order[at]
-    is_kept = retained[at] & (state[at] == a[pairs])
-    own = np.where(n > 0, np.log10(np.maximum(n - DISCOUNT, _LEAST)) - np.log10(size[at]), weight[at] + root)
-    return np.where(is_kept, own, root), is_kept
+        return np.where(is_kept, own, root), is_kept
+
+
+def _states(answers: DataFrame, min_divergence: float) -> States:
+    sums = [F.sum(x).alias(x) for x in ("n", "k", "mass", "gain", "covered")]
+    # At most two rows a part.
+    got = answers.where(F.col("p").isNull()).groupBy("a").agg(*sums).orderBy("a").toArrow()
+    word, size, k, mass, gain, covered = (got.column(x).to_numpy() for x in ("a", "n", "k", "mass", "gain", "covered"))
+    rest = np.maximum(DISCOUNT * k / size, _LEAST)
+    weight = np.log10(rest / np.maximum(1 - covered, _LEAST))
+    divergence = ((gain - np.log10(size) * mass) / size + rest * weight) * np.log(10.0)
+    return States(word, size, weight, divergence >= min_divergence)
 
 
 _ZSTD = "zstd"
@@ -516,7 +558,7 @@ _SUMS = (
 _RESULT = "doc_id long, n_tokens long, known long, log double, full double"
 
 
-def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) -> DataFrame:
+def _scored(blocks: DataFrame, answers: DataFrame, know, states, min_divergence: float) -> DataFrame:
     """Each part's sums by text, packed by chunk."""
     names = [x.split()[0] for x in _SUMS.split(", ")]
 
@@ -529,12 +571,13 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
         x = np.concatenate([_unpacked(b.as_py(), n * width).reshape(width, n) for n, b in blocks], axis=1)
         word, train = x[-2], (x[-1] & 1).astype(np.float64)
         text = x[-1] >> 1
-        a, b, v, w, kept = (right.column(c).to_numpy() for c in ("a", "b", "v", "w", "kept"))
+        told = [_unpacked(y.as_py(), 4 * n).reshape(4, n) for n, y in zip(right.column("size").to_pylist(), right.column("block"))]
+        a, b, v, of_b = np.concatenate([np.zeros((4, 0), np.int64), *told], axis=1)
         counts = a == _COUNT
         order = np.argsort(b[counts])
-        codes, told_c = b[counts][order], v[counts][order]
+        codes, told_c = b[counts][order], of_b[counts][order]
         # Rows of the dealt states, which count nothing and belong to no text.
-        pairs = ~counts & (b != _STATE)
+        pairs = ~counts
         extra = int(pairs.sum())
         word = np.append(word, b[pairs])
         c = np.zeros(len(word))
@@ -549,7 +592,8 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
             c[rest] = np.where(codes[at] == word[rest], told_c[at], 0)
         before = [np.append(x[j], a[pairs] if j == 0 else np.full(extra, _PAD, np.int64)) for j in range(k.depth)]
         x = None
-        told = (np.arange(len(word) - extra, len(word)), *_dealt_values(a, b, v, w, kept)) if extra else None
+        values = states.value.values(a[pairs], v[pairs], k.root(of_b[pairs])) if extra else ()
+        told = (np.arange(len(word) - extra, len(word)), *values) if extra else None
         lp = levels(before, word, np.append(train, np.zeros(extra)), k.root(c), min_divergence, told)
         packed = []
         start = 0
@@ -565,7 +609,8 @@ def _scored(blocks: DataFrame, facts: DataFrame, know, min_divergence: float) ->
         columns = [pa.array(y, t) for y, t in zip(zip(*packed), (pa.int64(), *[pa.binary()] * 4))]
         return pa.table([pa.array(firsts, pa.int64()), *columns, *info], names)
 
-    return blocks.groupBy("p").cogroup(facts.groupBy("p")).applyInArrow(run, _SUMS)
+    told = answers.where(F.col("p").isNotNull()).select("p", "size", "block")
+    return blocks.groupBy("p").cogroup(told.groupBy("p")).applyInArrow(run, _SUMS)
 
 
 def _summed(sums: DataFrame) -> DataFrame:
@@ -607,9 +652,9 @@ def score(
         rows = docs.sparkSession.createDataFrame([], _RESULT)
     else:
         know = docs.sparkSession.sparkContext.broadcast(known)
-        asked = staged(_requests(docs, know), "lm-requests")
-        facts = _facts(asked, counts, known, min_divergence)
-        rows = _summed(_scored(_blocks(docs, know), facts, know, min_divergence))
+        answers = staged(_answers(_requests(docs, know), counts, know), "lm-answers")
+        states = docs.sparkSession.sparkContext.broadcast(_states(answers, min_divergence))
+        rows = _summed(_scored(_blocks(docs, know), answers, know, states, min_divergence))
     root = F.col("n_tokens") * F.log10(F.lit(float(total + types + 1)))
     return rows.select(
         "doc_id",

@@ -194,3 +194,22 @@ def test_deeper_states(spark):
     assert total[3] > total[2] + 2000  # 4,000 words, one of four each
     with pytest.raises(ValueError):
         L.score(docs, depth=-1)
+
+
+def test_what_parts_ask_is_packed(spark, toy, monkeypatch):
+    """Requests meet in blocks by owner: rows follow tasks and owners, not tokens."""
+    made = []
+    plain = L._requests
+    monkeypatch.setattr(L, "_requests", lambda *x: made.append(plain(*x)) or made[-1])
+    layout = {"part_tokens": 50, "hot_words": 0}
+    got = {r.doc_id: r.score for r in L.score(toy, **layout).collect()}
+    rows = made[0].select("q", "size").collect()
+    parts = -(-sum(r.n_tokens for r in L.score(toy).collect()) // 50)
+    assert len({r.q for r in rows}) <= -(-parts // L.OWNED)
+    assert len(rows) <= toy.rdd.getNumPartitions() * len({r.q for r in rows})
+    assert sum(r.size for r in rows) > 4 * len(rows)
+    # Handed on one by one, and met again: the same scores.
+    monkeypatch.setattr(L, "_ASKED", 1)
+    monkeypatch.setattr(L, "_CHUNK", 64)
+    again = {r.doc_id: r.score for r in L.score(toy, **layout).collect()}
+    assert again == pytest.approx(got, rel=1e-9)
