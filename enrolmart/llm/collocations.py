@@ -29,8 +29,8 @@ result.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from enrolmart.llm import tokens
 from enrolmart.llm.common import col, staged
+from enrolmart.llm.tokens import Tokens
+from enrolmart.llm.tokens import mix as _mix
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -48,31 +51,18 @@ SHARDS, MAX_SHARDS = 9, 16
 COVERED = 80
 # The filters' size: bits for each entry, at most so many in all (16 MB).
 BITS_EACH, MAX_BITS = 12, 1 << 27
-# Tokens handled together (some 45 MB in Python; what they yield is one batch for the JVM),
-# distinct words a task counts at once, texts read at once.
-_CHUNK, _FLUSH, _TEXTS = 1 << 18, 1 << 18, 256
+# Tokens handled together (some 45 MB in Python; what they yield is one batch for the JVM) and,
+# where only words are counted, a multiple; phrases a task counts before it hands them on.
+_CHUNK, _WORDS, _FLUSH = 1 << 18, 4, 1 << 20
+# Bytes of texts for each of these tokens that are read at once.
+_BYTES = 4
 # Consecutive ids that go to one shard: neighbours' phrases meet in the task already.
 _IDS = 1 << 12
 # Parts in which a language is ranked before its first rows are ranked together.
 _RANKED_IN = 64
 
-# What ends a piece.  All of it becomes a full stop, letters are folded.
-_STOPS = b".,;:!?\n\x0b\x0c\r"
-_STOP = b"."
-_FOLD = bytes(_STOP[0] if c in _STOPS else c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-def tokens(raw: bytes) -> list[bytes]:
-    """The words of a text with a full stop wherever a piece ends."""
-    return raw.translate(_FOLD).replace(_STOP, b" . ").split()
-
-
-def _rows(batches):
-    for b in batches:
-        for i in range(0, b.num_rows, _TEXTS):
-            part = b.slice(i, _TEXTS)
-            lang, shard = part.column("lang").to_pylist(), part.column("shard").to_pylist()
-            yield from zip(lang, shard, part.column("text").cast(pa.binary()).to_pylist())
+# What ends a piece and what stands between words.
+_KINDS = tokens.kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 
 
 def _source(docs: DataFrame, shards: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -83,47 +73,21 @@ def _source(docs: DataFrame, shards: int, id_col: str, text_col: str, lang_col:
     )
 
 
-def word_counts(source: DataFrame) -> DataFrame:
+def word_counts(source: DataFrame, chunk: int = _WORDS * _CHUNK) -> DataFrame:
     """(lang, word, c) over all texts."""
 
     def run(batches):
-        counts, new = defaultdict(Counter), 0
-
-        def out():
-            for lang, c in counts.items():
-                c.pop(_STOP, None)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(pa.scalar(lang, pa.string()), len(c)),
-                        pa.array(c.keys(), pa.binary()).cast(pa.string()),
-                        pa.array(c.values(), pa.int64()),
-                    ],
-                    ["lang", "word", "c"],
-                )
-            counts.clear()
-
-        for lang, _, text in _rows(batches):
-            own = counts[lang]
-            new -= len(own)
-            own.update(tokens(text))
-            new += len(own)
-            if new >= _FLUSH:
-                yield from out()
-                new = 0
-        yield from out()
+        for x in _chunks(batches, chunk):
+            word, words = x.tokens.coded()
+            pair, count = np.unique((x.lang[x.doc] * len(words) + word)[x.is_word], return_counts=True)
+            lang, word = np.divmod(pair, len(words))
+            yield pa.RecordBatch.from_arrays(
+                [x.langs.take(pa.array(lang)), words.take(pa.array(word)), pa.array(count)], ["lang", "word", "c"]
+            )
 
     return source.mapInArrow(run, "lang string, word string, c long").groupBy("lang", "word").agg(F.sum("c").alias("c"))
 
 
-def _mix(a, b) -> np.ndarray:
-    """A 64-bit hash of two (arrays of) 64-bit hashes, in this order."""
-    with np.errstate(over="ignore"):
-        x = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
 def _hash(raw: bytes) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(raw))
 
@@ -139,17 +103,16 @@ class Bloom:
     words: np.ndarray
 
     @staticmethod
-    def places(keys: np.ndarray, bits: int):
-        shift = np.uint64(64 - (bits.bit_length() - 1))
-        for m in _PROBES:
-            with np.errstate(over="ignore"):
-                at = (keys * np.uint64(m)) >> shift
-            yield at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
+    def place(keys: np.ndarray, probe: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(over="ignore"):
+            at = (keys * np.uint64(probe)) >> np.uint64(64 - (bits.bit_length() - 1))
+        return at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         found = np.ones(len(keys), bool)
-        for word, bit in self.places(keys, len(self.words) * 64):
-            found &= (self.words[word] & bit) != 0
+        for m in _PROBES:
+            word, bit = self.place(keys[found], m, len(self.words) * 64)
+            found[found] = (self.words[word] & bit) != 0
         return found
 
 
@@ -162,8 +125,9 @@ def bloom(rows: DataFrame, keys, count: int, max_bits: int = MAX_BITS) -> Bloom:
     def run(batches):
         own = np.zeros(bits // 64, np.uint64)
         for b in batches:
-            for word, bit in Bloom.places(keys(b), bits):
-                np.bitwise_or.at(own, word, bit)
+            k = keys(b)
+            for m in _PROBES:
+                np.bitwise_or.at(own, *Bloom.place(k, m, bits))
         at = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(own[at].view(np.int64))], ["at", "word"])
 
@@ -174,12 +138,14 @@ def bloom(rows: DataFrame, keys, count: int, max_bits: int = MAX_BITS) -> Bloom:
     return Bloom(words)
 
 
+def _lang_hashes(langs: pa.Array) -> np.ndarray:
+    return np.array([_hash(x.encode()) for x in langs.to_pylist()], np.uint64)
+
+
 def _word_keys(b: pa.RecordBatch) -> np.ndarray:
     """Hashes of (lang, word): a phrase of one word."""
-    lang = {x: _hash(x.encode()) for x in set(b.column("lang").to_pylist())}
-    langs = np.array([lang[x] for x in b.column("lang").to_pylist()], np.uint64)
-    words = np.array([_hash(x) for x in b.column("word").cast(pa.binary()).to_pylist()], np.uint64)
-    return _mix(langs, words)
+    lang = b.column("lang").dictionary_encode()
+    return _mix(_lang_hashes(lang.dictionary)[lang.indices.to_numpy()], tokens.hashes(b.column("word")))
 
 
 def _keys(b: pa.RecordBatch) -> np.ndarray:
@@ -195,48 +161,59 @@ def _in_shard(h: np.ndarray, shard) -> np.ndarray:
 class _Chunk:
     """Tokens of some texts, one after the other, each text ending with the end of a piece."""
 
-    tokens: list[bytes]
-    doc: np.ndarray  # by token: its text
-    langs: list[str]  # by text
+    tokens: Tokens
+    langs: pa.Array  # distinct
+    lang: np.ndarray  # by text: its place in langs
     shards: np.ndarray  # by text
 
-    def __post_init__(self):
-        coded = pa.array(self.tokens, pa.binary()).dictionary_encode()
-        distinct, ids = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-        known = {x: _hash(x.encode()) for x in set(self.langs)}
-        lang = np.array([known[x] for x in self.langs], np.uint64)
-        self.is_word = ids != distinct.index(_STOP)
-        self.hashes = hashes[ids]
-        self.one = _mix(lang[self.doc], self.hashes)
-        self.shard = self.shards[self.doc]
+    @cached_property
+    def doc(self) -> np.ndarray:
+        return self.tokens.text
+
+    @cached_property
+    def is_word(self) -> np.ndarray:
+        return self.tokens.size > 0
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return self.tokens.hashes()
+
+    @cached_property
+    def one(self) -> np.ndarray:
+        return _mix(np.repeat(_lang_hashes(self.langs)[self.lang], self.tokens.lens), self.hashes)
+
+    @cached_property
+    def shard(self) -> np.ndarray:
+        return np.repeat(self.shards, self.tokens.lens)
 
     def longer(self, h: np.ndarray, n: int) -> np.ndarray:
         """Hashes of the phrases of n words from those of n - 1 that begin at the same tokens."""
         return _mix(h[: len(self.tokens) - n + 1], self.hashes[n - 1 :])
 
-    def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join(self.tokens[at : at + n])
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        """The n words from each of these tokens on, as they stand in the buffer."""
+        x, raw = self.tokens, self.tokens.raw.tobytes()
+        ends = x.start[at + n - 1] + x.size[at + n - 1]
+        return pa.array([raw[i:z] for i, z in zip(x.start[at].tolist(), ends.tolist())], pa.binary()).cast(pa.string())
 
 
 def _chunks(batches, chunk: int):
-    flat, lens, langs, shards = [], [], [], []
+    held, rows, size = [], [], 0
 
     def made():
-        doc = np.repeat(np.arange(len(lens)), lens)
-        return _Chunk(flat, doc, langs, np.array(shards, np.uint64))
-
-    for lang, shard, text in _rows(batches):
-        before = len(flat)
-        flat.extend(tokens(text))
-        flat.append(_STOP)
-        lens.append(len(flat) - before)
-        langs.append(lang)
-        shards.append(shard)
-        if len(flat) >= chunk:
-            yield made()
-            flat, lens, langs, shards = [], [], [], []
-    if flat:
+        lang = pa.concat_arrays([b.column("lang") for b in rows]).dictionary_encode()
+        shards = np.concatenate([b.column("shard").to_numpy() for b in rows])
+        return _Chunk(Tokens.joined(held), lang.dictionary, lang.indices.to_numpy().astype(np.int64), shards.astype(np.uint64))
+
+    for b in batches:
+        for part in tokens.slices(b, "text", _BYTES * chunk):
+            held.append(Tokens.of(part.column("text"), tokens.LOWER, _KINDS))
+            rows.append(part.select(["lang", "shard"]))
+            size += len(held[-1])
+            if size >= chunk:
+                yield made()
+                held, rows, size = [], [], 0
+    if held:
         yield made()
 
 
@@ -248,6 +225,17 @@ def _all(ok: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(key, c) of all parts, which have their keys sorted, each key once."""
+    key, count = (np.concatenate(x) for x in zip(*parts))
+    if len(parts) > 1:
+        order = np.argsort(key)
+        key, count = key[order], count[order]
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        key, count = key[new], np.add.reduceat(count, new)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"])
+
+
 def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int) -> DataFrame:
     """(key, c): the phrases of these lengths by shard.
 
@@ -256,8 +244,10 @@ def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int
     """
 
     def run(batches):
+        held, size = [], 0
         for x in _chunks(batches, chunk):
-            ok = x.is_word & frequent.value.holds(x.one)
+            ok = x.is_word.copy()
+            ok[ok] = frequent.value.holds(x.one[ok])
             h = x.one
             for n in range(2, max(lengths) + 1):
                 h = x.longer(h, n)
@@ -270,8 +260,13 @@ def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int
                 at = np.flatnonzero(_all(ok2, n - 1))
                 if not len(at):
                     continue
-                key, count = np.unique(_in_shard(h[at], x.shard[at]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"])
+                held.append(np.unique(_in_shard(h[at], x.shard[at]), return_counts=True))
+                size += len(held[-1][0])
+            if size >= _FLUSH:
+                yield _met(held)
+                held, size = [], 0
+        if held:
+            yield _met(held)
 
     return source.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
@@ -294,11 +289,11 @@ def _global_counts(source: DataFrame, max_words: int, candidates, chunk: int) ->
                 run_ = h[at][order]
                 new = np.flatnonzero(np.append(True, run_[1:] != run_[:-1]))
                 count = np.diff(np.append(new, len(run_)))
-                at = at[order[new]].tolist()
+                at = at[order[new]]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([x.langs[d] for d in x.doc[at].tolist()], pa.string()),
-                        pa.array([x.phrase(i, n) for i in at], pa.binary()).cast(pa.string()),
+                        x.langs.take(pa.array(x.lang[x.doc[at]])),
+                        x.phrases(at, n),
                         pa.array(np.full(len(at), n, np.int32)),
                         pa.array(count),
                     ],

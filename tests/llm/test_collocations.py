@@ -156,3 +156,32 @@ def test_a_task_holds_a_small_chunk():
         tracemalloc.stop()
     assert held == 3600 * 400
     assert peak < 80e6  # 143 MB with chunks four times as long
+
+
+def test_counts_are_handed_on_whenever_many_are_held(frame, monkeypatch):
+    rows = [(4000 * k, *x) for k, x in enumerate(prose(6, 200))]
+    docs = frame(rows, "doc_id long, lang string, text string")
+    want = by_definition([r[1:] for r in rows], 8)
+    assert len(want) > 10
+    for held in (1, 300):
+        monkeypatch.setattr(collocations, "_FLUSH", held)
+        assert result(collocations.collocations(docs, min_count=8, chunk=200)) == want
+
+
+def test_words_of_a_chunk_are_handled_together():
+    """No Python call for each word (the time of mining was mostly that)."""
+    import sys
+
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i * j % 9973}" for j in range(400)) for i in range(300)]
+    columns = [pa.array(["en"] * 300), pa.array([1] * 300, pa.int32()), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["lang", "shard", "text"])
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        held = sum(int(x.is_word.sum()) + 0 * len(x.one) for x in collocations._chunks([batch], collocations._CHUNK))
+    finally:
+        sys.setprofile(None)
+    assert held == 300 * 400
+    assert sum(calls.values()) < 3000  # over 20,000 with a call for each distinct word
