@@ -45,18 +45,18 @@ and score once each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from enrolmart.llm import tokens
 from enrolmart.llm.collocations import Bloom, bloom
 from enrolmart.llm.common import id_text, staged
+from enrolmart.llm.tokens import Tokens
 
 HOT_WORDS = 1 << 20
 FILTER_BITS = 1 << 27
@@ -64,10 +64,12 @@ PART_TOKENS = 1 << 20
 MIN_DIVERGENCE = 0.02
 DISCOUNT = 0.5
 _LEAST = 1e-12
-# Distinct words a task counts before it hands them on; tokens and texts handled together.
-_FLUSH = 1 << 19
+# Tokens whose words are counted together; tokens handled together; bytes of texts for each that are read at once.
+_COUNTED = 1 << 20
 _CHUNK = 1 << 19
-_TEXTS = 256
+_BYTES = 4
+# Fixed value: what stands between words.
+_KINDS = tokens.kinds(b" \t\n\x0b\x0c\r")
 # What stands before the first end token of a text; numbers and codes of words are not negative.
 _PAD = -1
 # Words that are not broadcast have a code with this bit, above all numbers.
@@ -87,52 +89,46 @@ def _is_held_out(doc_id: str, mod: int = 7, rest: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % mod == rest
 
 
-def words(raw: bytes) -> list[bytes]:
-    return raw.lower().split()  # bytes: folds and splits at ASCII only
+def _texts(batches, chunk: int):
+    """(doc ids, tokens) of about ``chunk`` tokens; the end token is the one that is no word."""
+    ids, held, size = [], [], 0
+    for b in batches:
+        for part in tokens.slices(b, "text", _BYTES * chunk):
+            ids += part.column("doc_id").to_pylist()
+            held.append(Tokens.of(part.column("text"), tokens.LOWER, _KINDS))
+            size += len(held[-1])
+            if size >= chunk:
+                yield ids, Tokens.joined(held)
+                ids, held, size = [], [], 0
+    if held:
+        yield ids, Tokens.joined(held)
 
 
-def _texts(batches):
-    """(doc id, words) of the texts."""
-    for b in batches:
-        ids = b.column("doc_id").to_pylist()
-        text = b.column("text")
-        for i in range(0, len(ids), _TEXTS):
-            part = text.slice(i, _TEXTS).cast(pa.binary()).to_pylist()
-            yield from zip(ids[i : i + _TEXTS], map(words, part))
+def code(words: pa.Array | Tokens, seed: int) -> np.ndarray:
+    """Words' codes, of 62 bits."""
+    h = words.hashes(seed) if isinstance(words, Tokens) else tokens.hashes(words, seed)
+    return (h >> np.uint64(2)).view(np.int64) | _RARE
 
 
-def code(word: bytes, seed: int) -> int:
-    return xxhash.xxh3_64_intdigest(word, seed) >> 2 | _RARE
+def _trained(ids: list) -> np.ndarray:
+    return np.array([not held_out(i) for i in ids], bool)
 
 
 def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
     """(word, code, c, m): occurrences in the training texts and in all; the end token is the empty word."""
 
     def run(batches):
-        train, other = Counter(), Counter()
-
-        def out():
-            every = list(train.keys() | other.keys())
-            c = np.fromiter((train[w] for w in every), np.int64, len(every))
-            m = c + np.fromiter((other[w] for w in every), np.int64, len(every))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(every, pa.binary()).cast(pa.string()), pa.array(c), pa.array(m)], ["word", "c", "m"]
-            )
-            train.clear()
-            other.clear()
-
-        for doc_id, w in _texts(batches):
-            counts = other if held_out(doc_id) else train
-            counts.update(w)
-            counts[b""] += 1
-            if len(train) + len(other) >= _FLUSH:
-                yield from out()
-        yield from out()
+        for ids, x in _texts(batches, _COUNTED):
+            word, every = x.coded()
+            m = np.bincount(word, minlength=len(every))
+            c = np.bincount(word[np.repeat(_trained(ids), x.lens)], minlength=len(every))
+            yield pa.RecordBatch.from_arrays([every, pa.array(c), pa.array(m)], ["word", "c", "m"])
 
     def coded(batches):
         for b in batches:
-            codes = [code(w, seed) for w in b.column("word").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.int64())], ["word", "c", "m", "code"])
+            codes = np.empty(b.num_rows, np.int64)
+            codes[:] = code(b.column("word"), seed)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes)], ["word", "c", "m", "code"])
 
     counted = docs.mapInArrow(run, "word string, c long, m long").groupBy("word")
     summed = counted.agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
@@ -237,15 +233,16 @@ def shared(counts: DataFrame, seed: int, depth: int, hot_words: int, part_tokens
     )
 
 
-def _keys(tokens: list, know: Shared) -> np.ndarray:
-    """Numbers (of common words) or codes of words; None stands before a text."""
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    x = np.fromiter((code(w, know.seed) for w in distinct), np.int64, len(distinct))
+def _keys(x: Tokens, know: Shared) -> np.ndarray:
+    """Numbers (of common words) or codes of words."""
+    codes = code(x, know.seed)
+    order = np.argsort(codes)
+    first, number = _runs(order, codes[order])
+    distinct = codes[first]
     if len(know.codes):
-        at = np.minimum(np.searchsorted(know.codes, x), len(know.codes) - 1)
-        x = np.where(know.codes[at] == x, know.number[at], x)
-    return np.append(x, _PAD)[coded.indices.fill_null(len(x)).to_numpy()]
+        at = np.minimum(np.searchsorted(know.codes, distinct), len(know.codes) - 1)
+        distinct = np.where(know.codes[at] == distinct, know.number[at], distinct)
+    return distinct[number]
 
 
 @dataclass
@@ -265,27 +262,14 @@ class _Chunk:
 
 def _chunks(batches, know: Shared, chunk: int = _CHUNK):
     depth = max(know.depth, 2)  # parts are chosen by two words
-    ids, lens, flat = [], [], []
-
-    def made():
-        arr = _keys(flat, know)
-        n = np.array(lens, np.int64)
-        at = np.arange(n.sum()) + np.repeat(np.arange(1, len(n) + 1) * depth, n)
-        train = np.array([not held_out(i) for i in ids])
-        return _Chunk(list(ids), n, train, arr[at], [arr[at - j] for j in range(1, depth + 1)])
-
-    start, end = [None] * (depth - 1) + [b""], b""
-    for doc_id, w in _texts(batches):
-        flat.extend(start)
-        flat.extend(w)
-        flat.append(end)
-        ids.append(doc_id)
-        lens.append(len(w) + 1)
-        if len(flat) >= chunk:
-            yield made()
-            ids, lens, flat = [], [], []
-    if ids:
-        yield made()
+    for ids, x in _texts(batches, chunk):
+        keys, n = _keys(x, know), x.lens
+        # Before each text: nothing, and then one end token.
+        at = np.arange(len(x)) + np.repeat(np.arange(1, len(n) + 1) * depth, n)
+        arr = np.full(len(x) + len(n) * depth, _PAD, np.int64)
+        arr[at] = keys
+        arr[at[np.cumsum(n) - n] - 1] = keys[-1]
+        yield _Chunk(ids, n, _trained(ids), keys, [arr[at - j] for j in range(1, depth + 1)])
 
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -213,3 +213,51 @@ def test_what_parts_ask_is_packed(spark, toy, monkeypatch):
     monkeypatch.setattr(L, "_CHUNK", 64)
     again = {r.doc_id: r.score for r in L.score(toy, **layout).collect()}
     assert again == pytest.approx(got, rel=1e-9)
+
+
+def test_words_of_a_chunk_are_handled_together():
+    """No Python call for each word: texts are split, hashed and numbered together."""
+    import sys
+
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i * j % 9973}" for j in range(400)) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts)], ["doc_id", "text"])
+    none = np.zeros(0, np.int64)
+    know = L.Shared(none, none, none, none.astype(np.uint64), 0, 0, 1, 2, 0, None, 63)
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        (chunk,) = L._chunks([batch], know)
+    finally:
+        sys.setprofile(None)
+    assert len(chunk.word) == 300 * 401
+    assert sum(calls.values()) < 5000  # over 20,000 with a call for each distinct word
+
+
+def test_chunks_hold_each_token_with_those_before_it():
+    import pyarrow as pa
+
+    texts = ["a b", "", " c", "b a b"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, None, 7, 8]), pa.array(texts)], ["doc_id", "text"])
+    hot = np.sort(L.code(pa.array(["b", ""]), 0))
+    none = np.zeros(0, np.int64)
+    know = L.Shared(hot, np.array([4, 9]), none, none.astype(np.uint64), 0, 0, 1, 3, 0, None, 1)
+    number = dict(zip(hot.tolist(), (4, 9)))
+
+    def key(w):
+        c = int(L.code(pa.array([w]), 0)[0])
+        return number.get(c, c)
+
+    want = []
+    for text in texts:
+        t = [None, None, "", *text.split(), ""]
+        want += [[L._PAD if w is None else key(w) for w in t[i - 3 : i + 1]] for i in range(3, len(t))]
+    for size in (1, 3, 100):
+        got, ids = [], []
+        for x in L._chunks([batch], know, size):
+            got += np.stack([x.before[2], x.before[1], x.before[0], x.word], 1).tolist()
+            ids += x.ids
+            assert x.train.tolist() == [not held(i) for i in x.ids]
+            assert len(x.doc) == len(x.word)
+        assert got == want and ids == [5, None, 7, 8]
