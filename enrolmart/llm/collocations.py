@@ -14,8 +14,9 @@ within a piece; a candidate has at least ``min_count`` occurrences.
    themselves, exactly.
 
 A shard is a key of the counts and not a task: every task mines its part of
-all shards and combines before the shuffle, so no task holds a shard.  What one
-step tells the next goes as a Bloom filter of at most ``MAX_BITS`` bits: beyond
+all shards and combines before the shuffle, so no task holds a shard.  Hashes and
+their counts travel in packed blocks, one for a range of about ``_PART`` tokens'
+hashes, whose task adds them up.  What one step tells the next goes as a Bloom filter of at most ``MAX_BITS`` bits: beyond
 the size that suits it, it lets more phrases be counted, with the same result.
 
 Score: ``floor(2000000 * a / (l + r))`` of the cut with the lowest score
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrolmart.llm import tokens
-from enrolmart.llm.common import col, staged
+from enrolmart.llm.common import col, packed, staged, unpacked
 from enrolmart.llm.tokens import Tokens
 from enrolmart.llm.tokens import mix as _mix
 
@@ -54,6 +55,8 @@ BITS_EACH, MAX_BITS = 12, 1 << 27
 # Tokens handled together (some 45 MB in Python; what they yield is one batch for the JVM) and,
 # where only words are counted, a multiple; phrases a task counts before it hands them on.
 _CHUNK, _WORDS, _FLUSH = 1 << 18, 4, 1 << 20
+# Tokens for each part in which phrases' hashes are counted.
+_PART = 1 << 20
 # Bytes of texts for each of these tokens that are read at once.
 _BYTES = 4
 # Consecutive ids that go to one shard: neighbours' phrases meet in the task already.
@@ -225,19 +228,29 @@ def _all(ok: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _met(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """(key, c) of all parts, which have their keys sorted, each key once."""
-    key, count = (np.concatenate(x) for x in zip(*parts))
-    if len(parts) > 1:
-        order = np.argsort(key)
-        key, count = key[order], count[order]
-        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        key, count = key[new], np.add.reduceat(count, new)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(count)], ["key", "c"])
+def _met(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[new], np.add.reduceat(count[order], new)
+
+
+def _blocks(held: list[tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
+    """(q, size, block): keys and counts, packed by part; parts are ranges of keys."""
+    key, count = _met(*(np.concatenate(x) for x in zip(*held))) if len(held) > 1 else held[0]
+    q = ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
+    ends = np.append(cuts[1:], len(q))
+    rows = np.stack([key.view(np.int64), count])
+    blocks = [packed(rows[:, a:z].ravel()) for a, z in zip(cuts.tolist(), ends.tolist())]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(q[cuts].astype(np.int64)), pa.array(ends - cuts), pa.array(blocks, pa.binary())], ["q", "size", "block"]
+    )
 
 
-def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int) -> DataFrame:
-    """(key, c): the phrases of these lengths by shard.
+def _local_phrases(source: DataFrame, lengths: range, frequent, pairs, chunk: int, local: int, parts: int) -> DataFrame:
+    """(key): the phrases of these lengths with the support ``local`` in a shard.
 
     ``frequent`` holds the words that may occur in them, ``pairs`` (if given)
     the pairs with the local support in their shard.
@@ -263,12 +276,18 @@ def _local_counts(source: DataFrame, lengths: range, frequent, pairs, chunk: int
                 held.append(np.unique(_in_shard(h[at], x.shard[at]), return_counts=True))
                 size += len(held[-1][0])
             if size >= _FLUSH:
-                yield _met(held)
+                yield _blocks(held, parts)
                 held, size = [], 0
         if held:
-            yield _met(held)
+            yield _blocks(held, parts)
+
+    def counted(blocks: pa.Table) -> pa.Table:
+        sizes = blocks.column("size").to_pylist()
+        rows = [unpacked(b.as_py(), 2 * n).reshape(2, n) for n, b in zip(sizes, blocks.column("block"))]
+        key, count = _met(*np.concatenate(rows, axis=1))
+        return pa.table([pa.array(key[count >= local])], ["key"])
 
-    return source.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return source.mapInArrow(run, "q long, size long, block binary").groupBy("q").applyInArrow(counted, "key long")
 
 
 def _global_counts(source: DataFrame, max_words: int, candidates, chunk: int) -> DataFrame:
@@ -319,17 +338,15 @@ def candidates(
         raise ValueError(f"1 to {MAX_SHARDS} shards, not {shards}")
     local = -(-min_count // shards)
     common = words.where(F.col("c") >= min_count)
-    frequent = sc.broadcast(bloom(common.select("lang", "word"), _word_keys, common.count(), max_bits))
-    pairs = staged(
-        _local_counts(source, range(2, 3), frequent, None, chunk).where(F.col("c") >= local).select("key"),
-        "phrase-pairs",
-    )
+    tokens_, known = words.agg(F.sum("c"), F.count_if(F.col("c") >= min_count)).first()
+    parts = max(1, -(-(tokens_ or 0) // _PART))
+    frequent = sc.broadcast(bloom(common.select("lang", "word"), _word_keys, known, max_bits))
+    pairs = staged(_local_phrases(source, range(2, 3), frequent, None, chunk, local, parts), "phrase-pairs")
     found = pairs
     if max_words > 2:
         near = sc.broadcast(bloom(pairs, _keys, pairs.count(), max_bits))
-        longer = _local_counts(source, range(3, max_words + 1), frequent, near, chunk)
-        longer = staged(longer.where(F.col("c") >= local).select("key"), "phrase-longer")
-        found = pairs.unionByName(longer)
+        longer = _local_phrases(source, range(3, max_words + 1), frequent, near, chunk, local, parts)
+        found = pairs.unionByName(staged(longer, "phrase-longer"))
     union = found.select(F.col("key").bitwiseAND(F.lit(-MAX_SHARDS)).alias("key")).distinct()
     filter_ = sc.broadcast(bloom(union, _keys, union.count(), max_bits))
     counted = _global_counts(source, max_words, filter_, chunk)

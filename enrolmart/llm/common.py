@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +70,16 @@ def map_rows(df: DataFrame, run) -> DataFrame:
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     out = T.StructType([T.StructField(f.name, f.dataType, True) for f in plain.schema.fields])
     return plain.mapInArrow(run, out).toDF(*df.columns)
+
+
+_ZSTD = "zstd"
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """Whole numbers by byte place, compressed."""
+    return pa.compress(np.ascontiguousarray(rows.view(np.uint8).reshape(-1, 8).T).tobytes(), _ZSTD, asbytes=True)
+
+
+def unpacked(raw: bytes, count: int) -> np.ndarray:
+    plain = np.frombuffer(pa.decompress(raw, 8 * count, _ZSTD), np.uint8)
+    return np.ascontiguousarray(plain.reshape(8, count).T).view(np.int64).ravel()

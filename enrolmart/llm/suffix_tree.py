@@ -56,6 +56,8 @@ from pyspark.sql import functions as F
 from enrolmart.llm import tokens
 from enrolmart.llm.collocations import Bloom, bloom
 from enrolmart.llm.common import id_text, staged
+from enrolmart.llm.common import packed as _packed
+from enrolmart.llm.common import unpacked as _unpacked
 from enrolmart.llm.tokens import Tokens
 
 HOT_WORDS = 1 << 20
@@ -438,19 +440,6 @@ def _states(answers: DataFrame, min_divergence: float) -> States:
     return States(word, size, weight, divergence >= min_divergence)
 
 
-_ZSTD = "zstd"
-
-
-def _packed(rows: np.ndarray) -> bytes:
-    """Whole numbers by byte place, compressed."""
-    return pa.compress(np.ascontiguousarray(rows.view(np.uint8).reshape(-1, 8).T).tobytes(), _ZSTD, asbytes=True)
-
-
-def _unpacked(raw: bytes, count: int) -> np.ndarray:
-    plain = np.frombuffer(pa.decompress(raw, 8 * count, _ZSTD), np.uint8)
-    return np.ascontiguousarray(plain.reshape(8, count).T).view(np.int64).ravel()
-
-
 _BLOCKS = (
     "p long, size long, first long, block binary, ids array<long>, lens array<long>, known array<long>, logs array<double>"
 )

@@ -163,8 +163,9 @@ def test_counts_are_handed_on_whenever_many_are_held(frame, monkeypatch):
     docs = frame(rows, "doc_id long, lang string, text string")
     want = by_definition([r[1:] for r in rows], 8)
     assert len(want) > 10
-    for held in (1, 300):
+    for held, part in ((1, 1 << 20), (300, 500), (1 << 20, 2000)):
         monkeypatch.setattr(collocations, "_FLUSH", held)
+        monkeypatch.setattr(collocations, "_PART", part)
         assert result(collocations.collocations(docs, min_count=8, chunk=200)) == want
 
 
@@ -185,3 +186,28 @@ def test_words_of_a_chunk_are_handled_together():
         sys.setprofile(None)
     assert held == 300 * 400
     assert sum(calls.values()) < 3000  # over 20,000 with a call for each distinct word
+
+
+def test_hashes_travel_in_blocks():
+    """Rows follow chunks and parts, not phrases; a part has all of a key."""
+    import numpy as np
+
+    from enrolmart.llm.common import unpacked
+
+    rng = np.random.default_rng(4)
+    held = [np.unique(rng.integers(0, 2**64, 3000, np.uint64)[rng.integers(0, 3000, 9000)], return_counts=True)]
+    held += [np.unique(np.append(held[0][0][::7], np.uint64(2**64 - 1)), return_counts=True)]
+    want = Counter()
+    for key, count in held:
+        want.update(dict(zip(key.tolist(), count.tolist())))
+    for parts in (1, 7, 100):
+        got, parts_of = Counter(), {}
+        batch = collocations._blocks(held, parts)
+        assert batch.num_rows <= parts
+        for q, size, block in zip(*(x.to_pylist() for x in batch.columns)):
+            assert 0 <= q < parts
+            keys, counts = unpacked(block, 2 * size).reshape(2, size)
+            got.update(dict(zip(keys.view(np.uint64).tolist(), counts.tolist())))
+            for k in keys.tolist():
+                assert parts_of.setdefault(k, q) == q
+        assert got == want
